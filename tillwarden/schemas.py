@@ -2,37 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {
+    "STRING": T.StringType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DECIMAL(5,2)": T.DecimalType(5, 2),
+    "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """``"name TYPE [NOT NULL], ..."`` as a schema, without needing a session."""
+    fields = []
+    for column in text.split(", "):
+        name, kind, *rest = column.split(" ")
+        fields.append(T.StructField(name, _TYPES[kind], nullable=not rest))
+    return T.StructType(fields)
+
 
 # Column names, order and types of messages and tables.
-TRANSACTION_MESSAGE = StructType.fromDDL(
+TRANSACTION_MESSAGE = columns(
     "transaction_id STRING NOT NULL, customer_id STRING NOT NULL, customer_name STRING, "
     "timestamp STRING NOT NULL, amount DOUBLE NOT NULL, currency STRING, merchant_name STRING, "
     "merchant_category STRING, merchant_country STRING, customer_lat DOUBLE, customer_lon DOUBLE, "
     "card_last4 STRING, card_type STRING, is_fraud BOOLEAN, fraud_type STRING"
 )
-ALERT_MESSAGE = StructType.fromDDL(
+ALERT_MESSAGE = columns(
     "transaction_id STRING, customer_id STRING, timestamp STRING, amount DOUBLE, "
     "merchant_name STRING, merchant_category STRING, merchant_country STRING, "
     "customer_lat DOUBLE, customer_lon DOUBLE, card_type STRING, fraud_score INT, "
     "risk_level STRING, fraud_reason STRING, amount_flag BOOLEAN, merchant_flag BOOLEAN, "
     "geo_flag BOOLEAN"
 )
-TRANSACTIONS_RAW = StructType.fromDDL(
+TRANSACTIONS_RAW = columns(
     "id BIGINT, transaction_id STRING, customer_id STRING, customer_name STRING, "
     "event_time TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, amount DOUBLE, currency STRING, "
     "merchant_name STRING, merchant_category STRING, merchant_country STRING, "
     "customer_lat DOUBLE, customer_lon DOUBLE, card_last4 STRING, card_type STRING, "
     "is_fraud_label BOOLEAN, fraud_type STRING"
 )
-FRAUD_ALERTS = StructType.fromDDL(
+FRAUD_ALERTS = columns(
     "alert_id BIGINT, transaction_id STRING, customer_id STRING, event_time TIMESTAMP_NTZ, "
     "alerted_at TIMESTAMP_NTZ, amount DOUBLE, merchant_name STRING, merchant_category STRING, "
     "merchant_country STRING, customer_lat DOUBLE, customer_lon DOUBLE, card_type STRING, "
     "fraud_score DECIMAL(5,2), risk_level STRING, fraud_reason STRING, amount_flag BOOLEAN, "
     "merchant_flag BOOLEAN, geo_flag BOOLEAN"
 )
-CUSTOMER_RISK_PROFILES = StructType.fromDDL(
+CUSTOMER_RISK_PROFILES = columns(
     "customer_id STRING, total_transactions BIGINT, total_fraud_alerts BIGINT, "
     "fraud_rate DOUBLE, cumulative_fraud_score BIGINT, last_alert_time TIMESTAMP_NTZ, "
     "last_seen_country STRING, risk_tier STRING, updated_at TIMESTAMP_NTZ"
