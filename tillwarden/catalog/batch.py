@@ -707,20 +707,20 @@ def customers_top10(spark, sf_dir):
     return serving.customers_top(gold.high_risk_customers(I.flagged_payments(spark, sf_dir), I.AS_OF))
 
 
-@query(C.sql(C.CUSTOMERS, "SELECT * FROM customers WHERE customer_id = upper('cust_00042')"))
+@query(C.sql(C.CUSTOMERS, "SELECT * FROM customers WHERE customer_id = upper('cust_00007')"))
 def customer_lookup(spark, sf_dir):
-    return serving.customer_lookup(gold.high_risk_customers(I.flagged_payments(spark, sf_dir), I.AS_OF), "cust_00042")
+    return serving.customer_lookup(gold.high_risk_customers(I.flagged_payments(spark, sf_dir), I.AS_OF), "cust_00007")
 
 
 @query(
     C.sql(
         C.ALERTS,
         """SELECT transaction_id, event_time, amount, merchant_name, merchant_country, risk_level, fraud_reason
-           FROM alerts WHERE customer_id = upper('cust_00042') ORDER BY event_time DESC, transaction_id DESC LIMIT 20""",
+           FROM alerts WHERE customer_id = upper('cust_00007') ORDER BY event_time DESC, transaction_id DESC LIMIT 20""",
     )
 )
 def recent_alerts(spark, sf_dir):
-    return serving.recent_alerts(I.payment_alerts(spark, sf_dir), "cust_00042")
+    return serving.recent_alerts(I.payment_alerts(spark, sf_dir), "cust_00007")
 
 
 @query(
