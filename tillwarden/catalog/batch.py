@@ -13,7 +13,7 @@ from tillwarden.operators import behaviour, merge, quality, rules
 from tillwarden.operators.dedup import keep_first
 from tillwarden.plans import alert_views, gold, layers, nightly, serving
 from tillwarden.schemas import ALERT_MESSAGE, CUSTOMER_RISK_PROFILES
-from tillwarden.session import new_run_dir
+from tillwarden.session import materialise, new_run_dir
 from tillwarden.sources import messages as topics
 from tillwarden.sources.tables import TableStore
 
@@ -175,8 +175,9 @@ both_loads AS (
     )
 )
 def bronze_incremental(spark, sf_dir):
-    """A first load, then a second one above its high-water mark, merged by id."""
-    raw = I.purchases(spark, sf_dir)
+    """A first load, then a second one above its high-water mark, merged by id. Loads
+    read the raw table several times, so it is written first, as it would be."""
+    raw = materialise(I.purchases(spark, sf_dir))
     table = layers.bronze_raw_transactions(_before(raw, "2000-01-01"), "2000-01-02 00:00:00")
     load = layers.bronze_raw_transactions(raw, I.PURCHASES_AS_OF, table)
     return merge.upsert(table, load, ["transaction_id"]).drop(
@@ -245,7 +246,7 @@ both_loads AS (
 )
 def clean_incremental(spark, sf_dir):
     """Within a load the first copy of an id wins, across loads the last load."""
-    raw = I.purchases(spark, sf_dir)
+    raw = materialise(I.purchases(spark, sf_dir))
     early = layers.bronze_raw_transactions(_before(raw, "2000-01-01"), "2000-01-02 00:00:00")
     late = layers.bronze_raw_transactions(_from(raw, "2000-01-01"), I.PURCHASES_AS_OF)
     table = layers.silver_clean_transactions(early, "2000-01-02 00:00:00")
@@ -337,7 +338,7 @@ def fraud_flags_all_alerts(spark, sf_dir):
 def flags_incremental(spark, sf_dir):
     """Second run: new transactions, and older ones whose alert came late."""
     first_day, late_from = "2024-01-16", "2024-01-11"
-    clean, alerts = I.cleaned_payments(spark, sf_dir), I.payment_alerts(spark, sf_dir)
+    clean, alerts = materialise(I.cleaned_payments(spark, sf_dir)), materialise(I.payment_alerts(spark, sf_dir))
     loaded = F.when(_is_before(first_day), F.lit(first_day)).otherwise(F.lit("2024-01-31")).cast("timestamp_ntz")
     staged = clean.withColumn("silver_loaded_at", loaded)
     table = layers.silver_fraud_flags(_before(staged, first_day), _before(alerts, late_from), first_day)
@@ -819,7 +820,7 @@ def nightly_two_loads(spark, sf_dir):
     """The daily run at mid-month and at its end; the second takes only what is new, and
     the tables equal those of one load."""
     store = TableStore(spark, new_run_dir(spark, "nightly"))
-    raw, alerts = I.payments(spark, sf_dir), I.payment_alerts(spark, sf_dir)
+    raw, alerts = materialise(I.payments(spark, sf_dir)), materialise(I.payment_alerts(spark, sf_dir))
     bounds = (0.0, 100.0)
     nightly.run(store, _before(raw, "2024-01-16"), _before(alerts, "2024-01-16"), "2024-01-16 00:00:00", None, bounds)
     nightly.run(store, raw, alerts, I.AS_OF, None, bounds)

@@ -25,7 +25,8 @@ def run(
     rate_bounds: tuple[float, float] = quality.RATE_BOUNDS_PCT,
 ) -> list[str]:
     """Bring the store's tables up to ``as_of`` and return the steps done. Safe to repeat:
-    a second run finds nothing new and leaves the tables as they are."""
+    a second run finds nothing new and leaves the tables as they are. ``as_of`` stamps the
+    loads and must grow from one run with new rows to the next."""
     wanted = STEPS if layers_wanted is None else [s for s in STEPS if s in layers_wanted]
     for step in wanted:
         _RUN[step](store, raw, alerts, as_of, rate_bounds)
@@ -56,8 +57,9 @@ def _silver(store, raw, alerts, as_of, rate_bounds):
 
 def _gold(store, raw, alerts, as_of, rate_bounds):
     flags = store.read("fraud_flags")
-    for model in (gold.fraud_summary_daily, gold.high_risk_customers, gold.merchant_risk_scores):
-        store.overwrite(model.__name__, model(flags, as_of))
+    store.overwrite("fraud_summary_daily", gold.fraud_summary_daily(flags, as_of))
+    store.overwrite("high_risk_customers", gold.high_risk_customers(flags, as_of), lookup_by="customer_id")
+    store.overwrite("merchant_risk_scores", gold.merchant_risk_scores(flags, as_of))
 
 
 def _checks(store, raw, alerts, as_of, rate_bounds):
@@ -67,7 +69,7 @@ def _checks(store, raw, alerts, as_of, rate_bounds):
 def _profiles(store, raw, alerts, as_of, rate_bounds):
     name = "customer_risk_profiles"
     known = store.read(name) if store.exists(name) else store.spark.createDataFrame([], CUSTOMER_RISK_PROFILES)
-    store.overwrite(name, alert_views.refresh_customer_risk_profiles(known, alerts, as_of))
+    store.overwrite(name, alert_views.refresh_customer_risk_profiles(known, alerts, as_of), lookup_by="customer_id")
 
 
 _RUN = {

@@ -18,6 +18,26 @@ from tillwarden.operators.merge import assert_unique, upsert
 
 LOAD_DATE = "load_date"
 APPLIED = "_APPLIED"
+BROADCAST_KEYS = 5_000_000  # hashes of so many keys take about 250 MB in an executor
+
+
+def _dates(df: DataFrame) -> set[str]:
+    """The load dates that occur (one value per load day comes to the driver)."""
+    return {str(row[0]) for row in df.select(LOAD_DATE).distinct().collect()}
+
+
+def _maybe_replaced(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Table rows whose key hash occurs in ``rows``: all replaced rows, rarely one more.
+
+    Only the key columns are read. A load of up to ``BROADCAST_KEYS`` rows goes to the
+    executors as hashes, so the big table is not shuffled; a larger one is joined by
+    shuffling both sides.
+    """
+    code = F.xxhash64(*keys).alias("code")
+    codes = rows.select(code).distinct()
+    if rows.count() <= BROADCAST_KEYS:
+        codes = F.broadcast(codes)
+    return table.select(LOAD_DATE, code).join(codes, "code", "left_semi")
 
 
 class TableStore:
@@ -48,9 +68,12 @@ class TableStore:
     def _folder(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
 
-    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
+    def overwrite(self, name: str, df: DataFrame, lookup_by: str | None = None) -> DataFrame:
+        """``lookup_by`` orders the files by that column, so that a lookup of one value
+        reads the few row groups whose minimum and maximum enclose it."""
         target = self._folder(name, self._version(name) + 1)
-        df.write.mode("overwrite").parquet(target)
+        ordered = df if lookup_by is None else df.repartitionByRange(lookup_by).sortWithinPartitions(lookup_by)
+        ordered.write.mode("overwrite").parquet(target)
         return self.spark.read.parquet(target)
 
     # Tables merged by key
@@ -77,22 +100,20 @@ class TableStore:
     def _apply(self, name: str, keys: Sequence[str]) -> None:
         load = self._folder(f"{name}_load", self._version(f"{name}_load"))
         rows = self.spark.read.parquet(load)
-        new_dates = {str(r[0]) for r in rows.select(LOAD_DATE).distinct().collect()}
+        new_dates = _dates(rows)
         writer = dict(partitionBy=LOAD_DATE, mode="overwrite")
         if not self._partitions(name):
             rows.write.parquet(self._merged(name), **writer)
         elif new_dates:
-            table = self.spark.read.schema(rows.schema).parquet(self._merged(name))
             assert_unique(rows, keys)
-            replaced = table.join(rows.select(*keys), list(keys), "left_semi")
-            hit = {str(r[0]): r[1] for r in replaced.groupBy(LOAD_DATE).count().collect()}
-            touched = table.where(F.col(LOAD_DATE).cast("string").isin(*sorted(hit.keys() | new_dates)))
-            sizes = {str(r[0]): r[1] for r in touched.groupBy(LOAD_DATE).count().collect()}
+            table = self.spark.read.schema(rows.schema).parquet(self._merged(name))
+            hit_dates = _dates(_maybe_replaced(table, rows, keys))
+            touched = table.where(F.col(LOAD_DATE).cast("string").isin(*sorted(hit_dates | new_dates)))
             result = upsert(touched, rows, keys)
+            left = _dates(result)
             result.write.option("partitionOverwriteMode", "dynamic").parquet(self._merged(name), **writer)
-            for day in hit.keys() - new_dates:
-                if hit[day] == sizes[day]:  # every row moved to a newer load
-                    self._fs.delete(self._path(f"{self._merged(name)}/{LOAD_DATE}={day}"), True)
+            for day in hit_dates - left:  # every row of that day moved to a newer load
+                self._fs.delete(self._path(f"{self._merged(name)}/{LOAD_DATE}={day}"), True)
         self._fs.create(self._path(f"{load}/{APPLIED}")).close()
 
     # Both kinds
