@@ -40,13 +40,13 @@ def _edge(at: Column, delta: Column, asks: Column) -> Column:
 
 def _running(edges: DataFrame, name: str) -> DataFrame:
     """Sum of the deltas up to each asked instant, same instant included."""
-    steps = edges.groupBy(KEY, "cell", "at").agg(F.sum("delta").alias("delta"), F.max("asks").alias("asks"))
-    upto = Window.partitionBy(KEY, "cell").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        steps.withColumn(name, F.sum("delta").over(upto))
-        .where("asks")
-        .select(KEY, F.timestamp_micros("at").cast("timestamp_ntz").alias(TIME), name)
-    )
+    upto = Window.partitionBy(KEY, "cell").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    asked = edges.withColumn(name, F.sum("delta").over(upto)).where("asks")
+    return asked.select(KEY, "cell", "at", name)
+
+
+def _per_instant(sums: DataFrame, name: str) -> DataFrame:
+    return sums.select(KEY, F.timestamp_micros("at").cast("timestamp_ntz").alias(TIME), name)
 
 
 def trailing_count(df: DataFrame, look_back: timedelta, name: str = "recent_transactions") -> DataFrame:
@@ -69,7 +69,7 @@ def trailing_count(df: DataFrame, look_back: timedelta, name: str = "recent_tran
             )
         ),
     )
-    return _running(edges, name)
+    return _per_instant(_running(edges, name), name)
 
 
 def trailing_countries(df: DataFrame, look_back: timedelta, name: str = "recent_countries") -> DataFrame:
@@ -98,7 +98,8 @@ def trailing_countries(df: DataFrame, look_back: timedelta, name: str = "recent_
             ),
         )
     )
-    return _running(edges, name)
+    # several countries at one instant ask for the same sum
+    return _per_instant(_running(edges, name).dropDuplicates([KEY, "cell", "at"]), name)
 
 
 def with_velocity(df: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
