@@ -159,6 +159,13 @@ def test_customer_view_lists_countries_and_tiers(spark):
     ]
 
 
+def test_alert_views_for_sql_users(spark):
+    alert_views.create_views(frame(spark, ALERTS, [alert("1", "a"), alert("2", "b", score=65)]))
+    assert spark.sql("SELECT total_transactions, fraud_flag_rate_pct FROM fraud_summary_daily").first()[:] == (2, 100.0)
+    assert spark.sql("SELECT merchant_risk_tier FROM merchant_risk_scores").first()[0] == "HIGH"
+    assert [r[0] for r in spark.sql("SELECT customer_id FROM high_risk_customers ORDER BY fraud_rank").collect()] == ["b", "a"]
+
+
 def test_profile_refresh_updates_inserts_and_keeps(spark):
     profiles = spark.createDataFrame(
         [("old", 40, 9, 0.5, 300, at(-9), "GB", "CRITICAL", at(-9)), ("seen", 12, 1, 0.1, 30, at(-9), "GB", "MEDIUM", at(-9))],

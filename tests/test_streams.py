@@ -82,6 +82,7 @@ def test_peek_marks_fraud_and_fills_gaps(spark):
 
 
 def test_kafka_options():
+    assert topics.kafka_options("broker:9092", batch_rows=100)["maxOffsetsPerTrigger"] == "100"
     options = topics.kafka_options("broker:9092")
     assert (options["subscribe"], options["startingOffsets"], options["failOnDataLoss"]) == ("raw-transactions", "latest", "false")
 
@@ -167,6 +168,16 @@ def test_running_totals(spark, topic, tmp_path):
     assert rows(jobs.newest_batch(spark, f"{tmp_path}/t")) == [(4, 1, 25.0)]
 
 
+def test_waiting_ends_with_the_first_query_and_stops_the_others(spark, topic, tmp_path):
+    topic.send(body(1))
+    frames = jobs.transactions(topic.stream()).select("transaction_id")
+    ended, running = (jobs.to_files(frames, f"{tmp_path}/{n}", f"{tmp_path}/{n}-offsets", "1 second") for n in ("a", "b"))
+    ended.stop()
+    jobs.run_until_stopped(spark)
+    assert not running.isActive
+    spark.streams.resetTerminated()
+
+
 def test_console_output_and_stop(spark, topic, tmp_path):
     topic.send(body(1))
     query = jobs.to_console(jobs.scored(topic.stream()), f"{tmp_path}/offsets", trigger="1 second")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column
@@ -67,21 +68,21 @@ def in_range(value: Column, low: float, high: float) -> Column:
     return F.when(value.between(low, high), value)
 
 
-def first_below(value: Column, steps: tuple, otherwise: str) -> Column:
-    """Label of the first step whose bound exceeds the value."""
-    chosen = None
-    for bound, label in steps:
-        test = value < bound
-        chosen = F.when(test, label) if chosen is None else chosen.when(test, label)
-    return chosen.otherwise(otherwise)
+def ladder(steps: Iterable[tuple[Column, str]], otherwise: str | None = None) -> Column:
+    """Label of the first step whose test holds. A NULL test does not hold."""
+    (test, label), *rest = steps
+    chosen = F.when(test, label)
+    for test, label in rest:
+        chosen = chosen.when(test, label)
+    return chosen if otherwise is None else chosen.otherwise(otherwise)
 
 
 def amount_bucket(amount: Column) -> Column:
-    return first_below(amount, AMOUNT_BUCKETS, LARGEST_BUCKET)
+    return ladder([(amount < bound, name) for bound, name in AMOUNT_BUCKETS], LARGEST_BUCKET)
 
 
 def rate_band(rate_pct: Column) -> Column:
-    return first_below(rate_pct, RATE_BANDS, TOP_RATE_BAND)
+    return ladder([(rate_pct < bound, name) for bound, name in RATE_BANDS], TOP_RATE_BAND)
 
 
 def is_weekend(time: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillwarden.config import RuleConfig
+from tillwarden.config import RISK_LEVELS, RuleConfig
+from tillwarden.functions.scalars import ladder
 
 # Texts of the reasons and actions.
 AMOUNT_TEXT = "HIGH_AMOUNT: $"
@@ -59,12 +60,9 @@ def score(rules: RuleConfig) -> Column:
 
 def level(score_column: Column, rules: RuleConfig) -> Column:
     """Tier of a score. A NULL score fails every test and ends as CRITICAL."""
-    return (
-        F.when(score_column == 0, "LOW")
-        .when(score_column <= rules.medium_max, "MEDIUM")
-        .when(score_column <= rules.high_max, "HIGH")
-        .otherwise("CRITICAL")
-    )
+    *below, top = RISK_LEVELS
+    bounds = (0, rules.medium_max, rules.high_max)
+    return ladder([(score_column <= bound, name) for bound, name in zip(bounds, below)], top)
 
 
 def reasons() -> Column:
@@ -73,8 +71,4 @@ def reasons() -> Column:
 
 
 def action(level_column: Column) -> Column:
-    chosen = None
-    for name, step in ACTIONS.items():
-        test = level_column == name
-        chosen = F.when(test, step) if chosen is None else chosen.when(test, step)
-    return chosen
+    return ladder([(level_column == name, step) for name, step in ACTIONS.items()])

@@ -15,7 +15,7 @@ def newer_than(source: DataFrame, target: DataFrame, column: str, partition: str
     the target is empty. ``partition`` names a source partition column that holds the
     date of ``column``: older partitions are then not even listed."""
     floor = F.lit(BEFORE_ALL).cast(target.schema[column].dataType)
-    high_water = F.coalesce(target.agg(F.max(column)).scalar(), floor)
+    high_water = target.agg(F.coalesce(F.max(column), floor)).scalar()
     fresh = source if partition is None else source.where(F.col(partition) >= F.to_date(high_water))
     return fresh.where(F.col(column) > high_water)
 

@@ -1,7 +1,7 @@
 """Positions in a global order without sorting everything in one task.
 
 A window without PARTITION BY moves all rows to one task. Here the rows are range
-partitioned instead, written once to reliable storage so that every later pass sees
+partitioned instead and written once, so that every later pass sees
 the same chunks, and only one total per chunk (at most ``spark.sql.shuffle.partitions``
 rows) goes through an unpartitioned window.
 """

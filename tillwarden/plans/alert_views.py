@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwarden.functions.scalars import dollars, how_many, instant, interval, money_total, ratio
+from tillwarden.functions.scalars import dollars, how_many, instant, interval, ladder, money_total, ratio
 from tillwarden.operators.ranking import global_row_number
 
 # Score bounds (reached) and alert-count bounds (up to) of the tiers; window of the profiles.
@@ -19,17 +19,11 @@ PROFILE_WINDOW = timedelta(days=30)
 
 
 def score_tier(score: Column) -> Column:
-    chosen = None
-    for bound, tier in SCORE_TIERS:
-        chosen = F.when(score >= bound, tier) if chosen is None else chosen.when(score >= bound, tier)
-    return chosen.otherwise("LOW")
+    return ladder([(score >= bound, tier) for bound, tier in SCORE_TIERS], "LOW")
 
 
 def count_tier(alerts: Column) -> Column:
-    chosen = None
-    for bound, tier in COUNT_TIERS:
-        chosen = F.when(alerts <= bound, tier) if chosen is None else chosen.when(alerts <= bound, tier)
-    return chosen.otherwise("CRITICAL")
+    return ladder([(alerts <= bound, tier) for bound, tier in COUNT_TIERS], "CRITICAL")
 
 
 def daily_alert_view(alerts: DataFrame) -> DataFrame:
@@ -105,6 +99,13 @@ def customer_alert_view(alerts: DataFrame) -> DataFrame:
     ).drop("score_sum", "scored")
 
 
+def create_views(alerts: DataFrame) -> None:
+    """The three summaries as views for SQL users who have only the alerts."""
+    daily_alert_view(alerts).createOrReplaceTempView("fraud_summary_daily")
+    merchant_alert_view(alerts).createOrReplaceTempView("merchant_risk_scores")
+    customer_alert_view(alerts).createOrReplaceTempView("high_risk_customers")
+
+
 def profile_facts(alerts: DataFrame, as_of: datetime | str | None, last_country: str = "greatest") -> DataFrame:
     """Per customer with alerts in the 30 days before ``as_of`` (None: in all alerts).
 

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwarden.functions.scalars import dollars, how_many, instant, money_total, percent, ratio
+from tillwarden.functions.scalars import dollars, how_many, instant, ladder, money_total, percent, ratio
 from tillwarden.operators.ranking import global_rank
 
 # Flag-rate bounds (percent, exceeded) of the tiers, highest first.
@@ -22,13 +22,9 @@ HIGH_MIN_FLAGS, MEDIUM_MIN_FLAGS = 3, 1
 
 def rate_tier(rate_pct: Column, also: dict[str, Column] | None = None) -> Column:
     """Tier by flag rate; ``also`` names further conditions that reach a tier."""
-    chosen = None
-    for bound, tier in RATE_TIERS:
-        test = rate_pct > bound
-        if also and tier in also:
-            test = also[tier] | test
-        chosen = F.when(test, tier) if chosen is None else chosen.when(test, tier)
-    return chosen.otherwise("LOW")
+    more = also or {}
+    by_rate = [(rate_pct > bound, tier) for bound, tier in RATE_TIERS]
+    return ladder([(more[tier] | test if tier in more else test, tier) for test, tier in by_rate], "LOW")
 
 
 def fraud_summary_daily(flags: DataFrame, as_of: datetime | str) -> DataFrame:

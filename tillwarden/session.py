@@ -33,7 +33,9 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once, keep on reliable storage: several passes over the result then
-    read files, and a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute once and keep as files in the shared folder: several passes over the result
+    read only the columns they need, Spark knows its size, and a lost executor costs no
+    recomputation."""
+    path = new_run_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,13 +17,17 @@ FILE_MESSAGES = columns("key STRING, value STRING, timestamp TIMESTAMP")
 MALFORMED = "_malformed"
 
 
-def kafka_options(servers: str, topic: str = RAW_TOPIC, starting: str = "latest") -> dict[str, str]:
-    return {
+def kafka_options(
+    servers: str, topic: str = RAW_TOPIC, starting: str = "latest", batch_rows: int | None = None
+) -> dict[str, str]:
+    """``batch_rows`` bounds a micro-batch; without it a batch takes all that has arrived."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "false",
     }
+    return options if batch_rows is None else options | {"maxOffsetsPerTrigger": str(batch_rows)}
 
 
 def read_messages(spark: SparkSession, format: str, options: dict[str, str], path: str | None = None) -> DataFrame:

@@ -148,8 +148,8 @@ def start_routing(messages, path, checkpoint, rules: RuleConfig = DEFAULT_RULES,
 
 
 def start_alert_loader(messages, path, checkpoint, trigger=LOADER_TRIGGER):
-    """Alert messages into the alert table. Limit a batch at the source
-    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)."""
+    """Alert messages into the alert table. A batch is limited at the source
+    (``kafka_options(batch_rows=LOADER_BATCH_ROWS)``, or ``maxFilesPerTrigger``)."""
     return to_files(topics.alert_rows(messages), path, checkpoint, trigger)
 
 
