@@ -130,6 +130,13 @@ def test_customer_ranking_equals_brute_force(spark):
         assert result[customer]["fraud_rank"] == 1 + sum(other > key for other in keys.values())
 
 
+def test_models_of_empty_tables_are_empty(spark):
+    _, flags = _flags(spark)
+    assert gold.high_risk_customers(flags.where("not is_flagged"), AS_OF).count() == 0
+    assert gold.merchant_risk_scores(flags.where("false"), AS_OF).count() == 0
+    assert alert_views.customer_alert_view(frame(spark, ALERTS, [])).count() == 0
+
+
 def test_merchant_scores_count_each_customer_once(spark):
     data, flags = _flags(spark, 8)
     for got in gold.merchant_risk_scores(flags, AS_OF).collect():

@@ -59,6 +59,11 @@ def test_malformed_message_is_kept_aside_and_never_alerts(spark):
     assert topics.prepare_kafka_output(scored).count() == 0 and topics.routed_messages(scored).count() == 0
 
 
+def test_empty_message_is_one_row_of_nulls(spark):
+    row = topics.decode(frame(spark, MESSAGES, [("c", None, START)])).collect()
+    assert len(row) == 1 and row[0]["transaction_id"] is None and row[0]["kafka_timestamp"] == START
+
+
 def test_alert_json_leaves_out_nulls_and_is_keyed_by_customer(spark):
     df = frame(spark, MESSAGES, [("c", body(1, amount=5000.0), START)])
     alert = topics.prepare_kafka_output(rules.apply_fraud_detection(topics.decode(df))).first()
