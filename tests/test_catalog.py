@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import SAME_TYPE, rows_of
+from tillwarden.catalog.registry import ENTRIES
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def sql(sf_dir):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_query_equals_sql(spark, sf_dir, sql, name):
     df = entry.queries()[name](spark, sf_dir)
     theirs = sql.execute(entry.oracle_sql()[name]).df()
