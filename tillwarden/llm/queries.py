@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwarden.llm import token_files, token_lengths
-from tillwarden.llm.text import table
+from tillwarden.llm import host_rules, language, quality_fm, token_files, token_lengths
+from tillwarden.llm.check_sql import HOST_RULES
+from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text: doc_id, held_out, score, predicted."""
+    docs, settings = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), quality_fm.FmSettings()
+    model = quality_fm.fit(docs, table(spark, sf_dir, "labels"), settings)
+    scores = quality_fm.scored(docs, model, settings.accept)
+    return scores.select("doc_id", F.coalesce(~learns(5, 0), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written to Parquet lists and read back: doc_id, start, n_tokens, ids_crc32."""
     path = new_run_dir(spark, "token-files")
@@ -25,5 +35,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.limits(token_lengths.histogram(lengths))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op4_token_counts)}
-SQL: dict[str, str] = {}
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text: doc_id, held_out, lang_pred, score, rejected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, language.LanguageSettings())
+    found = language.predicted(docs, model)
+    return found.select("doc_id", F.coalesce(~learns(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of every document; its host is its source."""
+    return host_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *host_rules.MEASURES, "base_failed", "host_kept", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op4_token_counts, op5_language_id, op8_host_rules)}
+SQL: dict[str, str] = {"op8_host_rules": HOST_RULES}
