@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwarden.llm import host_rules, language, quality_fm, token_files, token_lengths
+from tillwarden.llm import host_rules, language, piece_sampling, quality_fm, token_files, token_lengths
 from tillwarden.llm.check_sql import HOST_RULES
 from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,10 +44,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~learns(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every whole text and its decoding: doc_id, n_tokens, ids_crc32, lossless."""
+    return piece_sampling.checked(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdicts of every document; its host is its source."""
     return host_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *host_rules.MEASURES, "base_failed", "host_kept", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op4_token_counts, op5_language_id, op8_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op4_token_counts, op5_language_id, op7_piece_sampling, op8_host_rules)}
 SQL: dict[str, str] = {"op8_host_rules": HOST_RULES}
