@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwarden.llm import host_rules, language, piece_sampling, quality_fm, token_files, token_lengths
+from tillwarden.llm import host_rules, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
 from tillwarden.llm.check_sql import HOST_RULES
 from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
@@ -30,6 +30,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(spark, path)
 
 
+def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without strings of 400 bytes that start elsewhere too: doc_id, n_bytes,
+    n_removed, n_spans, kept_sha256."""
+    return suffix_levels.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, shares and truncated totals for every length that occurs as a context limit."""
     lengths = token_lengths.document_lengths(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -54,5 +60,5 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *host_rules.MEASURES, "base_failed", "host_kept", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op4_token_counts, op5_language_id, op7_piece_sampling, op8_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op3_suffix_levels, op4_token_counts, op5_language_id, op7_piece_sampling, op8_host_rules)}
 SQL: dict[str, str] = {"op8_host_rules": HOST_RULES}

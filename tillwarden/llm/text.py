@@ -172,16 +172,17 @@ def unioned(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return owner[first], start[first], reach[last] - rank[first] * step
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Only what the pair operators need, under names of their own: ``_id`` (doc_id, NO_ID if
-    missing), ``_copy`` (hash of the text, so rows that share an id but not a text stay apart)
-    and ``_text`` (missing: empty)."""
+def key_columns() -> dict[str, Column]:
+    """``_id`` (doc_id, NO_ID if missing) and ``_copy`` (hash of the text, so rows that share an
+    id but not a text stay apart)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
-        F.xxhash64(text).alias("_copy"),
-        text.alias("_text"),
-    )
+    return {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_copy": F.xxhash64(text)}
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Only what the pair operators need, under names of their own: the key columns and
+    ``_text`` (missing: empty)."""
+    return docs.select(*(c.alias(n) for n, c in key_columns().items()), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
 
 
 def real_id(column: str = "_id") -> Column:
