@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwarden.llm import host_rules, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
+from tillwarden.llm import automata, host_rules, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
 from tillwarden.llm.check_sql import HOST_RULES
 from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
@@ -50,6 +50,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~learns(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without runs of 13 words of earlier ones: doc_id, n_words, n_removed, kept_sha256."""
+    return automata.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every whole text and its decoding: doc_id, n_tokens, ids_crc32, lossless."""
     return piece_sampling.checked(table(spark, sf_dir, "documents"), PIECES)
@@ -60,5 +65,5 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *host_rules.MEASURES, "base_failed", "host_kept", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op3_suffix_levels, op4_token_counts, op5_language_id, op7_piece_sampling, op8_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op3_suffix_levels, op4_token_counts, op5_language_id, op6_suffix_automata, op7_piece_sampling, op8_host_rules)}
 SQL: dict[str, str] = {"op8_host_rules": HOST_RULES}
