@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwarden.llm import automata, host_rules, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
+from tillwarden.llm import automata, decontaminate, host_rules, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
 from tillwarden.llm.check_sql import HOST_RULES
 from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
@@ -65,5 +65,23 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *host_rules.MEASURES, "base_failed", "host_kept", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_token_files, op3_suffix_levels, op4_token_counts, op5_language_id, op6_suffix_automata, op7_piece_sampling, op8_host_rules)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document: doc_id, contaminated, n_items, item_ids, best_similarity."""
+    return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_fm,
+        op2_token_files,
+        op3_suffix_levels,
+        op4_token_counts,
+        op5_language_id,
+        op6_suffix_automata,
+        op7_piece_sampling,
+        op8_host_rules,
+        op10_decontamination,
+    )
+}
 SQL: dict[str, str] = {"op8_host_rules": HOST_RULES}
