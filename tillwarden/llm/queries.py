@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwarden.llm import automata, decontaminate, host_rules, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
+from tillwarden.llm import automata, decontaminate, host_rules, jaccard_join, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
 from tillwarden.llm.check_sql import HOST_RULES
 from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
@@ -65,6 +65,11 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *host_rules.MEASURES, "base_failed", "host_kept", "kept")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of five-word shingles at 0.8: doc_id, class_id, n_links, keeper."""
+    return jaccard_join.joined(table(spark, sf_dir, "documents")).drop("_id", "_copy")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in every document: doc_id, contaminated, n_items, item_ids, best_similarity."""
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -81,6 +86,7 @@ QUERIES = {
         op6_suffix_automata,
         op7_piece_sampling,
         op8_host_rules,
+        op9_jaccard_join,
         op10_decontamination,
     )
 }
