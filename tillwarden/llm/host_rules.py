@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillwarden.llm.text import SEPARATOR, U64, Prefix, byte_values, chunks, grams, inner, mix, words
 from tillwarden.session import materialise
@@ -88,9 +89,9 @@ def measured(docs: DataFrame, host: Column) -> DataFrame:
     return picked.mapInArrow(measure, "doc_id long, host string, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
-def failed(rules: HostRules) -> Column:
-    repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent
-    return (F.col("n_words") < rules.min_words) | repeats
+def failed(rules: HostRules, prefix: str = "") -> Column:
+    n_words, n_repeats = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    return (n_words < rules.min_words) | (n_repeats * 100 > n_words * rules.max_repeat_percent)
 
 
 def host_verdicts(documents: DataFrame, rules: HostRules) -> DataFrame:
@@ -110,18 +111,46 @@ def host_verdicts(documents: DataFrame, rules: HostRules) -> DataFrame:
     return rated.select("host", "n_docs", "n_failed", "host_rate", (F.col("host_rate") <= rules.max_host_rate).alias("host_kept"))
 
 
+def _with_verdicts(rows: DataFrame, rules: HostRules, salts: int, key: list[str]) -> DataFrame:
+    """rows (host, base_failed, ...) with host_rate, host_kept and kept. In the join each host
+    stands ``salts`` times, so the documents of one large host spread over tasks."""
+    verdicts = host_verdicts(rows, rules).select("host", "host_rate", "host_kept")
+    verdicts = verdicts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.hash(*key), F.lit(salts)))
+    return salted.join(verdicts, ["host", "_salt"]).drop("_salt").withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
+
+
 def judged(docs: DataFrame, host: Column | None = None, rules: HostRules | None = None, salts: int = 16) -> DataFrame:
     """doc_id, host, MEASURES, base_failed, host_rate, host_kept, kept: one row per document.
 
-    ``host`` defaults to the column ``source``. Measures are written once and read twice. The
-    verdicts come back by a join in which each host stands ``salts`` times, so the documents of
-    one large host spread over tasks. Missing and empty texts have no words and fail; repeated
-    rows each count; an empty table gives an empty result.
+    ``host`` defaults to the column ``source``. Measures are written once and read twice.
+    Missing and empty texts have no words and fail; repeated rows each count; an empty table
+    gives an empty result.
     """
     rules = rules or HostRules()
     rows = measured(docs, F.col("source") if host is None else host)
     rows = materialise(rows.withColumn("base_failed", failed(rules)))
-    verdicts = host_verdicts(rows, rules).select("host", "host_rate", "host_kept")
-    verdicts = verdicts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.hash("doc_id", *MEASURES), F.lit(salts)))
-    return salted.join(verdicts, ["host", "_salt"]).drop("_salt").withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
+    return _with_verdicts(rows, rules, salts, ["doc_id", *MEASURES])
+
+
+def kept(docs: DataFrame, host: Column | None = None, rules: HostRules | None = None, salts: int = 16) -> DataFrame:
+    """The rows of ``docs`` whose verdict is kept, unchanged. Texts are measured once and stay
+    where they are: the few verdicts of hosts come to them."""
+    rules = rules or HostRules()
+    own = F.coalesce((F.col("source") if host is None else host).cast("string"), F.lit(""))
+    names = docs.columns
+    schema = StructType([*docs.schema.fields, StructField("_host", StringType()), *(StructField(f"_{m}", LongType()) for m in MEASURES)])
+
+    def measure(batches):
+        for chunk in chunks(batches):
+            found = measured_chunk(chunk)
+            columns = [*chunk.batch.columns, *(pa.array(found[m].astype(np.int64)) for m in MEASURES)]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    rows = docs.withColumn("_host", own).mapInArrow(measure, schema)
+    good = materialise(rows.withColumn("_failed", failed(rules, "_")).drop(*(f"_{m}" for m in MEASURES)))
+    verdicts = host_verdicts(good.select(F.col("_host").alias("host"), F.col("_failed").alias("base_failed")), rules)
+    verdicts = verdicts.filter("host_kept").select(F.col("host").alias("_host"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    verdicts = materialise(verdicts)  # its size is known then, and texts need no shuffle where it is small
+    salted = good.filter("NOT _failed").withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts)).cast("int"))
+    return salted.join(verdicts, ["_host", "_salt"], "left_semi").select(*names)
