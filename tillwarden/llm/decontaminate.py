@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, mix, words
+from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, mix, words, wrapped
 from tillwarden.session import materialise
 
 SHINGLE = 5
@@ -174,44 +174,45 @@ _KIND = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("n_
 _HITS = "array<struct<item_id:bigint,start:int,n_words:int,similarity:double>>"
 
 
-def _with_hits(rows: DataFrame, block: list[tuple[int, np.ndarray]], settings: Decontamination) -> DataFrame:
-    """rows with the hits of one block appended to the column _hits."""
+def _with_hits(rows: DataFrame, block: list[tuple[int, np.ndarray]], settings: Decontamination, text: str) -> DataFrame:
+    """rows with the hits of one block appended to the column hits."""
     names = rows.columns
     sent = rows.sparkSession.sparkContext.broadcast((block, settings))
 
     def match(batches):
         index = ItemIndex(*sent.value)
-        for chunk in chunks(batches, "_text"):
-            found = chunk.batch.column("_hits").to_pylist()
+        for chunk in chunks(batches, text):
+            found = chunk.batch.column("hits").to_pylist()
             for d, i, place, n, similarity in index.matches(*_word_hashes(chunk)):
                 found[d].append({"item_id": int(index.ids[i]), "start": place, "n_words": n, "similarity": similarity})
-            columns = [pa.array(found, _KIND) if c == "_hits" else chunk.batch.column(c) for c in names]
+            columns = [pa.array(found, _KIND) if c == "hits" else chunk.batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(match, rows.schema)
 
 
 def matched(docs: DataFrame, items: DataFrame, settings: Decontamination | None = None) -> DataFrame:
-    """The columns of ``docs`` and ``_hits``: an array with one struct (item_id, start, n_words,
-    similarity) per item that a window of the text matches (the best window, the first of equal
-    ones; start counts words). Missing and empty texts, and an empty ``items``, have no hits;
-    repeated rows are judged each, repeated items give a hit each."""
+    """``row`` (a struct of the columns of ``docs``) and ``hits``: an array with one struct
+    (item_id, start, n_words, similarity) per item that a window of the text matches (the best
+    window, the first of equal ones; start counts words). Missing and empty texts, and an empty
+    ``items``, have no hits; repeated rows are judged each, repeated items give a hit each."""
     settings = settings or Decontamination()
-    rows = docs.withColumns({"_text": F.coalesce("text", F.lit("")), "_hits": F.array().cast(_HITS)})
-    blocks = _blocks(items, settings.block_words)
-    for k, block in enumerate(blocks):
-        rows = _with_hits(rows if k == 0 else materialise(rows), block, settings)
-    return rows.select(*docs.columns, "_hits")
+    rows = wrapped(docs).withColumn("hits", F.array().cast(_HITS))
+    for k, block in enumerate(_blocks(items, settings.block_words)):
+        rows = _with_hits(rows if k == 0 else materialise(rows), block, settings, "row.text")
+    return rows
 
 
 def judged(docs: DataFrame, items: DataFrame, settings: Decontamination | None = None) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids (ascending), best_similarity (0 without a hit)."""
-    hits = matched(docs.select(F.col("doc_id").cast("long"), "text"), items, settings)
-    best = F.coalesce(F.array_max("_hits.similarity"), F.lit(0.0))
-    ids = F.array_sort(F.array_distinct("_hits.item_id"))
-    return hits.select("doc_id", (F.size("_hits") > 0).alias("contaminated"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"), best.alias("best_similarity"))
+    rows = matched(docs.select(F.col("doc_id").cast("long"), "text"), items, settings)
+    best = F.coalesce(F.array_max("hits.similarity"), F.lit(0.0)).alias("best_similarity")
+    ids = F.array_sort(F.array_distinct("hits.item_id"))
+    return rows.select(
+        F.col("row.doc_id"), (F.size("hits") > 0).alias("contaminated"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"), best
+    )
 
 
 def clean(docs: DataFrame, items: DataFrame, settings: Decontamination | None = None) -> DataFrame:
     """The rows of ``docs`` that match no item, unchanged."""
-    return matched(docs, items, settings).filter(F.size("_hits") == 0).select(*docs.columns)
+    return matched(docs, items, settings).filter(F.size("hits") == 0).select("row.*")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tillwarden.llm.text import SEPARATOR, U64, Prefix, byte_values, chunks, grams, inner, mix, words
 from tillwarden.session import materialise
@@ -89,9 +89,9 @@ def measured(docs: DataFrame, host: Column) -> DataFrame:
     return picked.mapInArrow(measure, "doc_id long, host string, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
-def failed(rules: HostRules, prefix: str = "") -> Column:
-    n_words, n_repeats = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
-    return (n_words < rules.min_words) | (n_repeats * 100 > n_words * rules.max_repeat_percent)
+def failed(rules: HostRules) -> Column:
+    repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent
+    return (F.col("n_words") < rules.min_words) | repeats
 
 
 def host_verdicts(documents: DataFrame, rules: HostRules) -> DataFrame:
@@ -138,19 +138,19 @@ def kept(docs: DataFrame, host: Column | None = None, rules: HostRules | None =
     where they are: the few verdicts of hosts come to them."""
     rules = rules or HostRules()
     own = F.coalesce((F.col("source") if host is None else host).cast("string"), F.lit(""))
-    names = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("_host", StringType()), *(StructField(f"_{m}", LongType()) for m in MEASURES)])
+    held = docs.select(own.alias("host"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    schema = StructType([*held.schema.fields, *(StructField(m, LongType()) for m in MEASURES)])
 
     def measure(batches):
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, "row.text"):
             found = measured_chunk(chunk)
             columns = [*chunk.batch.columns, *(pa.array(found[m].astype(np.int64)) for m in MEASURES)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    rows = docs.withColumn("_host", own).mapInArrow(measure, schema)
-    good = materialise(rows.withColumn("_failed", failed(rules, "_")).drop(*(f"_{m}" for m in MEASURES)))
-    verdicts = host_verdicts(good.select(F.col("_host").alias("host"), F.col("_failed").alias("base_failed")), rules)
-    verdicts = verdicts.filter("host_kept").select(F.col("host").alias("_host"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    verdicts = materialise(verdicts)  # its size is known then, and texts need no shuffle where it is small
-    salted = good.filter("NOT _failed").withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts)).cast("int"))
-    return salted.join(verdicts, ["_host", "_salt"], "left_semi").select(*names)
+    rows = held.mapInArrow(measure, schema)
+    rows = materialise(rows.select("host", "row", failed(rules).alias("base_failed")))
+    # Written, so that its size is known, and texts need no shuffle where it is small.
+    verdicts = materialise(host_verdicts(rows.select("host", "base_failed"), rules).filter("host_kept"))
+    verdicts = verdicts.select("host", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    salted = rows.filter("NOT base_failed").withColumn("salt", F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(salts)).cast("int"))
+    return salted.join(verdicts, ["host", "salt"], "left_semi").select("row.*")

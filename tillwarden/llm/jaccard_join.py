@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwarden.llm.components import components
-from tillwarden.llm.text import NO_ID, U64, Chunk, chunks, grams, inner, key_columns, keyed, mix, words
+from tillwarden.llm.text import NO_ID, U64, Chunk, chunks, grams, inner, key_columns, keyed, mix, words, wrapped
 from tillwarden.session import materialise
 
 SHINGLE = 5
@@ -358,7 +358,7 @@ def joined(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
 
 def one_of_each(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
     """One row of ``docs`` per class, with its columns. Rows that repeat a keeper's id and text
-    are copies of it, so one of them stays; rows without a word all stay."""
-    verdict = joined(docs, settings).filter("keeper").select("_id", "_copy", F.lit(True).alias("_kept")).distinct()
-    rows = docs.withColumns(key_columns()).join(verdict, ["_id", "_copy"], "left_semi")
-    return rows.dropDuplicates(["_id", "_copy"]).select(*docs.columns)
+    are copies of it, so one of them stays; rows without a word stay."""
+    verdict = joined(docs, settings).filter("keeper").select("_id", "_copy")
+    rows = wrapped(docs).withColumns(key_columns("row.text", "row.doc_id")).join(verdict, ["_id", "_copy"], "left_semi")
+    return rows.dropDuplicates(["_id", "_copy"]).select("row.*")

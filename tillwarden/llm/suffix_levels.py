@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwarden.llm import passages
-from tillwarden.llm.text import chunk_of, key_columns, keyed, real_id
+from tillwarden.llm.text import chunk_of, key_columns, keyed, real_id, wrapped
 
 LENGTH = 400
 #: Bytes that make one batch of a family.
@@ -181,10 +181,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     changed = with_repeats(docs, length).filter(F.col("_starts").isNotNull())
     changed = changed.select("_id", "_copy", "_text", "_starts", "_counts").mapInArrow(run, "_id long, _copy long, _left string")
     changed = changed.dropDuplicates(["_id", "_copy"])
-    out = docs.withColumns(key_columns()).join(changed, ["_id", "_copy"], "left")
-    columns = {"text": F.coalesce("_left", "text")}
+    out = wrapped(docs).withColumns(key_columns("row.text", "row.doc_id")).join(changed, ["_id", "_copy"], "left")
+    values = {"text": F.coalesce("_left", "row.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.col("_left").isNotNull(), F.char_length("_left").cast(kind)).otherwise(F.col("n_chars"))
-    return out.withColumns(columns).select(*docs.columns)
-
+        values["n_chars"] = F.when(F.col("_left").isNotNull(), F.char_length("_left").cast(kind)).otherwise(F.col("row.n_chars"))
+    return out.select(*(values.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

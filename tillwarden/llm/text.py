@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +101,9 @@ class Words:
 
 
 def chunk_of(batch: pa.RecordBatch, column: str = "text") -> Chunk:
-    values = batch.column(column)
+    """``column`` may name a field of a struct column (``row.text``)."""
+    outer, _, field = column.partition(".")
+    values = pc.struct_field(batch.column(outer), field) if field else batch.column(outer)
     values = values.cast(pa.large_string()) if pa.types.is_string(values.type) else values
     values = values.cast(pa.large_binary()).fill_null(b"")
     if len(values) == 0:
@@ -172,11 +175,17 @@ def unioned(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return owner[first], start[first], reach[last] - rank[first] * step
 
 
-def key_columns() -> dict[str, Column]:
+def wrapped(docs: DataFrame) -> DataFrame:
+    """Whole rows in one struct column ``row``, so that no column of theirs can clash with those
+    that an operator adds; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def key_columns(text: str = "text", doc_id: str = "doc_id") -> dict[str, Column]:
     """``_id`` (doc_id, NO_ID if missing) and ``_copy`` (hash of the text, so rows that share an
     id but not a text stay apart)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_copy": F.xxhash64(text)}
+    words_ = F.coalesce(F.col(text), F.lit(""))
+    return {"_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), "_copy": F.xxhash64(words_)}
 
 
 def keyed(docs: DataFrame) -> DataFrame:
