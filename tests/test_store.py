@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tillwarden.operators.quality import CheckFailed
 from tillwarden.plans import nightly
 from tillwarden.schemas import FRAUD_ALERTS
-from tillwarden.sources.tables import APPLIED, TableStore
+from tillwarden.sources.tables import TableStore
 from test_models import raw
 
 COLUMNS = "k STRING, v BIGINT, loaded_at TIMESTAMP_NTZ"
@@ -34,26 +34,78 @@ def test_unfinished_version_is_not_read(store, spark, tmp_path):
     assert rows(store.read("t"), "v") == [(1,)]
 
 
+def files(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
 def test_merge_replaces_by_key_and_touches_only_hit_partitions(store, spark, tmp_path):
     store.merge("t", load(spark, ("a", 1), ("b", 1)), ["k"], "loaded_at")
     store.merge("t", load(spark, ("c", 2), day=1), ["k"], "loaded_at")
-    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "rows").rglob("*.parquet")}
+    kept = files(tmp_path / "t")
     store.merge("t", load(spark, ("c", 3), ("d", 3), day=2), ["k"], "loaded_at")
     assert rows(store.read("t"), "k", "v") == [("a", 1), ("b", 1), ("c", 3), ("d", 3)]
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "rows").rglob("*.parquet")}
+    after = files(tmp_path / "t")
     assert all(after[p] == t for p, t in kept.items() if "2024-03-01" in str(p))
-    assert not any("2024-03-02" in str(p) for p in after)  # its only row moved to the newer load
-
-
-def test_merge_repeated_after_a_failure_gives_the_same_table(store, spark, tmp_path):
-    store.merge("t", load(spark, ("a", 1), ("b", 1)), ["k"], "loaded_at")
-    store.merge("t", load(spark, ("b", 2), ("c", 2), day=1), ["k"], "loaded_at")
-    before = rows(store.read("t"))
-    (tmp_path / "t_load" / "v=2" / APPLIED).unlink()  # as if the driver died before the end
-    store.recover("t", ["k"])
-    store.recover("t", ["k"])
-    assert rows(store.read("t")) == before
-    assert (tmp_path / "t_load" / "v=2" / APPLIED).exists()
+    assert not any("2024-03-02" in str(p) for p in store.read("t").inputFiles())  # its only row moved on
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["write", "publish", "cut"])
+@pytest.mark.parametrize("first", [True, False])
+def test_failed_merge_leaves_the_table_and_can_be_repeated(store, spark, tmp_path, monkeypatch, step, first):
+    """A failure before the new partitions are written, before they are published, or while the
+    pointer is; also of a first load that holds copies."""
+    if not first:
+        store.merge("t", load(spark, ("a", 1), ("b", 1)), ["k"], "loaded_at")
+    new = load(spark, ("b", 2), ("b", 3) if first else ("c", 2), day=0 if first else 1)
+    before = rows(store.read("t")) if not first else None
+
+    def fail(*_, **__):
+        raise Broken
+
+    with monkeypatch.context() as patch:
+        if step == "write":
+            patch.setattr(store, "_children", fail)
+        else:
+            plain = store._publish
+            cut = lambda name, pointer: (plain(name, pointer), [p.write_text(p.read_text()[:20]) for p in (tmp_path / "t").glob(f"pointer-{pointer['number']}")], fail())
+            patch.setattr(store, "_publish", fail if step == "publish" else cut)
+            for crc in (tmp_path / "t").glob(".pointer*"):
+                crc.unlink()
+        with pytest.raises(Exception):
+            store.merge("t", new, ["k"], "loaded_at")
+    for crc in (tmp_path / "t").glob(".pointer*"):
+        crc.unlink()  # the checksum of the file that was cut above
+    assert (rows(store.read("t")) if not first else store._pointer("t")) == before
+    store.recover("t")
+    store.merge("t", new, ["k"], "loaded_at")
+    assert rows(store.read("t"), "k", "v") == ([("b", 2), ("b", 3)] if first else [("a", 1), ("b", 2), ("c", 2)])
+
+
+def test_loads_are_known_by_number_and_marks_are_kept(store, spark):
+    store.merge("t", load(spark, ("a", 1)), ["k"], "loaded_at", {"seen": 4})
+    store.merge("t", load(spark, ("b", 2), ("a", 3)), ["k"], "loaded_at")  # the same load date
+    assert (store.load_number("t"), store.marks("t")) == (2, {"seen": 4})
+    assert rows(store.since("t", 1), "k", "v") == [("a", 3), ("b", 2)] and store.since("t", 2).count() == 0
+    assert store.load_number("none") == 0 and store.marks("none") == {}
+
+
+def test_new_rows_are_read_from_new_folders_only(store, spark):
+    for day in range(3):
+        store.merge("t", load(spark, (f"k{day}", day), day=day), ["k"], "loaded_at")
+    assert all("merge=3" in f for f in store.since("t", 2).inputFiles())
+
+
+def test_old_folders_and_versions_go(store, spark, tmp_path):
+    for n in range(5):
+        store.merge("t", load(spark, ("a", n)), ["k"], "loaded_at")
+        store.overwrite("v", load(spark, ("a", n)))
+    names = lambda t: sorted(p.name for p in (tmp_path / t).iterdir() if not p.name.startswith("."))
+    assert names("t") == ["merge=4", "merge=5", "pointer-4", "pointer-5"] and names("v") == ["v=4", "v=5"]
+    assert rows(store.read("t"), "v") == [(4,)]
 
 
 def test_merge_refuses_repeated_keys(store, spark):
@@ -97,13 +149,34 @@ def test_nightly_in_two_loads_equals_one(spark, tmp_path):
     nightly.run(two, day2, alerts, at(DAY + 60), None, BOUNDS)
     nightly.run(one, day2, alerts, at(DAY + 60), None, BOUNDS)
     for table in ("clean_transactions", "fraud_flags", "merchant_risk_scores", "high_risk_customers"):
-        hidden = ("load_date", "dbt_loaded_at", "silver_loaded_at", "fraud_flags_loaded_at", "refreshed_at")
+        hidden = ("load_date", "load_number", "dbt_loaded_at", "silver_loaded_at", "fraud_flags_loaded_at", "refreshed_at")
         assert rows(two.read(table).drop(*hidden)) == rows(one.read(table).drop(*hidden)), table
     before = rows(two.read("fraud_flags"))
     nightly.run(two, day2, alerts, at(DAY + 120), None, BOUNDS)
     assert rows(two.read("fraud_flags")) == before
 
 
+def test_repeat_at_the_same_as_of_takes_new_rows_and_late_alerts(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    day1 = raw(spark, {"transaction_id": "a"}, {"transaction_id": "b"})
+    nightly.run(store, day1, alerts_for(spark, "a"), at(60), None, BOUNDS)
+    more = day1.unionByName(raw(spark, {"transaction_id": "c", "ingested_at": at(30)}))
+    late = alerts_for(spark, "b", "c").withColumn("alerted_at", F.lit(at(50)))
+    nightly.run(store, more, alerts_for(spark, "a").unionByName(late), at(60), None, BOUNDS)
+    for table in ("raw_transactions", "clean_transactions", "fraud_flags"):
+        assert rows(store.read(table), "transaction_id") == [("a",), ("b",), ("c",)], table
+    assert rows(store.read("fraud_flags"), "is_flagged") == [(True,)] * 3
+
+
+def test_incomplete_rows_wait_aside(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    bad = raw(spark, {"transaction_id": "a"}, {"transaction_id": None}, {"transaction_id": None}, {"transaction_id": "d", "amount": None})
+    for _ in range(2):
+        nightly.run(store, bad, alerts_for(spark), at(60), None, BOUNDS)
+    assert rows(store.read("raw_transactions"), "transaction_id") == [("a",)]
+    assert store.read("rejected_transactions").where("transaction_id = 'd'").count() == 1
+
+
 def test_failed_step_stops_the_run(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     with pytest.raises(CheckFailed, match="freshness"):

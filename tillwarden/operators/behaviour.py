@@ -20,8 +20,26 @@ KEY, TIME, COUNTRY = "customer_id", "event_time", "merchant_country"
 CELL_WINDOWS = 4  # a cell spans four look-back windows, so a quarter of the points reach into the next
 
 
-def _at(time: str) -> Column:
-    return F.unix_micros(F.col(time).cast("timestamp"))
+EPOCH = "1970-01-01 00:00:00"
+
+
+def _at(df: DataFrame, time: str = TIME) -> Column:
+    """Microseconds since 1970. Zone-less times are counted as they stand, so the session's
+    zone and its clock changes play no part; instants need none."""
+    if df.schema[time].dataType.typeName() == "timestamp":
+        return F.unix_micros(time)
+    since = F.col(time) - F.lit(EPOCH).cast("timestamp_ntz")
+    part = lambda name, unit: F.extract(F.lit(name), since).cast("long") * unit
+    seconds = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("long")
+    return part("DAY", 86_400_000_000) + part("HOUR", 3_600_000_000) + part("MINUTE", 60_000_000) + seconds
+
+
+def _moment(at: Column, like: DataFrame, time: str = TIME) -> Column:
+    """The time column's own type back from microseconds."""
+    if like.schema[time].dataType.typeName() == "timestamp":
+        return F.timestamp_micros(at)
+    span = F.make_dt_interval(secs=(at.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return F.lit(EPOCH).cast("timestamp_ntz") + span
 
 
 def _cell(at: Column, width: int) -> Column:
@@ -45,8 +63,8 @@ def _running(edges: DataFrame, name: str) -> DataFrame:
     return asked.select(KEY, "cell", "at", name)
 
 
-def _per_instant(sums: DataFrame, name: str) -> DataFrame:
-    return sums.select(KEY, F.timestamp_micros("at").cast("timestamp_ntz").alias(TIME), name)
+def _per_instant(sums: DataFrame, name: str, like: DataFrame) -> DataFrame:
+    return sums.select(KEY, _moment(F.col("at"), like).alias(TIME), name)
 
 
 def trailing_count(df: DataFrame, look_back: timedelta, name: str = "recent_transactions") -> DataFrame:
@@ -57,7 +75,7 @@ def trailing_count(df: DataFrame, look_back: timedelta, name: str = "recent_tran
     """
     span, width = micros(look_back), micros(look_back) * CELL_WINDOWS
     at = F.col("at")
-    points = df.select(KEY, _at(TIME).alias("at")).groupBy(KEY, "at").agg(F.count(F.lit(1)).alias("n"))
+    points = df.select(KEY, _at(df).alias("at")).groupBy(KEY, "at").agg(F.count(F.lit(1)).alias("n"))
     reached = points.select(KEY, "at", "n", _reach(at, span, width).alias("cell"))
     edges = reached.repartition(KEY, "cell").select(
         KEY,
@@ -69,7 +87,7 @@ def trailing_count(df: DataFrame, look_back: timedelta, name: str = "recent_tran
             )
         ),
     )
-    return _per_instant(_running(edges, name), name)
+    return _per_instant(_running(edges, name), name, df)
 
 
 def trailing_countries(df: DataFrame, look_back: timedelta, name: str = "recent_countries") -> DataFrame:
@@ -80,7 +98,7 @@ def trailing_countries(df: DataFrame, look_back: timedelta, name: str = "recent_
     """
     span, width = micros(look_back), micros(look_back) * CELL_WINDOWS
     at = F.col("at")
-    sightings = df.select(KEY, _at(TIME).alias("at"), COUNTRY).distinct()
+    sightings = df.select(KEY, _at(df).alias("at"), COUNTRY).distinct()
     reached = sightings.select(KEY, "at", COUNTRY, _reach(at, span, width).alias("cell"))
     following = Window.partitionBy(KEY, "cell", COUNTRY).orderBy("at")
     one = F.col(COUNTRY).isNotNull().cast("int")
@@ -99,7 +117,7 @@ def trailing_countries(df: DataFrame, look_back: timedelta, name: str = "recent_
         )
     )
     # several countries at one instant ask for the same sum
-    return _per_instant(_running(edges, name).dropDuplicates([KEY, "cell", "at"]), name)
+    return _per_instant(_running(edges, name).dropDuplicates([KEY, "cell", "at"]), name, df)
 
 
 def with_velocity(df: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
@@ -165,9 +183,9 @@ def repeat_offences(df: DataFrame, alerts: DataFrame, look_back: timedelta = tim
     shrink to one row per (customer, cell) before they meet the transactions.
     """
     span = micros(look_back)
-    at = _at(TIME)
+    at = _at(df)
     cells = (
-        alerts.select(KEY, at.alias("alert_at"))
+        alerts.select(KEY, _at(alerts).alias("alert_at"))
         .groupBy(KEY, _cell(F.col("alert_at"), span).alias("cell"))
         .agg(F.min("alert_at").alias("first_at"), F.max("alert_at").alias("last_at"))
     )

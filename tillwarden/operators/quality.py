@@ -24,7 +24,7 @@ class CheckFailed(Exception):
 
 def freshness(raw: DataFrame, as_of: datetime | str, max_age: timedelta = MAX_AGE, table: str = "transactions_raw"):
     """Fails unless a row was ingested within ``max_age`` before ``as_of``."""
-    recent = raw.where(F.col("ingested_at") >= instant(as_of) - interval(max_age))
+    recent = raw.where(F.col("ingested_at").between(instant(as_of) - interval(max_age), instant(as_of)))
     rows = recent.agg(F.count(F.lit(1)).alias("n"))
     return rows.select(
         F.lit("freshness").alias("check_name"),

@@ -50,8 +50,9 @@ def only_approved(scored: DataFrame) -> DataFrame:
 
 
 def rule_quality(scored: DataFrame, *by: str, label: str = "is_fraud_label") -> DataFrame:
-    """Confusion counts and rates of ``score > 0`` against the label, per ``by`` columns."""
-    fired, fraud = F.col("fraud_score") > 0, F.col(label)
+    """Confusion counts and rates of ``score > 0`` against the label, per ``by`` columns. A row
+    without a score has not fired; one without a label is in no count."""
+    fired, fraud = F.coalesce(F.col("fraud_score") > 0, F.lit(False)), F.col(label)
     counts = scored.groupBy(*by).agg(
         how_many(fired & fraud).alias("true_positives"),
         how_many(fired & ~fraud).alias("false_positives"),

@@ -114,7 +114,7 @@ def profile_facts(alerts: DataFrame, as_of: datetime | str | None, last_country:
     """
     recent = alerts
     if as_of is not None:
-        recent = alerts.where(F.col("event_time") >= instant(as_of) - interval(PROFILE_WINDOW))
+        recent = alerts.where(F.col("event_time").between(instant(as_of) - interval(PROFILE_WINDOW), instant(as_of)))
     per_country = recent.groupBy("customer_id", "merchant_country").agg(
         F.count(F.lit(1)).alias("n"), F.sum("fraud_score").alias("score"), F.max("event_time").alias("latest")
     )

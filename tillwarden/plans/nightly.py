@@ -6,11 +6,14 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillwarden.operators import quality
+from tillwarden.operators.dedup import keep_first
+from tillwarden.operators.merge import sync_columns
 from tillwarden.plans import alert_views, gold, layers
 from tillwarden.schemas import CUSTOMER_RISK_PROFILES
-from tillwarden.sources.tables import LOAD_DATE, TableStore
+from tillwarden.sources.tables import LOAD_DATE, LOAD_NUMBER, TableStore
 
 STEPS = ("freshness", "bronze", "silver", "gold", "checks", "profiles")
 KEY = ["transaction_id"]
@@ -23,50 +26,100 @@ def run(
     as_of: datetime | str,
     layers_wanted: Sequence[str] | None = None,
     rate_bounds: tuple[float, float] = quality.RATE_BOUNDS_PCT,
+    ingest_date: str | None = None,
 ) -> list[str]:
-    """Bring the store's tables up to ``as_of`` and return the steps done. Safe to repeat:
-    a second run finds nothing new and leaves the tables as they are. ``as_of`` stamps the
-    loads and must grow from one run with new rows to the next."""
+    """Bring the store's tables up to ``as_of`` and return the steps done. Safe to repeat, also
+    at the same ``as_of`` and after a failure: each step takes the loads of the step before
+    that it has not taken yet, by number. ``ingest_date`` names a partition column of ``raw``
+    that holds the date of ``ingested_at``; older partitions are then not listed."""
     wanted = STEPS if layers_wanted is None else [s for s in STEPS if s in layers_wanted]
     for step in wanted:
-        _RUN[step](store, raw, alerts, as_of, rate_bounds)
+        _RUN[step](store, raw, alerts, as_of, rate_bounds, ingest_date)
     return list(wanted)
 
 
-def _freshness(store, raw, alerts, as_of, rate_bounds):
+def _freshness(store, raw, alerts, as_of, rate_bounds, ingest_date):
     quality.require(quality.freshness(raw, as_of))
 
 
-def _bronze(store, raw, alerts, as_of, rate_bounds):
-    store.recover("raw_transactions", KEY)
-    rows = layers.bronze_raw_transactions(raw, as_of, store.newest_load("raw_transactions"))
-    store.merge("raw_transactions", rows, KEY, "dbt_loaded_at")
-
-
-def _silver(store, raw, alerts, as_of, rate_bounds):
-    store.recover("clean_transactions", KEY)
-    bronze = store.read("raw_transactions")
-    rows = layers.silver_clean_transactions(bronze, as_of, store.newest_load("clean_transactions"), LOAD_DATE)
-    store.merge("clean_transactions", rows, KEY, "silver_loaded_at")
-
-    store.recover("fraud_flags", KEY)
-    clean = store.read("clean_transactions").drop(LOAD_DATE)
-    existing = store.read("fraud_flags") if store.exists("fraud_flags") else None
-    store.merge("fraud_flags", layers.silver_fraud_flags(clean, alerts, as_of, existing), KEY, "fraud_flags_loaded_at")
-
-
-def _gold(store, raw, alerts, as_of, rate_bounds):
-    flags = store.read("fraud_flags")
+def _bronze(store, raw, alerts, as_of, rate_bounds, ingest_date):
+    """Rows above the highest ingest time taken. Rows without a required value wait in
+    ``rejected_transactions`` instead of the layers."""
+    name = "raw_transactions"
+    store.recover(name)
+    mark = store.marks(name).get("ingested_at")
+    fresh = raw
+    if mark is not None:
+        moment = F.lit(mark).cast("timestamp_ntz")
+        fresh = raw if ingest_date is None else raw.where(F.col(ingest_date) >= F.to_date(moment))
+        fresh = fresh.where(F.col("ingested_at") > moment)
+    fresh = fresh.drop(ingest_date) if ingest_date else fresh
+    newest = fresh.agg(F.max("ingested_at").cast("string")).first()[0]  # one value
+    if newest is None:
+        return
+    complete, incomplete = layers.split_incomplete(fresh)
+    if not incomplete.isEmpty():
+        known = store.read("rejected_transactions") if store.exists("rejected_transactions") else None
+        both = incomplete if known is None else sync_columns(known, incomplete).unionByName(incomplete)
+        store.overwrite("rejected_transactions", both.distinct())  # a repeated run brings the same rows
+    if mark is not None:
+        complete = keep_first(complete, KEY, ["ingested_at"])
+    rows = layers.bronze_raw_transactions(complete, as_of)
+    store.merge(name, rows, KEY, "dbt_loaded_at", {"ingested_at": newest})
+
+
+def _silver(store, raw, alerts, as_of, rate_bounds, ingest_date):
+    store.recover("clean_transactions")
+    taken, there = store.marks("clean_transactions").get("raw_transactions", 0), store.load_number("raw_transactions")
+    if there > taken:
+        bronze = store.since("raw_transactions", taken).drop(LOAD_DATE, LOAD_NUMBER)
+        rows = layers.silver_clean_transactions(bronze, as_of)
+        store.merge("clean_transactions", rows, KEY, "silver_loaded_at", {"raw_transactions": there})
+    _flags(store, alerts, as_of)
+
+
+def _flags(store, alerts, as_of):
+    """Newly cleaned transactions, and older ones that an alert above the mark names.
+
+    A transaction's alert has its event time (or the alert's arrival), so only alerts from the
+    earliest event of the new transactions on can belong to these.
+    """
+    name = "fraud_flags"
+    store.recover(name)
+    marks = store.marks(name)
+    taken, there = marks.get("clean_transactions", 0), store.load_number("clean_transactions")
+    newest = alerts.agg(F.max("alerted_at").cast("string")).first()[0]  # one value
+    seen = marks.get("alerted_at")
+    late = seen is not None and newest is not None and newest > seen
+    if there == taken and not late:
+        return
+    drop = (LOAD_DATE, LOAD_NUMBER)
+    fresh = store.since("clean_transactions", taken)
+    first = fresh.agg(F.min("event_time").cast("string")).first()[0]  # one value
+    load, facts = fresh, alerts.where(F.col("event_time") >= F.lit(first).cast("timestamp_ntz"))
+    if late:
+        news = alerts.where(F.col("alerted_at") > F.lit(seen).cast("timestamp_ntz"))
+        named = news.select(*KEY).distinct()
+        older = store.read("clean_transactions").where(F.col(LOAD_NUMBER) <= taken).join(named, KEY, "left_semi")
+        load = fresh.unionByName(older)
+        # Of an older transaction all alerts count, the earliest of them first.
+        facts = alerts.join(load.select(*KEY), KEY, "left_semi")
+    rows = layers.silver_fraud_flags(load.drop(*drop), facts, as_of)
+    store.merge(name, rows, KEY, "fraud_flags_loaded_at", {"clean_transactions": there, "alerted_at": newest or seen})
+
+
+def _gold(store, raw, alerts, as_of, rate_bounds, ingest_date):
+    flags = store.read("fraud_flags").drop(LOAD_NUMBER)
     store.overwrite("fraud_summary_daily", gold.fraud_summary_daily(flags, as_of))
     store.overwrite("high_risk_customers", gold.high_risk_customers(flags, as_of), lookup_by="customer_id")
     store.overwrite("merchant_risk_scores", gold.merchant_risk_scores(flags, as_of))
 
 
-def _checks(store, raw, alerts, as_of, rate_bounds):
+def _checks(store, raw, alerts, as_of, rate_bounds, ingest_date):
     quality.require(quality.model_checks(store.read("fraud_flags"), rate_bounds))
 
 
-def _profiles(store, raw, alerts, as_of, rate_bounds):
+def _profiles(store, raw, alerts, as_of, rate_bounds, ingest_date):
     name = "customer_risk_profiles"
     known = store.read(name) if store.exists(name) else store.spark.createDataFrame([], CUSTOMER_RISK_PROFILES)
     store.overwrite(name, alert_views.refresh_customer_risk_profiles(known, alerts, as_of), lookup_by="customer_id")

@@ -2,42 +2,31 @@
 
 * ``overwrite`` writes a new version folder; readers see it once Spark has put its
   ``_SUCCESS`` file there, so a lost job leaves the old version in force.
-* ``merge`` rewrites only the load-date partitions that hold a replaced key. The rows
-  to merge are first written as a table of their own: the merge can then be repeated
-  after a failure with the same rows, and gives the same table.
+* ``merge`` writes the load-date partitions that change into a new folder and then publishes
+  them with one small pointer file. Nothing that the table consists of is overwritten or
+  deleted before that, so a merge that fails at any point leaves the table as it was, and
+  repeating it is a new merge.
+
+Every merged row carries the number of the load that brought it (``load_number``), and each
+pointer can carry marks of what its sources had given: what is new for the next step is asked
+by number, never by clock.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from tillwarden.operators.merge import assert_unique, upsert
 
-LOAD_DATE = "load_date"
-APPLIED = "_APPLIED"
-BROADCAST_KEYS = 5_000_000  # hashes of so many keys take about 250 MB in an executor
-
-
-def _dates(df: DataFrame) -> set[str]:
-    """The load dates that occur (one value per load day comes to the driver)."""
-    return {str(row[0]) for row in df.select(LOAD_DATE).distinct().collect()}
-
-
-def _maybe_replaced(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Table rows whose key hash occurs in ``rows``: all replaced rows, rarely one more.
-
-    Only the key columns are read. A load of up to ``BROADCAST_KEYS`` rows goes to the
-    executors as hashes, so the big table is not shuffled; a larger one is joined by
-    shuffling both sides.
-    """
-    code = F.xxhash64(*keys).alias("code")
-    codes = rows.select(code).distinct()
-    if rows.count() <= BROADCAST_KEYS:
-        codes = F.broadcast(codes)
-    return table.select(LOAD_DATE, code).join(codes, "code", "left_semi")
+LOAD_DATE, LOAD_NUMBER = "load_date", "load_number"
+#: Partition column: the merge that wrote a row's file (a row keeps its load number).
+WRITTEN = "merge"
+KEPT_VERSIONS = 2
 
 
 class TableStore:
@@ -57,83 +46,186 @@ class TableStore:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._path(location))]
 
+    def _numbered(self, location: str, prefix: str) -> list[int]:
+        """Numbers of the children ``prefix`` + number, newest first."""
+        found = (c[len(prefix):] for c in self._children(location) if c.startswith(prefix))
+        return sorted((int(n) for n in found if n.isdigit()), reverse=True)
+
+    def _delete(self, location: str) -> None:
+        self._fs.delete(self._path(location), True)
+
     # Tables rebuilt whole
 
     def _version(self, name: str) -> int:
         """Newest complete version, 0 when there is none."""
         folder = f"{self.root}/{name}"
-        numbers = [int(c[2:]) for c in self._children(folder) if c.startswith("v=")]
-        return next((n for n in sorted(numbers, reverse=True) if self._there(f"{folder}/v={n}/_SUCCESS")), 0)
+        return next((n for n in self._numbered(folder, "v=") if self._there(f"{folder}/v={n}/_SUCCESS")), 0)
 
     def _folder(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
 
     def overwrite(self, name: str, df: DataFrame, lookup_by: str | None = None) -> DataFrame:
         """``lookup_by`` orders the files by that column, so that a lookup of one value
-        reads the few row groups whose minimum and maximum enclose it."""
-        target = self._folder(name, self._version(name) + 1)
+        reads the few row groups whose minimum and maximum enclose it. The version before
+        stays for its readers, older ones are deleted."""
+        version = self._version(name) + 1
         ordered = df if lookup_by is None else df.repartitionByRange(lookup_by).sortWithinPartitions(lookup_by)
-        ordered.write.mode("overwrite").parquet(target)
-        return self.spark.read.parquet(target)
+        ordered.write.mode("overwrite").parquet(self._folder(name, version))
+        for old in self._numbered(f"{self.root}/{name}", "v="):
+            if old <= version - KEPT_VERSIONS:
+                self._delete(self._folder(name, old))
+        return self.spark.read.parquet(self._folder(name, version))
 
     # Tables merged by key
 
-    def _merged(self, name: str) -> str:
-        return f"{self.root}/{name}/rows"
-
-    def _partitions(self, name: str) -> list[str]:
+    def _pointer(self, name: str) -> dict | None:
+        """The newest readable pointer; one that a crash cut short does not count."""
+        folder = f"{self.root}/{name}"
+        for number in self._numbered(folder, "pointer-"):
+            if (pointer := self._parsed(f"{folder}/pointer-{number}")) is not None:
+                return pointer
+        return None
+
+    def _parsed(self, location: str) -> dict | None:
+        java = self.spark._jvm.java.io
+        lines = java.BufferedReader(java.InputStreamReader(self._fs.open(self._path(location)), "UTF-8"))
+        try:
+            return json.loads(lines.readLine() or "")
+        except ValueError:
+            return None
+        finally:
+            lines.close()
+
+    def _publish(self, name: str, pointer: dict) -> None:
+        out = self._fs.create(self._path(f"{self.root}/{name}/pointer-{pointer['number']}"), True)
+        try:
+            out.write(bytearray(json.dumps(pointer).encode()))
+        finally:
+            out.close()
+
+    def _parts(self, name: str, pointer: dict, dates: Sequence[str] | None = None) -> list[str]:
+        wanted = pointer["parts"] if dates is None else {d: pointer["parts"][d] for d in dates}
+        return [f"{self.root}/{name}/{WRITTEN}={n}/{LOAD_DATE}={d}" for d, n in sorted(wanted.items())]
+
+    def _read_parts(self, name: str, pointer: dict, dates: Sequence[str] | None = None) -> DataFrame:
+        """Rows of the published partitions, with the partition columns last."""
+        columns = StructType.fromJson(pointer["columns"])
+        full = StructType([*columns.fields, StructField(WRITTEN, IntegerType()), StructField(LOAD_DATE, DateType())])
+        parts = self._parts(name, pointer, dates)
+        if not parts:
+            return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).option("basePath", f"{self.root}/{name}").parquet(*parts)
+
+    def merge(
+        self, name: str, rows: DataFrame, keys: Sequence[str], loaded: str, marks: dict[str, object] | None = None
+    ) -> int:
+        """Put ``rows`` into the table and return the load's number; ``loaded`` is their load
+        time column. Whole rows replace those of the same key. The first load of a table may
+        hold copies of a key, later ones may not. ``marks`` is kept with the load.
+
+        Three jobs read data: one writes the load, one looks up its keys and finds the
+        partitions that hold a replaced row, one writes the partitions that change.
+        """
+        pointer = self._pointer(name) or {"number": 0, "parts": {}, "columns": None, "marks": {}}
+        number = pointer["number"] + 1
+        staged = f"{self.root}/{name}/load-{number}"
+        stamped = rows.withColumns({LOAD_NUMBER: F.lit(number).cast("long"), LOAD_DATE: F.to_date(loaded)})
+        stamped.write.mode("overwrite").parquet(staged)
+        load = self.spark.read.schema(stamped.schema).parquet(staged)
+        columns = StructType([f for f in stamped.schema.fields if f.name != LOAD_DATE])
+        new_dates = {str(r[0]) for r in load.select(LOAD_DATE).distinct().collect()}  # one value per load day
+        hit: set[str] = set()
+        result = load
+        if pointer["number"] and new_dates:
+            assert_unique(load, keys)
+            table = self._read_parts(name, pointer)
+            found = table.select(LOAD_DATE, *keys).join(load.select(*keys), list(keys), "left_semi").select(LOAD_DATE)
+            hit = {str(r[0]) for r in found.distinct().collect()}
+            touched = sorted(hit | (new_dates & set(pointer["parts"])))
+            if touched:
+                kept = self._read_parts(name, pointer, touched).drop(WRITTEN)
+                result = upsert(kept, load, keys)
+        target = f"{self.root}/{name}/{WRITTEN}={number}"
+        result.write.partitionBy(LOAD_DATE).mode("overwrite").parquet(target)
         prefix = f"{LOAD_DATE}="
-        return sorted(c[len(prefix):] for c in self._children(self._merged(name)) if c.startswith(prefix))
-
-    def merge(self, name: str, rows: DataFrame, keys: Sequence[str], loaded: str) -> None:
-        """Put ``rows`` into the table; ``loaded`` is their load time column. The rows
-        must not depend on an unfinished merge: call ``recover`` before computing them."""
-        self.overwrite(f"{name}_load", rows.withColumn(LOAD_DATE, F.to_date(loaded)))
-        self._apply(name, keys)
-
-    def recover(self, name: str, keys: Sequence[str]) -> None:
-        """Finish a merge that was interrupted."""
-        version = self._version(f"{name}_load")
-        if version and not self._there(f"{self._folder(f'{name}_load', version)}/{APPLIED}"):
-            self._apply(name, keys)
-
-    def _apply(self, name: str, keys: Sequence[str]) -> None:
-        load = self._folder(f"{name}_load", self._version(f"{name}_load"))
-        rows = self.spark.read.parquet(load)
-        new_dates = _dates(rows)
-        writer = dict(partitionBy=LOAD_DATE, mode="overwrite")
-        if not self._partitions(name):
-            rows.write.parquet(self._merged(name), **writer)
-        elif new_dates:
-            assert_unique(rows, keys)
-            table = self.spark.read.schema(rows.schema).parquet(self._merged(name))
-            hit_dates = _dates(_maybe_replaced(table, rows, keys))
-            touched = table.where(F.col(LOAD_DATE).cast("string").isin(*sorted(hit_dates | new_dates)))
-            result = upsert(touched, rows, keys)
-            left = _dates(result)
-            result.write.option("partitionOverwriteMode", "dynamic").parquet(self._merged(name), **writer)
-            for day in hit_dates - left:  # every row of that day moved to a newer load
-                self._fs.delete(self._path(f"{self._merged(name)}/{LOAD_DATE}={day}"), True)
-        self._fs.create(self._path(f"{load}/{APPLIED}")).close()
+        written = {c[len(prefix):]: number for c in self._children(target) if c.startswith(prefix)}
+        parts = {d: n for d, n in pointer["parts"].items() if d not in hit | new_dates} | written
+        before = dict(pointer["marks"])
+        self._publish(
+            name,
+            {"number": number, "parts": parts, "columns": columns.jsonValue(), "marks": before | (marks or {})},
+        )
+        self._delete(staged)
+        self.clean(name)
+        return number
+
+    def clean(self, name: str) -> None:
+        """Delete what neither the table nor its state before the last merge consists of, and
+        what failed merges have left."""
+        folder = f"{self.root}/{name}"
+        pointers = self._numbered(folder, "pointer-")
+        if not pointers:
+            return
+        kept = pointers[:KEPT_VERSIONS]
+        used = set(kept)
+        for number in kept:
+            pointer = self._parsed(f"{folder}/pointer-{number}")
+            used |= set(pointer["parts"].values()) if pointer else set()
+        for number in self._numbered(folder, f"{WRITTEN}="):
+            if number not in used and number < pointers[0]:
+                self._delete(f"{folder}/{WRITTEN}={number}")
+        for number in pointers[KEPT_VERSIONS:]:
+            self._delete(f"{folder}/pointer-{number}")
+
+    def recover(self, name: str, keys: Sequence[str] = ()) -> None:
+        """Delete what an interrupted merge has left. The table itself needs no repair."""
+        pointer = self._pointer(name)
+        done = pointer["number"] if pointer else 0
+        folder = f"{self.root}/{name}"
+        for number in self._numbered(folder, "load-"):
+            self._delete(f"{folder}/load-{number}")
+        for number in self._numbered(folder, f"{WRITTEN}="):
+            if number > done:
+                self._delete(f"{folder}/{WRITTEN}={number}")
+
+    def marks(self, name: str) -> dict:
+        """Marks of the last load, empty when there is none."""
+        pointer = self._pointer(name)
+        return pointer["marks"] if pointer else {}
+
+    def load_number(self, name: str) -> int:
+        """Number of the last load, 0 when there is none."""
+        pointer = self._pointer(name)
+        return pointer["number"] if pointer else 0
+
+    def since(self, name: str, number: int) -> DataFrame:
+        """Rows brought by loads after ``number``. They were written by merges after it, so
+        only those folders are read."""
+        pointer = self._pointer(name)
+        dates = [d for d, n in pointer["parts"].items() if n > number]
+        return self._read_parts(name, pointer, dates).where(F.col(LOAD_NUMBER) > number).drop(WRITTEN)
 
     # Both kinds
 
     def exists(self, name: str) -> bool:
-        return bool(self._partitions(name) or self._version(name))
+        return bool(self._numbered(f"{self.root}/{name}", "pointer-") or self._version(name))
 
     def read(self, name: str) -> DataFrame:
         """The table as it is now. A merged table has the columns of its latest load: a
         column added since is NULL in older rows, a dropped one is gone."""
-        if self._partitions(name):
-            columns = self.spark.read.parquet(self._folder(f"{name}_load", self._version(f"{name}_load"))).schema
-            return self.spark.read.schema(columns).parquet(self._merged(name))
+        pointer = self._pointer(name)
+        if pointer:
+            return self._read_parts(name, pointer).drop(WRITTEN)
         return self.spark.read.parquet(self._folder(name, self._version(name)))
 
     def newest_load(self, name: str) -> DataFrame | None:
         """Rows of the latest load date: they hold the table's highest load and ingest time."""
-        dates = self._partitions(name)
-        return self.read(name).where(F.col(LOAD_DATE) == F.lit(dates[-1]).cast("date")) if dates else None
+        pointer = self._pointer(name)
+        return self._read_parts(name, pointer, [max(pointer["parts"])]).drop(WRITTEN) if pointer and pointer["parts"] else None
 
     def view(self, name: str, df: DataFrame) -> None:
         """A named view for SQL users of this session."""
         df.createOrReplaceTempView(name)
+
+
+__all__ = ["LOAD_DATE", "LOAD_NUMBER", "TableStore"]
