@@ -734,14 +734,7 @@ def recent_alerts(spark, sf_dir):
     )
 )
 def time_window_filter(spark, sf_dir):
-    alerts = I.payment_alerts(spark, sf_dir)
-    counts = [
-        serving.within_window(alerts, name, "2024-01-30 12:00:00").agg(
-            F.lit(name).alias("time_window"), F.count(F.lit(1)).alias("alerts")
-        )
-        for name in serving.TIME_WINDOWS
-    ]
-    return quality.all_checks(*counts)
+    return serving.window_counts(I.payment_alerts(spark, sf_dir), "2024-01-30 12:00:00")
 
 
 @query(

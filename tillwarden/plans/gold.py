@@ -18,6 +18,22 @@ from tillwarden.operators.ranking import global_rank
 # Flag-rate bounds (percent, exceeded) of the tiers, highest first.
 RATE_TIERS = ((50, "CRITICAL"), (20, "HIGH"), (5, "MEDIUM"))
 HIGH_MIN_FLAGS, MEDIUM_MIN_FLAGS = 3, 1
+# The tables' columns in order.
+DAILY_COLUMNS = (
+    "transaction_date", "total_transactions", "flagged_transactions", "confirmed_fraud", "fraud_flag_rate_pct",
+    "confirmed_fraud_rate_pct", "total_volume_usd", "flagged_volume_usd", "avg_transaction_amount",
+    "max_transaction_amount", "critical_count", "high_count", "medium_count", "low_count", "amount_rule_hits",
+    "merchant_rule_hits", "geo_rule_hits", "refreshed_at",
+)
+CUSTOMER_COLUMNS = (
+    "customer_id", "customer_name", "total_transactions", "total_flags", "critical_flags", "fraud_rate_pct",
+    "total_spend_usd", "flagged_spend_usd", "avg_fraud_score", "max_fraud_score", "countries_used",
+    "most_common_country", "last_seen", "last_flagged", "risk_tier", "fraud_rank", "refreshed_at",
+)
+MERCHANT_COLUMNS = (
+    "merchant_category", "total_transactions", "total_flags", "fraud_rate_pct", "avg_fraud_score", "total_volume_usd",
+    "flagged_volume_usd", "unique_customers", "countries_seen", "merchant_risk_tier", "refreshed_at",
+)
 
 
 def rate_tier(rate_pct: Column, also: dict[str, Column] | None = None) -> Column:
@@ -54,7 +70,7 @@ def fraud_summary_daily(flags: DataFrame, as_of: datetime | str) -> DataFrame:
             "refreshed_at": instant(as_of),
         }
     )
-    return shown.drop("volume", "flagged_volume", "priced").orderBy(F.desc("transaction_date"))
+    return shown.select(*DAILY_COLUMNS).orderBy(F.desc("transaction_date"))
 
 
 def customer_stats(flags: DataFrame) -> DataFrame:
@@ -118,7 +134,7 @@ def high_risk_customers(flags: DataFrame, as_of: datetime | str) -> DataFrame:
             "refreshed_at": instant(as_of),
         }
     ).withColumn("risk_tier", tier)
-    return shown.drop("spend", "flagged_spend", "flag_score_sum").orderBy("fraud_rank", "customer_id")
+    return shown.select(*CUSTOMER_COLUMNS).orderBy("fraud_rank", "customer_id")
 
 
 def merchant_risk_scores(flags: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -149,6 +165,4 @@ def merchant_risk_scores(flags: DataFrame, as_of: datetime | str) -> DataFrame:
             "refreshed_at": instant(as_of),
         }
     ).withColumn("merchant_risk_tier", rate_tier(F.col("fraud_rate_pct")))
-    return shown.drop("score_sum", "volume", "flagged_volume").orderBy(
-        F.desc_nulls_last("fraud_rate_pct"), "merchant_category"
-    )
+    return shown.select(*MERCHANT_COLUMNS).orderBy(F.desc_nulls_last("fraud_rate_pct"), "merchant_category")

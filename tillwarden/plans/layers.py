@@ -65,13 +65,18 @@ def silver_clean_transactions(
     fresh = bronze if existing is None else newer_than(bronze, existing, "dbt_loaded_at", load_partition)
     fresh = fresh if load_partition is None else fresh.drop(load_partition)
     first = keep_first(fresh, ["transaction_id"], ["dbt_loaded_at", "event_time"])
-    return first.select("dbt_loaded_at", *cleaned_columns(), instant(as_of).alias("silver_loaded_at"))
+    return first.select(*cleaned_columns(), "dbt_loaded_at", instant(as_of).alias("silver_loaded_at"))
 
 
 def cleaned_columns() -> list:
-    """The cleaned columns; the bucket looks at the amount before it is rounded."""
+    """The cleaned columns in the table's order (a fixed value); the bucket looks at the amount
+    before it is rounded."""
     c, event_time = F.col, F.col("event_time")
     named = {
+        "transaction_id": c("transaction_id"),
+        "customer_id": c("customer_id"),
+        "customer_name": c("customer_name"),
+        "event_time": event_time,
         "amount": F.round("amount", 2),
         "currency": F.upper(F.trim("currency")),
         "merchant_name": F.trim("merchant_name"),
@@ -79,15 +84,17 @@ def cleaned_columns() -> list:
         "merchant_country": F.upper(F.trim("merchant_country")),
         "customer_lat": in_range(c("customer_lat"), *LATITUDE),
         "customer_lon": in_range(c("customer_lon"), *LONGITUDE),
+        "card_last4": c("card_last4"),
         "card_type": F.upper("card_type"),
         "transaction_date": F.to_date(event_time),
         "transaction_hour": F.hour(event_time).cast("long"),
         "day_of_week": F.dayofweek(event_time).cast("long"),
         "is_weekend": is_weekend(event_time),
         "amount_bucket": amount_bucket(c("amount")),
+        "is_fraud_label": c("is_fraud_label"),
+        "fraud_type": c("fraud_type"),
     }
-    kept = ["transaction_id", "customer_id", "customer_name", "event_time", "card_last4", "is_fraud_label", "fraud_type"]
-    return [*kept, *(value.alias(name) for name, value in named.items())]
+    return [value.alias(name) for name, value in named.items()]
 
 
 def silver_fraud_flags(

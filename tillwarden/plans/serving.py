@@ -72,10 +72,10 @@ def kpi_buffer(buffer: DataFrame) -> DataFrame:
 
 
 def kpis(summary: DataFrame, alerts: DataFrame, day: date | str) -> DataFrame:
-    """The day's figures, or those of the newest alerts when the day has no row yet."""
+    """The day's figures, or those of the newest alerts when the day has no row yet (one small
+    look at the summary decides, and only one of the two is computed)."""
     of_day = kpi_day(summary, day)
-    missing = of_day.agg(F.count(F.lit(1))).scalar() == 0
-    return of_day.unionByName(kpi_buffer(latest_alerts(alerts)).where(missing))
+    return kpi_buffer(latest_alerts(alerts)) if of_day.isEmpty() else of_day
 
 
 def alert_feed(
@@ -127,6 +127,17 @@ def within_window(df: DataFrame, window: str, as_of: datetime | str) -> DataFram
     return df if span is None else df.where(F.col("event_time") >= instant(as_of) - interval(span))
 
 
+def window_counts(df: DataFrame, as_of: datetime | str) -> DataFrame:
+    """Rows within each of TIME_WINDOWS before ``as_of``, in one pass."""
+    kept = {
+        name: F.lit(True) if span is None else F.col("event_time") >= instant(as_of) - interval(span)
+        for name, span in TIME_WINDOWS.items()
+    }
+    counts = df.agg(*(how_many(test).alias(name) for name, test in kept.items()))
+    rows = (F.struct(F.lit(name).alias("time_window"), F.col(f"`{name}`").alias("alerts")) for name in kept)
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def fraud_rate_bands(summary: DataFrame) -> DataFrame:
     """Per day: band of the flag rate, distance to the expected rate, alarm."""
     rate = F.col("fraud_flag_rate_pct")

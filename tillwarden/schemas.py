@@ -2,60 +2,117 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_TYPES = {
-    "STRING": T.StringType(),
-    "DOUBLE": T.DoubleType(),
-    "BOOLEAN": T.BooleanType(),
-    "INT": T.IntegerType(),
-    "BIGINT": T.LongType(),
-    "DECIMAL(5,2)": T.DecimalType(5, 2),
-    "TIMESTAMP": T.TimestampType(),
-    "TIMESTAMP_NTZ": T.TimestampNTZType(),
-}
-
-
-def columns(text: str) -> T.StructType:
-    """``"name TYPE [NOT NULL], ..."`` as a schema, without needing a session."""
-    fields = []
-    for column in text.split(", "):
-        name, kind, *rest = column.split(" ")
-        fields.append(T.StructField(name, _TYPES[kind], nullable=not rest))
-    return T.StructType(fields)
+from pyspark.sql.types import (
+    BooleanType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
+STRING, DOUBLE, BOOLEAN, INT, LONG = StringType(), DoubleType(), BooleanType(), IntegerType(), LongType()
+SCORE, TIME, INSTANT = DecimalType(5, 2), TimestampNTZType(), TimestampType()
 
 # Column names, order and types of messages and tables.
-TRANSACTION_MESSAGE = columns(
-    "transaction_id STRING NOT NULL, customer_id STRING NOT NULL, customer_name STRING, "
-    "timestamp STRING NOT NULL, amount DOUBLE NOT NULL, currency STRING, merchant_name STRING, "
-    "merchant_category STRING, merchant_country STRING, customer_lat DOUBLE, customer_lon DOUBLE, "
-    "card_last4 STRING, card_type STRING, is_fraud BOOLEAN, fraud_type STRING"
+TRANSACTION_MESSAGE = StructType(
+    [
+        StructField("transaction_id", STRING, nullable=False),
+        StructField("customer_id", STRING, nullable=False),
+        StructField("customer_name", STRING),
+        StructField("timestamp", STRING, nullable=False),
+        StructField("amount", DOUBLE, nullable=False),
+        StructField("currency", STRING),
+        StructField("merchant_name", STRING),
+        StructField("merchant_category", STRING),
+        StructField("merchant_country", STRING),
+        StructField("customer_lat", DOUBLE),
+        StructField("customer_lon", DOUBLE),
+        StructField("card_last4", STRING),
+        StructField("card_type", STRING),
+        StructField("is_fraud", BOOLEAN),
+        StructField("fraud_type", STRING),
+    ]
 )
-ALERT_MESSAGE = columns(
-    "transaction_id STRING, customer_id STRING, timestamp STRING, amount DOUBLE, "
-    "merchant_name STRING, merchant_category STRING, merchant_country STRING, "
-    "customer_lat DOUBLE, customer_lon DOUBLE, card_type STRING, fraud_score INT, "
-    "risk_level STRING, fraud_reason STRING, amount_flag BOOLEAN, merchant_flag BOOLEAN, "
-    "geo_flag BOOLEAN"
+ALERT_MESSAGE = StructType(
+    [
+        StructField("transaction_id", STRING),
+        StructField("customer_id", STRING),
+        StructField("timestamp", STRING),
+        StructField("amount", DOUBLE),
+        StructField("merchant_name", STRING),
+        StructField("merchant_category", STRING),
+        StructField("merchant_country", STRING),
+        StructField("customer_lat", DOUBLE),
+        StructField("customer_lon", DOUBLE),
+        StructField("card_type", STRING),
+        StructField("fraud_score", INT),
+        StructField("risk_level", STRING),
+        StructField("fraud_reason", STRING),
+        StructField("amount_flag", BOOLEAN),
+        StructField("merchant_flag", BOOLEAN),
+        StructField("geo_flag", BOOLEAN),
+    ]
 )
-TRANSACTIONS_RAW = columns(
-    "id BIGINT, transaction_id STRING, customer_id STRING, customer_name STRING, "
-    "event_time TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, amount DOUBLE, currency STRING, "
-    "merchant_name STRING, merchant_category STRING, merchant_country STRING, "
-    "customer_lat DOUBLE, customer_lon DOUBLE, card_last4 STRING, card_type STRING, "
-    "is_fraud_label BOOLEAN, fraud_type STRING"
+TRANSACTIONS_RAW = StructType(
+    [
+        StructField("id", LONG),
+        StructField("transaction_id", STRING),
+        StructField("customer_id", STRING),
+        StructField("customer_name", STRING),
+        StructField("event_time", TIME),
+        StructField("ingested_at", TIME),
+        StructField("amount", DOUBLE),
+        StructField("currency", STRING),
+        StructField("merchant_name", STRING),
+        StructField("merchant_category", STRING),
+        StructField("merchant_country", STRING),
+        StructField("customer_lat", DOUBLE),
+        StructField("customer_lon", DOUBLE),
+        StructField("card_last4", STRING),
+        StructField("card_type", STRING),
+        StructField("is_fraud_label", BOOLEAN),
+        StructField("fraud_type", STRING),
+    ]
 )
-FRAUD_ALERTS = columns(
-    "alert_id BIGINT, transaction_id STRING, customer_id STRING, event_time TIMESTAMP_NTZ, "
-    "alerted_at TIMESTAMP_NTZ, amount DOUBLE, merchant_name STRING, merchant_category STRING, "
-    "merchant_country STRING, customer_lat DOUBLE, customer_lon DOUBLE, card_type STRING, "
-    "fraud_score DECIMAL(5,2), risk_level STRING, fraud_reason STRING, amount_flag BOOLEAN, "
-    "merchant_flag BOOLEAN, geo_flag BOOLEAN"
+FRAUD_ALERTS = StructType(
+    [
+        StructField("alert_id", LONG),
+        StructField("transaction_id", STRING),
+        StructField("customer_id", STRING),
+        StructField("event_time", TIME),
+        StructField("alerted_at", TIME),
+        StructField("amount", DOUBLE),
+        StructField("merchant_name", STRING),
+        StructField("merchant_category", STRING),
+        StructField("merchant_country", STRING),
+        StructField("customer_lat", DOUBLE),
+        StructField("customer_lon", DOUBLE),
+        StructField("card_type", STRING),
+        StructField("fraud_score", SCORE),
+        StructField("risk_level", STRING),
+        StructField("fraud_reason", STRING),
+        StructField("amount_flag", BOOLEAN),
+        StructField("merchant_flag", BOOLEAN),
+        StructField("geo_flag", BOOLEAN),
+    ]
 )
-CUSTOMER_RISK_PROFILES = columns(
-    "customer_id STRING, total_transactions BIGINT, total_fraud_alerts BIGINT, "
-    "fraud_rate DOUBLE, cumulative_fraud_score BIGINT, last_alert_time TIMESTAMP_NTZ, "
-    "last_seen_country STRING, risk_tier STRING, updated_at TIMESTAMP_NTZ"
+CUSTOMER_RISK_PROFILES = StructType(
+    [
+        StructField("customer_id", STRING),
+        StructField("total_transactions", LONG),
+        StructField("total_fraud_alerts", LONG),
+        StructField("fraud_rate", DOUBLE),
+        StructField("cumulative_fraud_score", LONG),
+        StructField("last_alert_time", TIME),
+        StructField("last_seen_country", STRING),
+        StructField("risk_tier", STRING),
+        StructField("updated_at", TIME),
+    ]
 )
+FILE_MESSAGES = StructType([StructField("key", STRING), StructField("value", STRING), StructField("timestamp", INSTANT)])
 REQUIRED_RAW_COLUMNS = ("transaction_id", "customer_id", "event_time", "amount")

@@ -17,11 +17,13 @@ def utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    All executors must reach it. Only a session without one (tests, a laptop)
-    gets a local temporary folder.
+    All executors must reach it. Only a session of one process (tests, a laptop)
+    without the setting gets a local temporary folder.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if named is None and sc.getCheckpointDir() is None and not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tillwarden-"))
     return (named or sc.getCheckpointDir()).rstrip("/")

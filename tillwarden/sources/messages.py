@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 from tillwarden.config import ALERT_TOPIC, APPROVED_TOPIC, RAW_TOPIC
-from tillwarden.schemas import ALERT_MESSAGE, TRANSACTION_MESSAGE, columns
+from tillwarden.schemas import ALERT_MESSAGE, FILE_MESSAGES, TRANSACTION_MESSAGE
 
-FILE_MESSAGES = columns("key STRING, value STRING, timestamp TIMESTAMP")
 MALFORMED = "_malformed"
 
 
