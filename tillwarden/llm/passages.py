@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, keyed, unioned, words
+from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, keyed, mix, unioned, words
 from tillwarden.session import materialise
 
 #: One entry: a segment of ``n`` window starts from ``start`` in the document (id, copy).
@@ -36,6 +36,8 @@ ENTRY = np.dtype(
     [("seg", "<u8"), ("id", "<i8"), ("anchor", "<u8"), ("copy", "<u4"), ("start", "<u4"), ("n", "<u4"), ("weight", "u1")]
 )
 _PLACE = U64((1 << 28) - 1)
+#: Bytes of text whose hashes a worker holds at once.
+CHUNK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -225,9 +227,11 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
     buckets = tasks * scheme.buckets_per_task
 
     def gather(batches):
-        for chunk in chunks(batches, "_text"):
+        for chunk in chunks(batches, "_text", CHUNK):
             covered, sent = _settled_in_chunk(scheme.rule, entries_of(scheme, chunk))
-            yield _sent([*_dealt(sent, sent["anchor"], buckets, 0), *_dealt(covered, covered["anchor"], buckets, 1)])
+            # What is settled only passes through, so it is dealt evenly, not by its frequent anchors.
+            passing = mix(covered["id"].astype(U64))
+            yield _sent([*_dealt(sent, sent["anchor"], buckets, 0), *_dealt(covered, passing, buckets, 1)])
 
     def judge(batches):
         for _, plain, passed in _by_bucket(batches):
@@ -306,13 +310,14 @@ def _fetch(scheme: Scheme, buckets: int) -> Callable:
             entries["n"], entries["weight"] = 1, np.where(known[pick], 2, 1)
             # Windows have no anchor of their own here; equal ones share a segment hash.
             covered, sent = _settled_in_chunk(scheme.rule, entries)
-            for bucket, settled, blob in (*_dealt(sent, sent["seg"], buckets, 0), *_dealt(covered, covered["seg"], buckets, 1)):
+            passing = mix(covered["id"].astype(U64))
+            for bucket, settled, blob in (*_dealt(sent, sent["seg"], buckets, 0), *_dealt(covered, passing, buckets, 1)):
                 yield 1, bucket, 0, 0, 0, 0, bool(settled), blob
 
     def fetch(batches):
         types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
         names = [c.split()[0] for c in _FETCHED.split(", ")]
-        for chunk in chunks(batches, "_text"):
+        for chunk in chunks(batches, "_text", CHUNK):
             found = list(rows(chunk))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate(types)], names)
 

@@ -105,7 +105,8 @@ def chunk_of(batch: pa.RecordBatch, column: str = "text") -> Chunk:
     outer, _, field = column.partition(".")
     values = pc.struct_field(batch.column(outer), field) if field else batch.column(outer)
     values = values.cast(pa.large_string()) if pa.types.is_string(values.type) else values
-    values = values.cast(pa.large_binary()).fill_null(b"")
+    values = values.cast(pa.large_binary())
+    values = values.fill_null(b"") if values.null_count else values  # this copies the texts
     if len(values) == 0:
         return Chunk(batch, np.zeros(0, np.uint8), np.zeros(1, np.int64))
     _, offsets, data = values.buffers()
