@@ -1,5 +1,5 @@
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from helpers import at, frame, rows, visits
 
@@ -78,3 +78,20 @@ def test_profile_lookup_defaults_to_unknown(spark):
     df = frame(spark, "transaction_id STRING, customer_id STRING", [("1", "known"), ("2", "new")])
     got = rows(behaviour.with_profile(df, known), "transaction_id", "risk_tier", "total_fraud_alerts", "repeat_offender")
     assert got == [("1", "HIGH", 3, True), ("2", "UNKNOWN", 0, False)]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    """Two events an hour apart around a change of clocks are not within a minute."""
+    df = frame(
+        spark,
+        "customer_id STRING, event_time TIMESTAMP_NTZ, merchant_country STRING",
+        [("c", datetime(2024, 3, 10, 1, 59, 59), "US"), ("c", datetime(2024, 3, 10, 2, 30), "US"), ("c", datetime(2024, 3, 10, 3, 0, 1), "RU")],
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        counts = behaviour.trailing_count(df, timedelta(minutes=1)).collect()
+        assert sorted((r["event_time"], r["recent_transactions"]) for r in counts) == [(r["event_time"], 1) for r in df.orderBy("event_time").collect()]
+        assert behaviour.repeat_offences(df, df.where("merchant_country = 'RU'"), timedelta(minutes=10)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

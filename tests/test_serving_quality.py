@@ -76,3 +76,9 @@ def test_freshness(spark):
     assert rows(quality.freshness(df, at(7200)), "passed") == [(True,)]
     with pytest.raises(quality.CheckFailed):
         quality.require(quality.freshness(df, at(7201)))
+
+
+def test_rows_after_as_of_are_not_fresh(spark):
+    df = frame(spark, "ingested_at TIMESTAMP_NTZ", [(at(10 * 86400),)])
+    assert quality.freshness(df, at(0)).first()["passed"] is False
+    assert quality.freshness(df, at(10 * 86400 + 60)).first()["passed"] is True

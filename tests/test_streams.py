@@ -5,8 +5,10 @@ import pytest
 from helpers import START, at, frame, rows
 
 from pyspark.sql import functions as F
-from tillwarden.operators import rules
+from tillwarden.config import RuleConfig
+from tillwarden.operators import behaviour, rules
 from tillwarden.plans import serving
+from tillwarden.schemas import FRAUD_ALERTS, TRANSACTIONS_RAW
 from tillwarden.sources import messages as topics
 from tillwarden.streaming import jobs
 
@@ -134,11 +136,15 @@ def test_redelivered_message_counts_once(spark, topic, tmp_path):
 
 
 def test_routing_writes_both_topics_from_one_query(spark, topic, tmp_path):
-    topic.send(body(1), body(2, amount=5000.0), body(3, amount=None))
-    jobs.finish(jobs.start_routing(topic.stream(), f"{tmp_path}/out", f"{tmp_path}/offsets", trigger=None))
-    stored = spark.read.parquet(f"{tmp_path}/out")
-    got = stored.select("topic", F.get_json_object("value", "$.transaction_id"))
-    assert rows(got) == [("approved-transactions", "1"), ("fraud-alerts", "2")]
+    topic.send(body(1), body(2, amount=5000.0), body(3, amount=None, merchant_category="crypto_exchange"))
+    topic.send("{not json", None)
+
+    def routed(name, *settings):
+        jobs.finish(jobs.start_routing(topic.stream(), f"{tmp_path}/{name}", f"{tmp_path}/{name}-offsets", *settings, trigger=None))
+        return rows(spark.read.parquet(f"{tmp_path}/{name}").select("topic", F.get_json_object("value", "$.transaction_id")))
+
+    assert routed("out") == [("approved-transactions", "1"), ("fraud-alerts", "2"), ("fraud-alerts", "3")]
+    assert routed("strict", RuleConfig()) == [("approved-transactions", "1"), ("fraud-alerts", "2"), ("review-transactions", "3")]
 
 
 def test_loaders_read_a_topic_independently(spark, topic, tmp_path):
@@ -147,13 +153,88 @@ def test_loaders_read_a_topic_independently(spark, topic, tmp_path):
     jobs.finish(jobs.start_raw_loader(topic.stream(), f"{tmp_path}/raw", f"{tmp_path}/o2", trigger=None))
     alerts = topics.read_messages(spark, "parquet", {}, f"{tmp_path}/alerts")
     jobs.finish(jobs.start_alert_loader(alerts, f"{tmp_path}/table", f"{tmp_path}/o3", trigger=None))
-    assert rows(spark.read.parquet(f"{tmp_path}/table"), "transaction_id", "event_time") == [("2", at(0))]
-    loaded = spark.read.parquet(f"{tmp_path}/raw")
+    loaded = jobs.loaded_rows(spark, f"{tmp_path}/table", FRAUD_ALERTS)
+    assert rows(loaded, "transaction_id", "event_time") == [("2", at(0))]
+    loaded = jobs.loaded_rows(spark, f"{tmp_path}/raw", TRANSACTIONS_RAW)
     assert rows(loaded, "transaction_id", "currency", "is_fraud_label", "ingested_at") == [
         ("1", "USD", False, START), ("2", "USD", False, START)
     ]
 
 
+def test_raw_loader_keeps_aside_what_is_no_row_and_numbers_the_rest(spark, topic, tmp_path):
+    topic.send(body(1), body(2))
+    topic.send(None, "{not json", body(3, amount="much"), body(4, timestamp="soon"), body(5, customer=None))
+    topic.send(body(6), body(7))
+    jobs.finish(jobs.start_raw_loader(topic.stream(), f"{tmp_path}/raw", f"{tmp_path}/offsets", trigger=None))
+    loaded = jobs.loaded_rows(spark, f"{tmp_path}/raw", TRANSACTIONS_RAW)
+    assert rows(loaded, "transaction_id", "load_day") == [(n, START.date()) for n in "1267"]
+    ids = [r["id"] for r in loaded.orderBy("batch_id", "id").collect()]
+    assert ids == sorted(set(ids)) and ids[0] >= 1
+    rejects = jobs.loaded_rejects(spark, f"{tmp_path}/raw")
+    assert rejects.count() == 5 and rejects.where("message IS NULL").count() == 1
+    reasons = {r["reason"] for r in rejects.collect()}
+    assert "malformed" in reasons and "missing event_time" in reasons and "missing customer_id" in reasons
+
+
+def test_alerts_that_come_after_the_start_are_found(spark, topic, tmp_path):
+    alerts = f"{tmp_path}/alerts"
+    schema = "customer_id STRING, event_time TIMESTAMP"
+    frame(spark, schema, [("a", at(0))]).write.parquet(alerts)
+    topic.send(body(1, "a", 60), body(2, "b", 60))
+    stream = jobs.transactions(topic.stream()).select("transaction_id", "customer_id", "event_time")
+    read = lambda: spark.read.parquet(alerts)
+    query = jobs.start_repeat_offences(stream, read, f"{tmp_path}/hits", f"{tmp_path}/offsets", trigger="1 second")
+    query.processAllAvailable()
+    frame(spark, schema, [("b", at(90))]).write.mode("append").parquet(alerts)
+    topic.send(body(3, "b", 120), body(4, "c", 120))
+    query.processAllAvailable()
+    query.stop()
+    assert rows(spark.read.parquet(f"{tmp_path}/hits"), "transaction_id") == [("1",), ("3",)]
+
+
+def test_changes_are_read_once_and_nothing_new_gives_no_rows(spark, tmp_path):
+    table, schema = f"{tmp_path}/table", frame(spark, "k STRING", []).schema
+
+    def feed(*keys):
+        if keys:
+            frame(spark, "k STRING", [(k,) for k in keys]).write.mode("append").parquet(table)
+        jobs.finish(jobs.start_change_feed(spark, table, schema, f"{tmp_path}/changes", f"{tmp_path}/offsets"))
+
+    feed("a")
+    seen, mark = jobs.changes_after(spark, f"{tmp_path}/changes", schema)
+    assert rows(seen) == [("a",)]
+    feed()
+    seen, same = jobs.changes_after(spark, f"{tmp_path}/changes", schema, mark)
+    assert seen.count() == 0 and same == mark
+    feed("b")
+    feed("c")  # two runs between two reads
+    seen, _ = jobs.changes_after(spark, f"{tmp_path}/changes", schema, mark)
+    assert rows(seen) == [("b",), ("c",)]
+
+
+def test_one_alert_per_run_of_windows(spark, topic, tmp_path):
+    topic.send(body(1, "a", 0), body(2, "a", 60, merchant_country="RU"), body(3, "a", 7200), body(4, "a", 7230, merchant_country="NG"))
+    topic.send(body(5, "other", 40_000))
+    topic.send(body(6, "other", 40_001))
+    transactions = jobs.transactions(topic.stream())
+    alerts = drain(spark, jobs.first_multi_country_alerts(transactions), tmp_path)
+    stored = topics.decode(spark.read.parquet(topic.path))
+    batch = behaviour.first_of_each_run(behaviour.multi_country_alerts(stored))
+    assert rows(alerts) == rows(batch) and alerts.count() == 2
+
+
+def test_real_time_job_writes_topics_and_stops_as_one(spark, topic, tmp_path):
+    topic.send(body(1), body(2, amount=5000.0))
+    queries = jobs.start_real_time(topic.stream(), str(tmp_path / "run"), trigger="1 second")
+    for query in queries:
+        query.processAllAvailable()
+    queries[0].stop()
+    jobs.run_until_stopped(spark)
+    assert not any(q.isActive for q in queries)
+    assert spark.read.parquet(f"{tmp_path}/run/topics").count() == 2
+    spark.streams.resetTerminated()
+
+
 def test_profiles_grow_with_each_batch(spark, topic, tmp_path):
     topic.send(body(1, "a", 1, amount=5000.0), body(2, "b", 2, amount=5000.0))
     topic.send(body(3, "a", 3, amount=5000.0, merchant_country="RU"), body(4, "b", 4))
@@ -163,6 +244,10 @@ def test_profiles_grow_with_each_batch(spark, topic, tmp_path):
     assert rows(jobs.current_profiles(spark, f"{tmp_path}/changes"), *names) == [
         ("a", 2, 95, "US", "MEDIUM"), ("b", 1, 30, "US", "MEDIUM")
     ]
+    before = rows(jobs.current_profiles(spark, f"{tmp_path}/changes"))
+    jobs.compact_profiles(spark, f"{tmp_path}/changes")
+    folders = [p.name[:5] for p in (tmp_path / "changes").iterdir() if "=" in p.name]
+    assert rows(jobs.current_profiles(spark, f"{tmp_path}/changes")) == before and folders == ["upto="]
 
 
 def test_running_totals(spark, topic, tmp_path):

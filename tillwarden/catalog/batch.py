@@ -818,3 +818,70 @@ def nightly_two_loads(spark, sf_dir):
     nightly.run(store, _before(raw, "2024-01-16"), _before(alerts, "2024-01-16"), "2024-01-16 00:00:00", None, bounds)
     nightly.run(store, raw, alerts, I.AS_OF, None, bounds)
     return store.read("merchant_risk_scores")
+
+
+def _failing(store, times):
+    """The store's next ``times`` merges stop before they are published."""
+    publish, left = store._publish, [times]
+
+    def fail(name, pointer):
+        if left[0]:
+            left[0] -= 1
+            raise OSError("lost before the table was published")
+        publish(name, pointer)
+
+    store._publish = fail
+
+
+@query(
+    C.sql(
+        C.PAYMENTS,
+        """SELECT transaction_id, amount, CASE WHEN event_time >= TIMESTAMP '2024-01-11' THEN 'second' ELSE 'first' END AS load
+           FROM payments""",
+    )
+)
+def merge_after_failure(spark, sf_dir):
+    """A merge that is lost twice before it is published, and then repeated: nothing is lost."""
+    store = TableStore(spark, new_run_dir(spark, "failing"))
+    rows = materialise(I.payments(spark, sf_dir)).select("transaction_id", "amount", "event_time")
+    store.merge("t", _before(rows, "2024-01-21").withColumn("load", F.lit("first")), ["transaction_id"], "event_time")
+    second = _from(rows, "2024-01-11").withColumn("load", F.lit("second"))
+    _failing(store, 2)
+    for _ in range(3):
+        try:
+            store.merge("t", second, ["transaction_id"], "event_time")
+        except OSError:
+            store.recover("t")
+    return store.read("t").select("transaction_id", "amount", "load")
+
+
+@query(
+    C.sql(
+        C.FLAGS,
+        """SELECT transaction_id, amount, merchant_category, CAST(fraud_score AS DOUBLE) AS fraud_score, is_flagged,
+           'flags' AS place FROM flags
+           UNION ALL SELECT transaction_id, round(amount, 2), merchant_category, -1.0, FALSE, 'clean' FROM payments
+           UNION ALL SELECT transaction_id, amount, '', -1.0, FALSE, 'bronze' FROM payments
+           UNION ALL SELECT customer_id, -1.0, '', -1.0, FALSE, 'profiles' FROM alerts
+           WHERE event_time BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31' GROUP BY customer_id""",
+    )
+)
+def nightly_repeat(spark, sf_dir):
+    """Two runs at the same ``as_of``, with rows and late alerts added in between: bronze, clean,
+    flags and profiles hold everything."""
+    store = TableStore(spark, new_run_dir(spark, "repeated"))
+    raw, alerts = materialise(I.payments(spark, sf_dir)), materialise(I.payment_alerts(spark, sf_dir))
+    steps = ("bronze", "silver", "profiles")
+    nightly.run(store, _before(raw, "2024-01-16"), _before(alerts, "2024-01-11"), I.AS_OF, steps)
+    nightly.run(store, raw, alerts, I.AS_OF, steps)
+    columns = ("transaction_id", "amount", "merchant_category", "fraud_score", "is_flagged")
+    flags = store.read("fraud_flags").select(*columns, F.lit("flags").alias("place"))
+    clean = store.read("clean_transactions").select(*columns[:3], F.lit("clean").alias("place"))
+    bronze = store.read("raw_transactions").select(*columns[:2], F.lit("bronze").alias("place"))
+    profiles = store.read("customer_risk_profiles").select(F.col("customer_id").alias("transaction_id"), F.lit("profiles").alias("place"))
+    out = flags
+    for more in (clean, bronze, profiles):
+        out = out.unionByName(more, allowMissingColumns=True)
+    missing = {"amount": F.lit(-1.0), "merchant_category": F.lit(""), "is_flagged": F.lit(False)}
+    out = out.withColumn("fraud_score", F.coalesce(F.col("fraud_score").cast("double"), F.lit(-1.0)))
+    return merge.with_defaults(out, missing)

@@ -10,11 +10,13 @@ from tillwarden.catalog import check_sql as C
 from tillwarden.catalog import inputs as I
 from tillwarden.catalog.batch import _FACTS, _before, _from, SLIDING
 from tillwarden.catalog.registry import query
-from tillwarden.operators import behaviour
-from tillwarden.plans import serving
-from tillwarden.schemas import ALERT_MESSAGE
-from tillwarden.session import new_run_dir
+from tillwarden.functions.scalars import utc_time
+from tillwarden.operators import merge
+from tillwarden.plans import alert_views, nightly, serving
+from tillwarden.schemas import ALERT_MESSAGE, FRAUD_ALERTS, TRANSACTIONS_RAW
+from tillwarden.session import materialise, new_run_dir
 from tillwarden.sources import messages as topics
+from tillwarden.sources.tables import TableStore
 from tillwarden.streaming import jobs
 
 
@@ -37,6 +39,9 @@ def _run_to_table(spark, stream, label):
     return spark.read.parquet(f"{folder}/rows")
 
 
+_WITH_ZONE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
 def _plain_times(df):
     """Stream times as the zone-less times of the tables."""
     return df.select(
@@ -88,8 +93,9 @@ def stream_alert_loader(spark, sf_dir):
     jobs.finish(scoring)
     topic = topics.read_messages(spark, "parquet", {}, f"{folder}/topic")
     jobs.finish(jobs.start_alert_loader(topic, f"{folder}/table", f"{folder}/loaded", trigger=None))
-    loaded = spark.read.parquet(f"{folder}/table").withColumn("fraud_score", F.col("fraud_score").cast("double"))
-    return loaded.drop("alerted_at", "customer_lat", "customer_lon", "card_type")
+    loaded = jobs.loaded_rows(spark, f"{folder}/table", FRAUD_ALERTS)
+    loaded = loaded.withColumn("fraud_score", F.col("fraud_score").cast("double"))
+    return loaded.drop("alert_id", "batch_id", "load_day", "alerted_at", "customer_lat", "customer_lon", "card_type")
 
 
 @query(
@@ -103,7 +109,7 @@ def stream_raw_loader(spark, sf_dir):
     folder = new_run_dir(spark, "raw")
     job = jobs.start_raw_loader(_message_stream(spark, sf_dir), f"{folder}/table", f"{folder}/offsets", trigger=None)
     jobs.finish(job)
-    return spark.read.parquet(f"{folder}/table").select(
+    return jobs.loaded_rows(spark, f"{folder}/table", TRANSACTIONS_RAW).select(
         "transaction_id", "customer_id", "event_time", "ingested_at", "amount", "currency", "merchant_name",
         "merchant_category", "merchant_country", "is_fraud_label",
     )
@@ -140,6 +146,28 @@ def stream_multi_country(spark, sf_dir):
     return _plain_times(_run_to_table(spark, jobs.multi_country_alerts(transactions, I.PAYMENT_RULES), "spread"))
 
 
+@query(
+    C.sql(
+        C.PAYMENTS + SLIDING,
+        f"""SELECT customer_id, window_start, window_end, countries, 'MULTI_COUNTRY' AS rule, 'CRITICAL' AS risk_level
+            FROM (
+              SELECT *, max(window_end) OVER (PARTITION BY customer_id, run) AS run_end,
+                     row_number() OVER (PARTITION BY customer_id, run ORDER BY window_start) AS place
+              FROM (
+                SELECT *, sum(fresh) OVER (PARTITION BY customer_id ORDER BY window_start) AS run
+                FROM (
+                  SELECT *, CASE WHEN lag(window_start) OVER (PARTITION BY customer_id ORDER BY window_start)
+                                 >= window_start - INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+                  FROM countries_in)))
+            WHERE place = 1 AND run_end + INTERVAL 9 HOUR <= {_CLOSED}""",
+    )
+)
+def stream_multi_country_first(spark, sf_dir):
+    """One alert per run of windows, for runs that the watermark has closed."""
+    transactions = jobs.transactions(_message_stream(spark, sf_dir))
+    return _plain_times(_run_to_table(spark, jobs.first_multi_country_alerts(transactions, I.PAYMENT_RULES), "first"))
+
+
 @query(C.sql(C.PAYMENTS, "SELECT transaction_id, customer_id, amount FROM payments"))
 def stream_dedup(spark, sf_dir):
     """Every message delivered twice."""
@@ -156,10 +184,34 @@ def stream_dedup(spark, sf_dir):
     )
 )
 def stream_repeat_offences(spark, sf_dir):
-    """The stream against the stored alerts."""
+    """The stream against the alert table, which every batch opens anew."""
+    folder = new_run_dir(spark, "repeat")
     stream = jobs.transactions(_message_stream(spark, sf_dir)).select("transaction_id", "customer_id", "event_time")
-    hits = behaviour.repeat_offences(stream, I.payment_alerts(spark, sf_dir), timedelta(days=1))
-    return _run_to_table(spark, hits.select("transaction_id", "customer_id"), "repeat")
+    alerts = I.payment_alerts(spark, sf_dir).withColumn("event_time", F.to_timestamp(F.date_format("event_time", _WITH_ZONE)))
+    jobs.finish(
+        jobs.start_repeat_offences(
+            stream, lambda: alerts, f"{folder}/hits", f"{folder}/offsets", timedelta(days=1), trigger=None
+        )
+    )
+    return spark.read.parquet(f"{folder}/hits").select("transaction_id", "customer_id")
+
+
+@query(
+    C.sql(
+        C.ALERTS,
+        f"""SELECT p.transaction_id, p.customer_id, coalesce(f.total_fraud_alerts, 0) AS total_fraud_alerts,
+            coalesce(f.risk_tier, 'UNKNOWN') AS risk_tier
+            FROM payments p LEFT JOIN (SELECT customer_id, {_FACTS} FROM alerts GROUP BY customer_id) f
+            ON p.customer_id = f.customer_id""",
+    )
+)
+def stream_profile_lookup(spark, sf_dir):
+    """The stream with its customers' profiles."""
+    folder = new_run_dir(spark, "known")
+    profiles = materialise(alert_views.profile_facts(I.payment_alerts(spark, sf_dir), None))
+    stream = jobs.transactions(_message_stream(spark, sf_dir)).select("transaction_id", "customer_id")
+    jobs.finish(jobs.start_profile_lookup(stream, lambda: profiles, f"{folder}/rows", f"{folder}/offsets", trigger=None))
+    return spark.read.parquet(f"{folder}/rows").select("transaction_id", "customer_id", "total_fraud_alerts", "risk_tier")
 
 
 @query(C.sql(C.ALERTS, f"SELECT customer_id, {_FACTS} FROM alerts GROUP BY customer_id"))
@@ -189,8 +241,51 @@ def change_feed(spark, sf_dir):
     """Two runs of the feed over a growing table; the second sees only the rows added since."""
     folder = new_run_dir(spark, "feed")
     rows = I.payments(spark, sf_dir).select("transaction_id", "amount", "event_time")
+    mark, seen = -1, None
     for part in (_before(rows, "2024-01-16"), _from(rows, "2024-01-16")):
         part.write.mode("append").parquet(f"{folder}/table")
         feed = jobs.start_change_feed(spark, f"{folder}/table", rows.schema, f"{folder}/changes", f"{folder}/offsets")
         jobs.finish(feed)
-    return jobs.newest_batch(spark, f"{folder}/changes")
+        seen, mark = jobs.changes_after(spark, f"{folder}/changes", rows.schema, mark)
+    return seen
+
+
+@query(
+    C.sql(
+        C.FLAGS,
+        """SELECT transaction_id, customer_id, event_time, amount, CAST(fraud_score AS DOUBLE) AS fraud_score, risk_level, is_flagged,
+           'flags' AS place FROM flags
+           UNION ALL SELECT transaction_id, customer_id, event_time, -1.0, -1.0, '', FALSE, 'rejects' FROM payments
+           WHERE CAST(transaction_id AS BIGINT) % 10 = 3""",
+    )
+)
+def stream_to_gold(spark, sf_dir):
+    """Messages, some twice and some without their amount besides, through the loaders and the
+    daily run: the flags of all payments, and the messages that were put aside."""
+    folder = new_run_dir(spark, "gold")
+    good = _message_stream(spark, sf_dir)
+    amount_gone = F.to_json(F.struct(*(F.get_json_object("value", f"$.{c}").alias(c) for c in ("transaction_id", "customer_id", "timestamp"))))
+    third = F.get_json_object("value", "$.transaction_id").cast("long") % 10 == 3
+    bad = good.where(third).withColumn("value", amount_gone)
+    everything = good.unionByName(good.where(third)).unionByName(bad)
+    jobs.finish(jobs.start_alerts(good, f"{folder}/topic", f"{folder}/o1", I.PAYMENT_RULES, trigger=None))
+    topic = topics.read_messages(spark, "parquet", {}, f"{folder}/topic")
+    jobs.finish(jobs.start_alert_loader(topic, f"{folder}/alerts", f"{folder}/o2", trigger=None))
+    jobs.finish(jobs.start_raw_loader(everything, f"{folder}/raw", f"{folder}/o3", trigger=None))
+    raw = jobs.loaded_rows(spark, f"{folder}/raw", TRANSACTIONS_RAW).drop("batch_id")
+    alerts = jobs.loaded_rows(spark, f"{folder}/alerts", FRAUD_ALERTS).drop("batch_id", "load_day")
+    store = TableStore(spark, f"{folder}/store")
+    nightly.run(store, raw, alerts, I.AS_OF, ("bronze", "silver"), ingest_date="load_day")
+    flags = store.read("fraud_flags").select(
+        "transaction_id", "customer_id", "event_time", "amount", F.col("fraud_score").cast("double").alias("fraud_score"),
+        "risk_level", "is_flagged", F.lit("flags").alias("place"),
+    )
+    message = F.col("message")
+    rejects = jobs.loaded_rejects(spark, f"{folder}/raw").select(
+        F.get_json_object(message, "$.transaction_id").alias("transaction_id"),
+        F.get_json_object(message, "$.customer_id").alias("customer_id"),
+        utc_time(F.to_timestamp(F.get_json_object(message, "$.timestamp"))).alias("event_time"),
+        F.lit("rejects").alias("place"),
+    )
+    missing = {"amount": F.lit(-1.0), "fraud_score": F.lit(-1.0), "risk_level": F.lit(""), "is_flagged": F.lit(False)}
+    return merge.with_defaults(flags.unionByName(rejects, allowMissingColumns=True), missing)

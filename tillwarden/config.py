@@ -19,6 +19,8 @@ AMOUNT_POINTS, MERCHANT_POINTS, COUNTRY_POINTS = 30, 35, 35
 MEDIUM_MAX, HIGH_MAX = 30, 65
 RISK_LEVELS = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 RAW_TOPIC, ALERT_TOPIC, APPROVED_TOPIC = "raw-transactions", "fraud-alerts", "approved-transactions"
+# Our own addition: transactions that could not be scored.
+REVIEW_TOPIC = "review-transactions"
 WATERMARK = "30 seconds"
 SCORING_TRIGGER = "5 seconds"
 LOADER_TRIGGER = "10 seconds"
@@ -58,3 +60,5 @@ class RuleConfig:
 
 
 DEFAULT_RULES = RuleConfig()
+#: What the jobs use: a missing value must neither hide an alert nor lose a transaction.
+PIPELINE_RULES = RuleConfig(null_policy="false")

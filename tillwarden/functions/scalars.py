@@ -30,6 +30,29 @@ def duration(span: timedelta) -> str:
     return f"{micros(span)} microseconds"
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def plain_moment(at: Column) -> Column:
+    """Zone-less time from microseconds since 1970."""
+    span = F.make_dt_interval(secs=(at.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return F.lit(EPOCH).cast("timestamp_ntz") + span
+
+
+def plain_micros(time: Column) -> Column:
+    """Microseconds since 1970 of a zone-less time, as it stands: the session's zone and its
+    clock changes play no part."""
+    since = time - F.lit(EPOCH).cast("timestamp_ntz")
+    part = lambda name, unit: F.extract(F.lit(name), since).cast("long") * unit
+    seconds = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("long")
+    return part("DAY", 86_400_000_000) + part("HOUR", 3_600_000_000) + part("MINUTE", 60_000_000) + seconds
+
+
+def utc_time(instant_: Column) -> Column:
+    """An instant as zone-less UTC time, whatever the session's zone."""
+    return plain_moment(F.unix_micros(instant_))
+
+
 def interval(span: timedelta) -> Column:
     return F.lit(span)
 

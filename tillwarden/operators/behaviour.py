@@ -13,33 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwarden.config import DEFAULT_RULES, RuleConfig
-from tillwarden.functions.scalars import duration, micros
+from tillwarden.functions.scalars import duration, micros, plain_micros, plain_moment
 from tillwarden.operators.merge import with_defaults
 
 KEY, TIME, COUNTRY = "customer_id", "event_time", "merchant_country"
 CELL_WINDOWS = 4  # a cell spans four look-back windows, so a quarter of the points reach into the next
 
 
-EPOCH = "1970-01-01 00:00:00"
-
-
 def _at(df: DataFrame, time: str = TIME) -> Column:
-    """Microseconds since 1970. Zone-less times are counted as they stand, so the session's
-    zone and its clock changes play no part; instants need none."""
-    if df.schema[time].dataType.typeName() == "timestamp":
-        return F.unix_micros(time)
-    since = F.col(time) - F.lit(EPOCH).cast("timestamp_ntz")
-    part = lambda name, unit: F.extract(F.lit(name), since).cast("long") * unit
-    seconds = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("long")
-    return part("DAY", 86_400_000_000) + part("HOUR", 3_600_000_000) + part("MINUTE", 60_000_000) + seconds
+    """Microseconds since 1970, of instants or zone-less times."""
+    return F.unix_micros(time) if df.schema[time].dataType.typeName() == "timestamp" else plain_micros(F.col(time))
 
 
 def _moment(at: Column, like: DataFrame, time: str = TIME) -> Column:
     """The time column's own type back from microseconds."""
-    if like.schema[time].dataType.typeName() == "timestamp":
-        return F.timestamp_micros(at)
-    span = F.make_dt_interval(secs=(at.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)"))
-    return F.lit(EPOCH).cast("timestamp_ntz") + span
+    return F.timestamp_micros(at) if like.schema[time].dataType.typeName() == "timestamp" else plain_moment(at)
 
 
 def _cell(at: Column, width: int) -> Column:
@@ -174,6 +162,25 @@ def first_of_each_run(alerts: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> D
     )
 
 
+def first_multi_country_alerts(df: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """``first_of_each_run`` for streams: windows with several countries follow each other at
+    one slide's distance, so they are sessions with a gap of one and a half slides."""
+    window = F.window(TIME, duration(rules.geo_window), duration(rules.geo_slide)).alias("window")
+    sets = df.groupBy(KEY, window).agg(F.size(F.collect_set(COUNTRY)).cast("long").alias("countries"))
+    hits = sets.where(F.col("countries") >= rules.geo_min_countries)
+    run = F.session_window(F.window_time("window"), duration(rules.geo_slide * 1.5)).alias("run")
+    first = F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "countries")
+    firsts = hits.groupBy(KEY, run).agg(F.min(first).alias("first"))
+    return firsts.select(
+        KEY,
+        F.col("first.start").alias("window_start"),
+        F.col("first.end").alias("window_end"),
+        F.col("first.countries").alias("countries"),
+        F.lit("MULTI_COUNTRY").alias("rule"),
+        F.lit("CRITICAL").alias("risk_level"),
+    )
+
+
 def repeat_offences(df: DataFrame, alerts: DataFrame, look_back: timedelta = timedelta(minutes=10)) -> DataFrame:
     """Transactions whose customer had an alert in [event_time - look_back, event_time].
 

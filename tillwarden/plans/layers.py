@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwarden.functions.scalars import amount_bucket, in_range, instant, is_weekend
+from tillwarden.functions.scalars import amount_bucket, in_range, instant, is_weekend, utc_time
 from tillwarden.operators.dedup import keep_first
 from tillwarden.operators.merge import newer_than, with_defaults
 from tillwarden.schemas import REQUIRED_RAW_COLUMNS, TRANSACTIONS_RAW
@@ -32,7 +32,9 @@ def raw_rows(transactions: DataFrame, as_of: datetime | str | None = None) -> Da
     renames = {"is_fraud": "is_fraud_label"}
     shaped = transactions.withColumnsRenamed({k: v for k, v in renames.items() if k in transactions.columns})
     defaults = {"currency": F.lit("USD")} | ({} if as_of is None else {"ingested_at": instant(as_of)})
-    filled = with_defaults(shaped.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), defaults)
+    if shaped.schema["event_time"].dataType.typeName() == "timestamp":
+        shaped = shaped.withColumn("event_time", utc_time(F.col("event_time")))
+    filled = with_defaults(shaped, defaults)
     return filled.select(*(c for c in TRANSACTIONS_RAW.names if c in filled.columns))
 
 

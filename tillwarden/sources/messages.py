@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
-from tillwarden.config import ALERT_TOPIC, APPROVED_TOPIC, RAW_TOPIC
+from tillwarden.config import ALERT_TOPIC, APPROVED_TOPIC, RAW_TOPIC, REVIEW_TOPIC
+from tillwarden.functions.scalars import utc_time
 from tillwarden.schemas import ALERT_MESSAGE, FILE_MESSAGES, TRANSACTION_MESSAGE
 
 MALFORMED = "_malformed"
@@ -36,14 +37,19 @@ def read_messages(spark: SparkSession, format: str, options: dict[str, str], pat
     return reader.load() if format == "kafka" else reader.schema(FILE_MESSAGES).load(path)
 
 
-def decode(messages: DataFrame, schema: StructType = TRANSACTION_MESSAGE, watermark: str | None = None) -> DataFrame:
+def decode(
+    messages: DataFrame,
+    schema: StructType = TRANSACTION_MESSAGE,
+    watermark: str | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """JSON value -> typed columns + ``kafka_timestamp`` + ``event_time``.
 
     Unreadable JSON gives a row of NULLs whose text stays in ``_malformed``; an
-    unreadable time gives a NULL ``event_time``.
+    unreadable time gives a NULL ``event_time``. ``keep`` names columns of the message to keep.
     """
     arrived = messages.select("value", F.col("timestamp").alias("kafka_timestamp"))
-    timed = arrived.select(parse(schema), "kafka_timestamp").withColumn("event_time", F.try_to_timestamp("timestamp"))
+    timed = arrived.select(parse(schema), "kafka_timestamp", *keep).withColumn("event_time", F.try_to_timestamp("timestamp"))
     return timed if watermark is None else timed.withWatermark("event_time", watermark)
 
 
@@ -72,11 +78,11 @@ def encode(rows: DataFrame, fields: list[str], key: str = "customer_id") -> Data
 
 def transaction_messages(rows: DataFrame) -> DataFrame:
     """Raw-table rows as the messages they came from."""
-    iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     shaped = rows.withColumns({"timestamp": iso, "is_fraud": F.col("is_fraud_label")})
     body = F.to_json(F.struct(*TRANSACTION_MESSAGE.names))
     return shaped.select(
-        F.col("customer_id").alias("key"), body.alias("value"), F.col("event_time").cast("timestamp").alias("timestamp")
+        F.col("customer_id").alias("key"), body.alias("value"), F.to_timestamp(iso).alias("timestamp")
     )
 
 
@@ -86,9 +92,13 @@ def prepare_kafka_output(scored: DataFrame) -> DataFrame:
 
 
 def routed_messages(scored: DataFrame) -> DataFrame:
-    """Alerts and approved transactions in one stream; ``topic`` says where a message goes,
-    so one query with one pass over the source feeds both topics."""
-    topic = F.when(F.col("fraud_score") > 0, ALERT_TOPIC).when(F.col("fraud_score") == 0, APPROVED_TOPIC)
+    """Alerts, approved transactions and those without a score (to be reviewed) in one stream;
+    ``topic`` says where a message goes, so one query with one pass over the source feeds all
+    topics and every transaction reaches one. Messages without a transaction id are no
+    transactions: the raw loader keeps them aside."""
+    score = F.col("fraud_score")
+    named = F.when(score > 0, ALERT_TOPIC).when(score == 0, APPROVED_TOPIC).otherwise(REVIEW_TOPIC)
+    topic = F.when(F.col("transaction_id").isNotNull(), named)
     return scored.select(
         F.col("customer_id").alias("key"),
         F.to_json(F.struct(*ALERT_MESSAGE.names)).alias("value"),
@@ -99,13 +109,13 @@ def routed_messages(scored: DataFrame) -> DataFrame:
 def alert_rows(messages: DataFrame) -> DataFrame:
     """Alert messages as rows of the alert table; a missing event time is the arrival time."""
     alerts = decode(messages, ALERT_MESSAGE)
-    when = F.coalesce("event_time", "kafka_timestamp").cast("timestamp_ntz")
+    when = utc_time(F.coalesce("event_time", "kafka_timestamp"))
     facts = [c for c in ALERT_MESSAGE.names if c not in ("transaction_id", "customer_id", "timestamp")]
     return alerts.where(F.col(MALFORMED).isNull()).select(
         "transaction_id",
         "customer_id",
         when.alias("event_time"),
-        F.col("kafka_timestamp").cast("timestamp_ntz").alias("alerted_at"),
+        utc_time(F.col("kafka_timestamp")).alias("alerted_at"),
         *(F.col(c).cast("decimal(5,2)").alias(c) if c == "fraud_score" else c for c in facts),
     )
 

@@ -8,23 +8,31 @@ replayed batch leaves no second copy.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from tillwarden.config import (
     ALERT_TOPIC,
-    DEFAULT_RULES,
     LOADER_TRIGGER,
+    PIPELINE_RULES,
     SCORING_TRIGGER,
     WATERMARK,
     RuleConfig,
 )
+from tillwarden.functions.scalars import utc_time
 from tillwarden.operators import behaviour
 from tillwarden.operators.dedup import keep_first
+from tillwarden.operators.merge import assign_ids, next_id
 from tillwarden.operators.rules import apply_fraud_detection
 from tillwarden.plans.alert_views import PROFILE_FACTS, count_tier
 from tillwarden.plans.layers import raw_rows
+from tillwarden.schemas import ALERT_MESSAGE, REQUIRED_RAW_COLUMNS
 from tillwarden.sources import messages as topics
 
 # Columns of the monitoring output, rows per screen.
@@ -33,6 +41,7 @@ CONSOLE_COLUMNS = (
     "fraud_reason",
 )
 CONSOLE_ROWS = 20
+LOOK_BACK = timedelta(minutes=10)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,7 +58,7 @@ def transactions(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return topics.decode(messages, watermark=watermark)
 
 
-def scored(messages: DataFrame, rules: RuleConfig = DEFAULT_RULES, watermark: str = WATERMARK) -> DataFrame:
+def scored(messages: DataFrame, rules: RuleConfig = PIPELINE_RULES, watermark: str = WATERMARK) -> DataFrame:
     return apply_fraud_detection(transactions(messages, watermark), rules)
 
 
@@ -58,18 +67,19 @@ def without_redelivery(stream: DataFrame) -> DataFrame:
     return stream.dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def velocity_alerts(stream: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
+def velocity_alerts(stream: DataFrame, rules: RuleConfig = PIPELINE_RULES) -> DataFrame:
     """Closed tumbling windows above the limit; rows behind the watermark are not counted."""
     return behaviour.velocity_alerts(stream, rules)
 
 
-def multi_country_alerts(stream: DataFrame, rules: RuleConfig = DEFAULT_RULES) -> DataFrame:
+def multi_country_alerts(stream: DataFrame, rules: RuleConfig = PIPELINE_RULES) -> DataFrame:
     return behaviour.multi_country_alerts(stream, rules)
 
 
-def repeat_offences(stream: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Stream rows whose customer was flagged shortly before, by the stored alerts."""
-    return behaviour.repeat_offences(stream, alerts)
+def first_multi_country_alerts(stream: DataFrame, rules: RuleConfig = PIPELINE_RULES) -> DataFrame:
+    """One alert per uninterrupted run of sliding windows: the first. The watermark closes
+    windows and then runs, so the state holds open ones only."""
+    return behaviour.first_multi_country_alerts(stream, rules)
 
 
 def running_profiles(alerts: DataFrame) -> DataFrame:
@@ -135,34 +145,146 @@ def to_numbered_batches(
     return _writer(df, checkpoint, trigger, mode).foreachBatch(write).start()
 
 
+def _folders(spark: SparkSession, path: str, prefix: str = "batch_id=") -> list[int]:
+    """Numbers of the batch folders, ascending, by listing (no file is opened)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(hadoop))
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 # Jobs
 
-def start_alerts(messages, path, checkpoint, rules: RuleConfig = DEFAULT_RULES, trigger=SCORING_TRIGGER):
+def start_alerts(messages, path, checkpoint, rules: RuleConfig = PIPELINE_RULES, trigger=SCORING_TRIGGER):
     """Score, keep the alerts, write them as messages."""
     return to_topic_files(topics.prepare_kafka_output(scored(messages, rules)), path, checkpoint, trigger)
 
 
-def start_routing(messages, path, checkpoint, rules: RuleConfig = DEFAULT_RULES, trigger=SCORING_TRIGGER):
-    """Score once and write alerts and approved transactions, one folder per topic."""
+def start_routing(messages, path, checkpoint, rules: RuleConfig = PIPELINE_RULES, trigger=SCORING_TRIGGER):
+    """Score once and write alerts, approved and unscored transactions, one folder per topic."""
     return to_topic_files(topics.routed_messages(scored(messages, rules)), path, checkpoint, trigger)
 
 
+def _start_loader(
+    messages: DataFrame,
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+    path: str,
+    checkpoint: str,
+    id_column: str,
+    date_of: str,
+    trigger: str | None,
+) -> StreamingQuery:
+    """Each batch of messages becomes rows below ``path``/rows and, for what is no valid row,
+    ``path``/rejects; both in a folder per batch, so a replay changes nothing.
+
+    Rows are partitioned by the date of ``date_of`` and get ids above those of the batches
+    before, unique and with gaps. ``split`` gives (rows, rejects).
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows, rejects = split(batch)
+        before = [n for n in _folders(spark, f"{path}/rows") if n < batch_id]
+        start = 1
+        for n in reversed(before):  # the newest batch that has rows, as a rule the first
+            ids = StructType([StructField(id_column, LongType())])
+            last = next_id(spark.read.schema(ids).parquet(f"{path}/rows/batch_id={n}"), id_column)
+            if last > 1:
+                start = last
+                break
+        stamped = assign_ids(rows.drop(id_column), id_column, start)
+        dated = stamped.withColumn("load_day", F.to_date(date_of)).select(id_column, *rows.drop(id_column).columns, "load_day")
+        dated.write.mode("overwrite").partitionBy("load_day").parquet(f"{path}/rows/batch_id={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{path}/rejects/batch_id={batch_id}")
+
+    return _writer(messages, checkpoint, trigger).foreachBatch(load).start()
+
+
+def loaded_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A loader's rows, with their partition columns batch_id and load_day."""
+    full = StructType([*schema.fields, StructField("batch_id", LongType()), StructField("load_day", DateType())])
+    return spark.read.schema(full).parquet(f"{path}/rows")
+
+
+def loaded_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """What a loader could not load: the message, its arrival and the reason."""
+    return spark.read.parquet(f"{path}/rejects").drop("batch_id")
+
+
+def _with_reason(decoded: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    missing = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required)))
+    reason = F.when(F.col(topics.MALFORMED).isNotNull(), "malformed").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))
+    return decoded.withColumn("reason", reason)
+
+
 def start_alert_loader(messages, path, checkpoint, trigger=LOADER_TRIGGER):
-    """Alert messages into the alert table. A batch is limited at the source
+    """Alert messages into the alert table (``loaded_rows``). A batch is limited at the source
     (``kafka_options(batch_rows=LOADER_BATCH_ROWS)``, or ``maxFilesPerTrigger``)."""
-    return to_files(topics.alert_rows(messages), path, checkpoint, trigger)
+
+    def split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        whole = topics.decode(batch, ALERT_MESSAGE, keep=("value",))
+        marked = _with_reason(whole, ("transaction_id", "customer_id"))
+        rejects = marked.where(F.col("reason").isNotNull()).select(F.col("value").cast("string").alias("message"), "kafka_timestamp", "reason")
+        return topics.alert_rows(batch).where(F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull()), rejects
+
+    return _start_loader(messages, split, path, checkpoint, "alert_id", "alerted_at", trigger)
 
 
 def start_raw_loader(messages, path, checkpoint, as_of=None, trigger=LOADER_TRIGGER):
-    """Transaction messages into the raw table. ``ingested_at`` is the broker's arrival
-    time unless ``as_of`` sets it."""
-    rows, _ = topics.split_malformed(topics.decode(messages))
-    stamped = rows if as_of is not None else rows.withColumn("ingested_at", F.col("kafka_timestamp").cast("timestamp_ntz"))
-    return to_files(raw_rows(stamped, as_of), path, checkpoint, trigger)
+    """Transaction messages into the raw table (``loaded_rows``); unreadable messages, those
+    without a value and those without a required one into the rejects. ``ingested_at`` is the
+    broker's arrival time unless ``as_of`` sets it."""
+
+    def split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        decoded = topics.decode(batch, keep=("value",))
+        marked = _with_reason(decoded, REQUIRED_RAW_COLUMNS)
+        rejects = marked.where(F.col("reason").isNotNull()).select(F.col("value").cast("string").alias("message"), "kafka_timestamp", "reason")
+        good = marked.where(F.col("reason").isNull()).drop("reason", "value", topics.MALFORMED)
+        arrived = good if as_of is not None else good.withColumn("ingested_at", utc_time(F.col("kafka_timestamp")))
+        return raw_rows(arrived, as_of), rejects
+
+    return _start_loader(messages, split, path, checkpoint, "id", "ingested_at", trigger)
+
+
+def _start_lookup(stream, look_up: Callable[[DataFrame], DataFrame], path, checkpoint, trigger) -> StreamingQuery:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        look_up(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _writer(stream, checkpoint, trigger).foreachBatch(write).start()
+
+
+def start_repeat_offences(stream, read_alerts: Callable[[], DataFrame], path, checkpoint, look_back=LOOK_BACK, trigger=SCORING_TRIGGER):
+    """Stream rows whose customer was flagged shortly before. ``read_alerts`` opens the alert
+    table anew for each batch, so alerts that came after the start are seen."""
+    return _start_lookup(stream, lambda batch: behaviour.repeat_offences(batch, read_alerts(), look_back), path, checkpoint, trigger)
+
+
+def start_profile_lookup(stream, read_profiles: Callable[[], DataFrame], path, checkpoint, trigger=SCORING_TRIGGER):
+    """Stream rows with their customer's profile as it is when the batch runs."""
+    return _start_lookup(stream, lambda batch: behaviour.with_profile(batch, read_profiles()), path, checkpoint, trigger)
+
+
+def start_real_time(messages, folder, rules: RuleConfig = PIPELINE_RULES, trigger=SCORING_TRIGGER) -> list[StreamingQuery]:
+    """The scoring path: alerts on the console and all transactions to their topics below
+    ``folder``/topics. Pass the queries' session to ``run_until_stopped``."""
+    alerts = scored(messages, rules).where(F.col("fraud_score") > 0)
+    return [
+        to_console(alerts, f"{folder}/console-offsets", trigger),
+        start_routing(messages, f"{folder}/topics", f"{folder}/offsets", rules, trigger),
+    ]
 
 
 def start_profiles(alerts, path, checkpoint, trigger=LOADER_TRIGGER):
-    """Customers' running profiles; ``current_profiles`` reads the state of now."""
+    """Customers' running profiles, with their state on disk; ``current_profiles`` reads the
+    state of now, ``compact_profiles`` keeps its reading short."""
+    large_state(alerts.sparkSession)
     return to_numbered_batches(running_profiles(alerts), path, checkpoint, "update", trigger)
 
 
@@ -172,16 +294,48 @@ def start_change_feed(spark, table_path, schema, path, checkpoint):
     return to_numbered_batches(added, path, checkpoint, "append", trigger=None)
 
 
+def changes_after(spark: SparkSession, path: str, schema: StructType, mark: int = -1) -> tuple[DataFrame, int]:
+    """(rows of all batches after ``mark``, the new mark). The reader keeps the mark; when
+    nothing was written since, there are no rows and the mark stays."""
+    new = [n for n in _folders(spark, path) if n > mark and _complete(spark, f"{path}/batch_id={n}")]
+    if not new:
+        return spark.createDataFrame([], schema), mark
+    return spark.read.schema(schema).parquet(*(f"{path}/batch_id={n}" for n in new)), new[-1]
+
+
 def newest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the last batch written by ``to_numbered_batches``."""
-    batches = spark.read.parquet(path)
-    return batches.where(F.col("batch_id") == batches.agg(F.max("batch_id")).scalar()).drop("batch_id")
+    """Rows of the last batch written by ``to_numbered_batches``; only that one is opened."""
+    newest = next(n for n in reversed(_folders(spark, path)) if _complete(spark, f"{path}/batch_id={n}"))
+    return spark.read.parquet(f"{path}/batch_id={newest}")
+
+
+def _profile_parts(spark: SparkSession, path: str) -> tuple[list[tuple[str, int]], int]:
+    """Folders that make up the profiles, with their numbers: the newest compacted state and
+    the batches after it."""
+    bases = [n for n in _folders(spark, path, "upto=") if _complete(spark, f"{path}/upto={n}")]
+    base = bases[-1] if bases else -1
+    later = [n for n in _folders(spark, path) if n > base and _complete(spark, f"{path}/batch_id={n}")]
+    return [(f"{path}/upto={base}", base)] * (base >= 0) + [(f"{path}/batch_id={n}", n) for n in later], max([base, *later])
 
 
 def current_profiles(spark: SparkSession, path: str) -> DataFrame:
     """Each customer's row of the latest batch that changed it."""
-    changes = spark.read.parquet(path).withColumn("_newest", -F.col("batch_id"))
-    return keep_first(changes, ["customer_id"], ["_newest"]).drop("_newest", "batch_id")
+    parts, _ = _profile_parts(spark, path)
+    rows = reduce(DataFrame.unionByName, (spark.read.parquet(f).withColumn("_newest", F.lit(-n)) for f, n in parts))
+    return keep_first(rows, ["customer_id"], ["_newest"]).drop("_newest")
+
+
+def compact_profiles(spark: SparkSession, path: str) -> None:
+    """Write the current state as one folder and delete what it was made from. The writing
+    query can go on: a batch that ends meanwhile is newer than the compacted state."""
+    parts, upto = _profile_parts(spark, path)
+    if len(parts) < 2:
+        return
+    current_profiles(spark, path).write.mode("overwrite").parquet(f"{path}/upto={upto}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder, _ in parts:
+        old = hadoop.Path(folder)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def finish(query: StreamingQuery) -> None:
