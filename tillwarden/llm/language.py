@@ -31,12 +31,13 @@ _LOWER[0x41:0x5B] += 0x20
 @dataclass(frozen=True)
 class LanguageSettings:
     """bits: 2**bits buckets. sample: most documents to learn from; every ``calibrate``-th of
-    them only fits the temperature and the rejection threshold."""
+    them only fits the temperature and the rejection threshold. steps: batches to learn from,
+    whatever the size of the sample."""
 
     bits: int = 13
     dimensions: int = 16
     sample: int = 4000
-    epochs: int = 6
+    steps: int = 900
     batch: int = 32
     rate: float = 0.5
     calibrate: int = 5
@@ -112,21 +113,22 @@ def train(rows: list[np.ndarray], shares: list[np.ndarray], names: list[str], se
     every = np.arange(len(y))
     kept = every % settings.calibrate == 0 if len(y) >= 10 * settings.calibrate else np.zeros(len(y), bool)
     learn = every[~kept]
-    for epoch in range(settings.epochs):
-        rate = settings.rate * (1 - epoch / settings.epochs)
-        order = rng.permutation(learn)
-        for at in range(0, len(order), settings.batch):
-            some = order[at : at + settings.batch]
-            x = dense(some)
-            hidden = x @ embed
-            g = _softmax(hidden @ out + offset)
-            g[np.arange(len(some)), y[some]] -= 1
-            g /= len(some)
-            down = g @ out.T
-            out -= rate * (hidden.T @ g)
-            offset -= rate * g.sum(0)
-            # A bucket's gradient carries its small share, so embeddings take larger steps.
-            embed -= rate * 200 * (x.T @ down)
+    order = learn[:0]
+    for step in range(settings.steps):
+        rate = settings.rate * (1 - step / settings.steps)
+        if not len(order):
+            order = rng.permutation(learn)
+        some, order = order[: settings.batch], order[settings.batch :]
+        x = dense(some)
+        hidden = x @ embed
+        g = _softmax(hidden @ out + offset)
+        g[np.arange(len(some)), y[some]] -= 1
+        g /= len(some)
+        down = g @ out.T
+        out -= rate * (hidden.T @ g)
+        offset -= rate * g.sum(0)
+        # A bucket's gradient carries its small share, so embeddings take larger steps.
+        embed -= rate * 200 * (x.T @ down)
     table = embed @ out
     test = every[kept] if kept.any() else learn
     logits = np.array([shares[i] @ table[rows[i]] for i in test]).reshape(len(test), classes) + offset
