@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillwarden.llm.word_encoder import WordEncoder
+from tillwarden.session import materialise
 
 #: Lengths that share a task when sums run over the histogram.
 BLOCK = 4096
@@ -31,8 +32,9 @@ def document_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
-    """n_tokens, n_docs: one row per length that occurs."""
-    return lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    """n_tokens, n_docs: one row per length that occurs. Written once, since all that follows
+    reads it more than once and texts should be encoded once."""
+    return materialise(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")))
 
 
 def limits(counts: DataFrame) -> DataFrame:
