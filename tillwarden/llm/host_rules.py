@@ -102,6 +102,7 @@ def host_verdicts(documents: DataFrame, rules: HostRules) -> DataFrame:
     the variance, goes to the driver.
     """
     hosts = documents.groupBy("host").agg(F.count("*").alias("n_docs"), F.count_if("base_failed").alias("n_failed"))
+    hosts = materialise(hosts)  # read twice
     rate = F.col("n_failed") / F.col("n_docs")
     fit = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).first()
     mean, spread = fit["m"] or 0.0, fit["v"] or 0.0
@@ -134,8 +135,9 @@ def judged(docs: DataFrame, host: Column | None = None, rules: HostRules | None
 
 
 def kept(docs: DataFrame, host: Column | None = None, rules: HostRules | None = None, salts: int = 16) -> DataFrame:
-    """The rows of ``docs`` whose verdict is kept, unchanged. Texts are measured once and stay
-    where they are: the few verdicts of hosts come to them."""
+    """The rows of ``docs`` whose verdict is kept, unchanged. Texts are measured once for the
+    hosts and once for themselves, which costs less than writing them down in between; they
+    stay where they are, and the few verdicts of hosts come to them."""
     rules = rules or HostRules()
     own = F.coalesce((F.col("source") if host is None else host).cast("string"), F.lit(""))
     held = docs.select(own.alias("host"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
@@ -147,10 +149,10 @@ def kept(docs: DataFrame, host: Column | None = None, rules: HostRules | None =
             columns = [*chunk.batch.columns, *(pa.array(found[m].astype(np.int64)) for m in MEASURES)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    rows = held.mapInArrow(measure, schema)
-    rows = materialise(rows.select("host", "row", failed(rules).alias("base_failed")))
+    rows = held.mapInArrow(measure, schema).select("host", "row", failed(rules).alias("base_failed"))
+    tested = measured(docs, own).select("host", failed(rules).alias("base_failed"))
     # Written, so that its size is known, and texts need no shuffle where it is small.
-    verdicts = materialise(host_verdicts(rows.select("host", "base_failed"), rules).filter("host_kept"))
+    verdicts = materialise(host_verdicts(tested, rules).filter("host_kept"))
     verdicts = verdicts.select("host", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     salted = rows.filter("NOT base_failed").withColumn("salt", F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(salts)).cast("int"))
     return salted.join(verdicts, ["host", "salt"], "left_semi").select("row.*")

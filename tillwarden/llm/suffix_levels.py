@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillwarden.llm import passages
 from tillwarden.llm.text import chunk_of, key_columns, keyed, real_id, wrapped
@@ -120,21 +121,21 @@ def _compare(length: int):
     return compare
 
 
-def with_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """_id, _copy, _text and the covered ranges of window starts (see passages.with_ranges)."""
-    rows = keyed(docs)
-    return passages.with_ranges(rows, passages.find(rows, scheme(length), _compare(length)))
+def _found(docs: DataFrame, length: int) -> DataFrame:
+    """Covered ranges of window starts of ``docs`` (see passages.find)."""
+    return passages.find(keyed(docs), scheme(length), _compare(length))
 
 
-def _cut(batches, length: int):
-    """(batch, row, text bytes, removed spans) of every row."""
+def _cut(batches, length: int, column: str):
+    """(batch, text bytes and removed spans of each row)."""
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
-            chunk = chunk_of(batch, "_text")
+            chunk = chunk_of(batch, column)
             row, start, end = passages.spans(scheme(length), batch)
             cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield batch, [(chunk.bytes_of(i), list(zip(start[a:b].tolist(), end[a:b].tolist(), strict=True))) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+            spans = [list(zip(start[a:b].tolist(), end[a:b].tolist(), strict=True)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield batch, [(chunk.bytes_of(i), s) for i, s in enumerate(spans)]
 
 
 def _left(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -151,7 +152,7 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
 
     def run(batches):
-        for batch, texts in _cut(batches, length):
+        for batch, texts in _cut(batches, length, "_text"):
             left = [_left(t, s) for t, s in texts]
             columns = [
                 pa.array([len(t) for t, _ in texts], pa.int64()),
@@ -161,7 +162,7 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), *columns], ["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = with_repeats(docs, length).select("_id", "_text", "_starts", "_counts")
+    rows = passages.with_ranges(keyed(docs), _found(docs, length)).select("_id", "_text", "_starts", "_counts")
     found = rows.mapInArrow(run, "_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return found.select(real_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -172,16 +173,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     without a removed byte stay as they are (missing ones missing); ``n_chars``, if there, is
     counted anew for the others."""
 
+    rows = wrapped(docs).withColumns(key_columns("row.text", "row.doc_id"))
+    rows = passages.with_ranges(rows, _found(docs, length)).select("row", "_starts", "_counts")
+
     def run(batches):
-        for batch, texts in _cut(batches, length):
-            cut = [(i, _left(t, s).decode("utf-8", "ignore")) for i, (t, s) in enumerate(texts) if s]
-            picked = batch.take(pa.array([i for i, _ in cut], pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column("_id"), picked.column("_copy"), pa.array([t for _, t in cut], pa.string())], ["_id", "_copy", "_left"])
-
-    changed = with_repeats(docs, length).filter(F.col("_starts").isNotNull())
-    changed = changed.select("_id", "_copy", "_text", "_starts", "_counts").mapInArrow(run, "_id long, _copy long, _left string")
-    changed = changed.dropDuplicates(["_id", "_copy"])
-    out = wrapped(docs).withColumns(key_columns("row.text", "row.doc_id")).join(changed, ["_id", "_copy"], "left")
+        for batch, texts in _cut(batches, length, "row.text"):
+            left = [_left(t, s).decode("utf-8", "ignore") if s else None for t, s in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(left, pa.string())], ["row", "_left"])
+
+    out = rows.mapInArrow(run, StructType([rows.schema["row"], StructField("_left", StringType())]))
     values = {"text": F.coalesce("_left", "row.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
