@@ -192,6 +192,20 @@ def test_frequent_anchors_are_dealt_out_by_window(spark, rows, module, name, mon
         assert counted(module.digest(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(removed_words(table, 13))
 
 
+@pytest.mark.parametrize("module, name", [(suffix_levels, "byte"), (automata, "word")])
+def test_one_document_that_holds_one_segment_very_often(spark, module, name, monkeypatch):
+    from dataclasses import replace
+
+    plain = module.scheme
+    monkeypatch.setattr(module, "scheme", lambda *a: replace(plain(*a), most_segments=16))
+    table = [(1, "spam " * 900 + "and eggs"), (2, "with spam " + "spam " * 40), (3, "eggs " + "spam " * 20 + "ham"), (None, "spam " * 50), (None, "spam " * 30 + "tea")]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    if name == "byte":
+        assert counted(module.digest(docs, 60), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(removed_bytes(table, 60))
+    else:
+        assert counted(module.digest(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(removed_words(table, 13))
+
+
 def test_suffix_family_merges_levels_and_finds_old_and_new():
     import numpy as np
 

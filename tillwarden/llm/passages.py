@@ -11,7 +11,7 @@ Work grows with the corpus, not with pairs, and no window is skipped:
 3. Where different segments share an anchor, windows may still be equal in part (the edges of
    a repeated passage, an edited copy). Their texts are fetched and compared exactly by an
    index that the caller gives.
-4. An anchor with more than ``most_segments`` different segments is not compared in one task:
+4. An anchor with more than ``most_segments`` segments to compare is not compared in one task:
    its windows are dealt out by their own hashes and settled like equal segments.
 
 Two rules say what counts: ``elsewhere`` (a window that starts at any other place) and
@@ -33,7 +33,7 @@ from tillwarden.session import materialise
 
 #: One entry: a segment of ``n`` window starts from ``start`` in the document (id, copy).
 ENTRY = np.dtype(
-    [("seg", "<u8"), ("id", "<i8"), ("anchor", "<u8"), ("copy", "<u4"), ("start", "<u4"), ("n", "<u4"), ("weight", "u1")]
+    [("seg", "<u8"), ("id", "<i8"), ("anchor", "<u8"), ("copy", "<i8"), ("start", "<u4"), ("n", "<u4"), ("weight", "u1")]
 )
 _PLACE = U64((1 << 28) - 1)
 #: Bytes of text whose hashes a worker holds at once.
@@ -108,7 +108,7 @@ def entries_of(scheme: Scheme, chunk: Chunk) -> np.ndarray:
     document, start, n, seg, anchor = segments(scheme, *scheme.tokens(chunk))
     out = np.zeros(len(document), ENTRY)
     out["id"] = chunk.column("_id")[document]
-    out["copy"] = (chunk.column("_copy") & 0xFFFFFFFF)[document]
+    out["copy"] = chunk.column("_copy")[document]
     out["start"], out["n"], out["seg"], out["anchor"], out["weight"] = start, n, seg, anchor, 1
     return out
 
@@ -163,14 +163,14 @@ def _sent(rows: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-_FOUND = "_id long, _copy32 long, start int, n int, kind int, anchor long"
+_FOUND = "_id long, _copy long, start int, n int, kind int, anchor long"
 #: Kinds of found entries: settled; to compare; only to compare with; the last two with too many segments for one task.
 COVERED, OPEN, KNOWN, OPEN_HOT, KNOWN_HOT = range(5)
 
 
 def _found(entries: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
-    columns = [entries["id"], entries["copy"].astype(np.int64), entries["start"].astype(np.int32), entries["n"].astype(np.int32), kind.astype(np.int32), np.ascontiguousarray(entries["anchor"]).view(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_id", "_copy32", "start", "n", "kind", "anchor"])
+    columns = [entries["id"], np.ascontiguousarray(entries["copy"]), entries["start"].astype(np.int32), entries["n"].astype(np.int32), kind.astype(np.int32), np.ascontiguousarray(entries["anchor"]).view(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_id", "_copy", "start", "n", "kind", "anchor"])
 
 
 def judged_bucket(scheme: Scheme, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,9 +187,10 @@ def judged_bucket(scheme: Scheme, entries: np.ndarray) -> tuple[np.ndarray, np.n
     is_head[head] = True
     kind = np.full(len(entries), -1)
     kind[covered & ~known_before] = COVERED
-    shared = different[group] > 1
-    hot = different[group] > scheme.most_segments
-    kind[shared & ~covered] = OPEN
+    kind[(different[group] > 1) & ~covered] = OPEN
+    # One document can hold one segment very often, so open entries count as well.
+    opened = np.bincount(group[kind == OPEN], minlength=len(different))
+    hot = np.maximum(different, opened)[group] > scheme.most_segments
     keep = kind >= 0
     out, kinds = entries[keep], np.where((kind == OPEN) & hot, OPEN_HOT, kind)[keep]
     if scheme.rule == "elsewhere":
@@ -220,7 +221,7 @@ def _partitions(df: DataFrame) -> int:
 
 
 def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
-    """_id, _copy32, start, n: ranges of window starts (in tokens) of ``docs`` (made by ``keyed``)
+    """_id, _copy, start, n: ranges of window starts (in tokens) of ``docs`` (made by ``keyed``)
     that the rule covers. ``compare`` maps record batches of requests (see ``request_runs``) to
     record batches of covered ranges (see ``ranges``)."""
     tasks = _partitions(docs)
@@ -243,19 +244,19 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
 
     dealt = docs.mapInArrow(gather, _SENT).repartition(tasks, "bucket").sortWithinPartitions("bucket")
     found = materialise(dealt.mapInArrow(judge, _FOUND))
-    covered = found.filter(F.col("kind") == COVERED).select("_id", "_copy32", "start", "n")
+    covered = found.filter(F.col("kind") == COVERED).select("_id", "_copy", "start", "n")
 
     requests = (
         found.filter(F.col("kind") != COVERED)
-        .groupBy("_id", "_copy32")
+        .groupBy("_id", "_copy")
         .agg(F.collect_list(F.struct("start", "n", "kind", "anchor")).alias("asked"))
     )
-    texts = with_copy32(docs).join(requests, ["_id", "_copy32"])
+    texts = docs.join(requests, ["_id", "_copy"])
     # What is compared is written once: two branches read it.
     fetched = materialise(texts.mapInArrow(_fetch(scheme, buckets), _FETCHED))
 
     near = fetched.filter("hot = 0").repartition(tasks, "anchor").sortWithinPartitions("anchor")
-    near = near.mapInArrow(compare, "_id long, _copy32 long, start int, n int")
+    near = near.mapInArrow(compare, "_id long, _copy long, start int, n int")
 
     def judge_windows(batches):
         for _, plain, passed in _by_bucket(batches):
@@ -269,14 +270,10 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
 
     hot = fetched.filter("hot = 1").select(F.col("anchor").cast("int").alias("bucket"), F.col("known").cast("int").alias("kind"), F.col("content").alias("packed"))
     hot = hot.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(judge_windows, _FOUND)
-    return covered.unionByName(near).unionByName(hot.select("_id", "_copy32", "start", "n"))
+    return covered.unionByName(near).unionByName(hot.select("_id", "_copy", "start", "n"))
 
 
-def with_copy32(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_copy32", F.col("_copy").bitwiseAND(F.lit(0xFFFFFFFF)))
-
-
-_FETCHED = "hot int, anchor long, _id long, _copy32 long, start int, n int, known boolean, content binary"
+_FETCHED = "hot int, anchor long, _id long, _copy long, start int, n int, known boolean, content binary"
 
 
 def _fetch(scheme: Scheme, buckets: int) -> Callable:
@@ -291,7 +288,7 @@ def _fetch(scheme: Scheme, buckets: int) -> Callable:
         flat = asked.flatten()
         start, count, kind, anchor = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "n", "kind", "anchor"))
         owner = np.repeat(np.arange(n), asked.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-        ids, copies = chunk.column("_id")[owner], chunk.column("_copy32")[owner]
+        ids, copies = chunk.column("_id")[owner], chunk.column("_copy")[owner]
         base = first[owner] + start
         hot = kind >= OPEN_HOT
         known = (kind == KNOWN) | (kind == KNOWN_HOT)
@@ -340,8 +337,8 @@ class Request:
 
 def request_runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[Request]]:
     """Requests of whole anchors, about ``size`` bytes or one anchor at once. An anchor has at
-    most ``most_segments`` different segments here, so runs are bounded."""
-    names = ("anchor", "_id", "_copy32", "start", "n", "known", "content")
+    most ``most_segments`` segments to compare here and as many to compare with, so runs are bounded."""
+    names = ("anchor", "_id", "_copy", "start", "n", "known", "content")
     run, held = [], 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
@@ -360,15 +357,15 @@ def ranges(requests: list[Request], owner: np.ndarray, start: np.ndarray, n: np.
     ids = np.array([r.id for r in requests], np.int64)[owner]
     copies = np.array([r.copy for r in requests], np.int64)[owner]
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(copies), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["_id", "_copy32", "start", "n"]
+        [pa.array(ids), pa.array(copies), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["_id", "_copy", "start", "n"]
     )
 
 
 def with_ranges(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs and, for each, ``_starts`` and ``_counts`` of its covered ranges (missing if none)."""
-    by_doc = found.groupBy("_id", "_copy32").agg(F.collect_list(F.struct("start", "n")).alias("_r"))
-    by_doc = by_doc.select("_id", "_copy32", F.col("_r.start").alias("_starts"), F.col("_r.n").alias("_counts"))
-    return with_copy32(docs).join(by_doc, ["_id", "_copy32"], "left")
+    by_doc = found.groupBy("_id", "_copy").agg(F.collect_list(F.struct("start", "n")).alias("_r"))
+    by_doc = by_doc.select("_id", "_copy", F.col("_r.start").alias("_starts"), F.col("_r.n").alias("_counts"))
+    return docs.join(by_doc, ["_id", "_copy"], "left")
 
 
 def spans(scheme: Scheme, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
