@@ -382,6 +382,31 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.judged(docs, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_windows_around_a_long_item_are_listed_once():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    item = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    fill = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    short = rng.integers(0, 2**63, 9, dtype=np.uint64)
+    index = decontaminate.ItemIndex([(1, item), (2, short)], decontaminate.Decontamination())
+    texts = [np.concatenate([fill, item, fill]), item[:3900], np.concatenate([fill[:3], short, fill[3:9], short]), fill[:2]]
+    hashes, first = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    for width, _, owner, start, n, size in index.windows(hashes, first):
+        places = list(zip(start.tolist(), size.tolist(), strict=True))
+        expected = set()
+        for d, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+            for whole in (4000, 9):
+                held = np.isin(hashes[a:b], item if whole == 4000 else short).astype(int)
+                runs = np.convolve(held, np.ones(5, int), "valid") == 5 if b - a >= 5 else np.zeros(0, bool)
+                at = np.flatnonzero(runs)
+                for s in range(max(1, b - a - whole + 1)):
+                    if ((at >= s) & (at + 5 <= s + whole)).any():
+                        expected.add((s + a, whole))
+        assert width == 5 and len(set(places)) == len(places) and set(places) == expected
+    assert [(d, i, place, n) for d, i, place, n, _ in index.matches(hashes, first)] == [(0, 0, 500, 4000), (1, 0, 0, 3900), (2, 1, 3, 9)]
+
+
 def test_multi_index_finds_every_fingerprint_within_the_radius():
     rng = random.Random(4)
     import numpy as np

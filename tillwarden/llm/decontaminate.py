@@ -14,6 +14,7 @@ size, one pass over the documents for each block.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, mix, words, wrapped
+from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, mix, unioned, words, wrapped
 from tillwarden.session import materialise
 
 SHINGLE = 5
@@ -118,11 +119,12 @@ class ItemIndex:
             low = np.maximum(begin, place - size + width)
             high = np.maximum(low, np.minimum(place, end - size))
             low = np.minimum(low, np.maximum(begin, end - size))
-            spread = high - low + 1
+            # Neighbouring shingles ask for almost the same windows: ranges are merged before they are listed.
+            size, low, end = unioned(size, low, high + 1)
+            spread = end - low
             step = np.arange(int(spread.sum())) - np.repeat(np.cumsum(spread) - spread, spread)
-            start, size, owner = np.repeat(low, spread) + step, np.repeat(size, spread), np.repeat(owner, spread)
-            _, once = np.unique(np.stack([start, size]), axis=1, return_index=True)
-            start, size, owner = start[once], size[once], owner[once]
+            start, size = np.repeat(low, spread) + step, np.repeat(size, spread)
+            owner = document[start]
             yield width, shingles, owner, start, np.minimum(size, first[owner + 1] - start), size
 
     def matches(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, float]]:
@@ -150,12 +152,12 @@ class ItemIndex:
         return [(d, i, -place, m, similarity) for (d, i), (similarity, place, m) in sorted(best.items())]
 
 
-def _blocks(items: DataFrame, block_words: int) -> list[list[tuple[int, np.ndarray]]]:
+def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Items in blocks of at most ``block_words`` words (or one item). Items without an id or a
-    word match nothing. Rows come to the driver one partition at a time; what is kept of them
-    are word hashes."""
+    word match nothing. Rows come to the driver one partition at a time; of what it has read it
+    holds one block, as word hashes."""
     rows = items.select(F.col("item_id").cast("long"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
-    blocks: list[list[tuple[int, np.ndarray]]] = [[]]
+    block: list[tuple[int, np.ndarray]] = []
     held = 0
     for row in rows.toLocalIterator():
         data = np.frombuffer(row["text"].encode(), np.uint8)
@@ -163,11 +165,11 @@ def _blocks(items: DataFrame, block_words: int) -> list[list[tuple[int, np.ndarr
         if not len(hashes):
             continue
         if held and held + len(hashes) > block_words:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((row["item_id"], hashes))
+            yield block
+            block, held = [], 0
+        block.append((row["item_id"], hashes))
         held += len(hashes)
-    return blocks
+    yield block
 
 
 _KIND = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()), ("similarity", pa.float64())]))
