@@ -5,9 +5,9 @@ Work grows with the corpus, not with pairs, and no window is skipped:
 1. Of all runs of ``gram`` tokens in a window, the one with the least hash is its anchor. Equal
    windows have equal anchors, and neighbouring windows mostly share one; the windows of one
    anchor form a segment. Only segments (two hashes and a place) are shuffled, packed by
-   chunk, to the bucket of their anchor.
-2. Equal segments are settled by their hash. This happens first inside a chunk, so of the many
-   copies of a frequent passage only one per chunk is shuffled.
+   batch, to the bucket of their anchor.
+2. Equal segments are settled by their hash. This happens first inside a batch of chunks, so of
+   the many copies of a frequent passage only one per batch is shuffled.
 3. Where different segments share an anchor, windows may still be equal in part (the edges of
    a repeated passage, an edited copy). Their texts are fetched and compared exactly by an
    index that the caller gives.
@@ -38,6 +38,8 @@ ENTRY = np.dtype(
 _PLACE = U64((1 << 28) - 1)
 #: Bytes of text whose hashes a worker holds at once.
 CHUNK = 1 << 19
+#: Entries (of many chunks) that are settled together before they are sent: 16 MB, about 50 MB of text.
+BATCH = 360_000
 
 
 @dataclass(frozen=True)
@@ -130,8 +132,8 @@ def settle(rule: str, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return entries, covered, head
 
 
-def _settled_in_chunk(rule: str, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(covered entries, entries to send): what equal segments of the same chunk already decide.
+def _settled_in_batch(rule: str, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(covered entries, entries to send): what equal segments of the same batch already decide.
     An entry of weight 2 stands for several, whose verdict is known."""
     entries, covered, head = settle(rule, entries)
     if rule == "earlier":
@@ -182,7 +184,7 @@ def judged_bucket(scheme: Scheme, entries: np.ndarray) -> tuple[np.ndarray, np.n
     turn = np.concatenate([[True], anchor[1:] != anchor[:-1]])
     group = np.cumsum(turn) - 1
     different = np.bincount(group[head], minlength=group[-1] + 1)
-    known_before = entries["weight"] > 1  # its verdict has been given in its chunk
+    known_before = entries["weight"] > 1  # its verdict has been given in its batch
     is_head = np.zeros(len(entries), bool)
     is_head[head] = True
     kind = np.full(len(entries), -1)
@@ -228,11 +230,20 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
     buckets = tasks * scheme.buckets_per_task
 
     def gather(batches):
+        held: list[np.ndarray] = []
         for chunk in chunks(batches, "_text", CHUNK):
-            covered, sent = _settled_in_chunk(scheme.rule, entries_of(scheme, chunk))
-            # What is settled only passes through, so it is dealt evenly, not by its frequent anchors.
-            passing = mix(covered["id"].astype(U64))
-            yield _sent([*_dealt(sent, sent["anchor"], buckets, 0), *_dealt(covered, passing, buckets, 1)])
+            held.append(entries_of(scheme, chunk))
+            if sum(map(len, held)) >= BATCH:
+                yield _dealt_batch(np.concatenate(held))
+                held = []
+        if held:
+            yield _dealt_batch(np.concatenate(held))
+
+    def _dealt_batch(entries):
+        covered, sent = _settled_in_batch(scheme.rule, entries)
+        # What is settled only passes through, so it is dealt evenly, not by its frequent anchors.
+        passing = mix(covered["id"].astype(U64))
+        return _sent([*_dealt(sent, sent["anchor"], buckets, 0), *_dealt(covered, passing, buckets, 1)])
 
     def judge(batches):
         for _, plain, passed in _by_bucket(batches):
@@ -306,7 +317,7 @@ def _fetch(scheme: Scheme, buckets: int) -> Callable:
             entries["id"], entries["copy"], entries["start"] = ids[pick], copies[pick], start[pick] + step
             entries["n"], entries["weight"] = 1, np.where(known[pick], 2, 1)
             # Windows have no anchor of their own here; equal ones share a segment hash.
-            covered, sent = _settled_in_chunk(scheme.rule, entries)
+            covered, sent = _settled_in_batch(scheme.rule, entries)
             passing = mix(covered["id"].astype(U64))
             for bucket, settled, blob in (*_dealt(sent, sent["seg"], buckets, 0), *_dealt(covered, passing, buckets, 1)):
                 yield 1, bucket, 0, 0, 0, 0, bool(settled), blob
