@@ -479,6 +479,16 @@ def test_quality_model_learns_and_scores_every_row(spark, docs, rows, empty):
     assert quality_fm.scored(empty, none).count() == 0 and quality_fm.scored(docs, none).count() == len(rows)
 
 
+def test_an_id_with_many_rows_is_one_of_the_sample(spark):
+    from tillwarden.llm.samples import labelled_sample
+
+    docs = spark.range(3000).select((F.col("id") % 3).alias("doc_id"), F.when(F.col("id") > 2, F.concat(F.lit("t"), F.col("id") % 7)).alias("text"), F.lit(None).cast("long").alias("n_chars"))
+    labels = spark.createDataFrame([(0, 1), (0, 0), (1, 1), (2, None), (None, 1)], "doc_id long, quality int")
+    got = labelled_sample(docs, labels, "quality", F.lit(True), 10)
+    assert sorted(map(tuple, got.select("doc_id", "label", "text", "n_chars").collect())) == [(0, 0, "t6", None), (1, 1, "t6", None)]
+    assert labelled_sample(docs, labels, "quality", F.lit(True), 1).count() == 1
+
+
 def test_linear_time_interactions_equal_all_pairs(spark):
     import numpy as np
     import pyarrow as pa

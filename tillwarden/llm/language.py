@@ -165,7 +165,7 @@ def fit(docs: DataFrame, settings: LanguageSettings) -> LanguageModel:
                 ["doc_id", "label", "bucket", "share"],
             )
 
-    sample = labelled_sample(docs, docs, "lang", learns(4, 2), settings.sample).select("doc_id", "label", "text")
+    sample = labelled_sample(docs.select("doc_id", "text"), docs, "lang", learns(4, 2), settings.sample)
     got = sample.mapInArrow(extract, "doc_id long, label string, bucket array<int>, share array<float>")
     got = got.toArrow().combine_chunks().sort_by("doc_id")
     rows, shares = ([np.asarray(x.values) for x in got[c]] for c in ("bucket", "share"))

@@ -114,8 +114,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: FmSettings) -> FmModel:
                 ["doc_id", "label", "bucket", "share", "stats"],
             )
 
-    sample = labelled_sample(_rows(docs), labels, "quality", learns(5, 0), settings.sample)
-    sample = sample.select("doc_id", F.col("label").cast("double"), "text", "n_chars")
+    rows = _rows(docs).select("doc_id", "text", "n_chars")
+    sample = labelled_sample(rows, labels, "quality", learns(5, 0), settings.sample)
+    sample = sample.withColumn("label", F.col("label").cast("double"))
     schema = "doc_id long, label double, bucket array<int>, share array<float>, stats array<double>"
     got = sample.mapInArrow(extract, schema).toArrow().combine_chunks().sort_by("doc_id")
     y = (got["label"].to_numpy() > 0).astype(np.float32)
