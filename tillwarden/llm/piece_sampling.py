@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tillwarden.llm.text import U64, Prefix, byte_values, chunks, mix
 
-CHUNK = 3 << 20
+CHUNK = 1 << 20
 MARK = "▁"
 
 
