@@ -38,8 +38,8 @@ ENTRY = np.dtype(
 _PLACE = U64((1 << 28) - 1)
 #: Bytes of text whose hashes a worker holds at once.
 CHUNK = 1 << 19
-#: Entries (of many chunks) that are settled together before they are sent: 16 MB, about 50 MB of text.
-BATCH = 360_000
+#: Entries (of many chunks) that are settled together before they are sent: 8 MB, about 25 MB of text.
+BATCH = 180_000
 
 
 @dataclass(frozen=True)
