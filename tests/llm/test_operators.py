@@ -382,6 +382,26 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.judged(docs, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_items_are_found_in_any_case_of_any_alphabet(spark):
+    items = [
+        (1, "la acción de los niños pequeños fue aquí una gran decisión común de la nación española"),
+        (2, "l'été où l'élève préféré a été gêné par ça près de la forêt brûlée là-bas déjà"),
+        (3, "die große Straße führt weiß Gott außen über die Brücke und schließt für Fußgänger abends"),
+        (4, "ο μεγάλος δρόμος της πόλης είναι κλειστός για όλους τους πεζούς σήμερα το βράδυ"),
+        (5, "Русский текст о том как буквы пишут прописными и строчными в одной строке"),
+    ]
+    forms = {"upper": str.upper, "lower": str.lower, "title": str.title, "fold": str.casefold, "same": str}
+    assert all(a in forms["upper"](items[0][1]) for a in ("CIÓN", "ÑOS"))
+    texts = [(10 * i + k, i, f"Vor ÄÖÜ dem\u00a0Text {form(text)} danach éàç") for i, text in items for k, form in enumerate(forms.values())]
+    docs = spark.createDataFrame([(d, text) for d, _, text in texts] + [(1000, "ÉTÉ " * 40), (1001, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.judged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {d: list(r["item_ids"]) for d, r in got.items()} == {d: [i] for d, i, _ in texts} | {1000: [], 1001: []}
+    assert all(r["best_similarity"] == 1.0 for d, r in got.items() if d < 1000)
+    kept = decontaminate.clean(docs, spark.createDataFrame(items[1:], "item_id long, text string"))
+    before = {d: text for d, i, text in texts if i == 1} | {1000: "ÉTÉ " * 40, 1001: None}
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == before
+
+
 def test_windows_around_a_long_item_are_listed_once():
     import numpy as np
 

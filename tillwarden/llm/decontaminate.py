@@ -42,14 +42,23 @@ class Decontamination:
     block_words: int = 2_000_000
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
+def _folded(chunk: Chunk) -> Chunk:
+    """The texts without case, in all alphabets (full case folding, so ß and SS are equal too).
+    Folding gives or takes no separator, so words keep their places."""
+    texts = map(chunk.bytes_of, range(len(chunk.offsets) - 1))
+    folded = [
+        t.lower() if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+        for t in texts
+    ]
+    offsets = np.cumsum([0, *map(len, folded)], dtype=np.int64)
+    return Chunk(chunk.batch, np.frombuffer(b"".join(folded), np.uint8), offsets)
 
 
 def _word_hashes(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words with ASCII letters lowered, and each document's first."""
-    w = words(chunk)
-    return Prefix(byte_values(_LOWER[chunk.data])).hash(w.start, w.end), w.first
+    """Hashes of the words without case, and each document's first."""
+    folded = _folded(chunk)
+    w = words(folded)
+    return Prefix(byte_values(folded.data)).hash(w.start, w.end), w.first
 
 
 def _signs(shingles: np.ndarray) -> np.ndarray:
