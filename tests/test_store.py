@@ -168,6 +168,40 @@ def test_repeat_at_the_same_as_of_takes_new_rows_and_late_alerts(spark, tmp_path
     assert rows(store.read("fraud_flags"), "is_flagged") == [(True,)] * 3
 
 
+def flags_of(store):
+    return rows(store.read("fraud_flags"), "transaction_id", "is_flagged", "alerted_at")
+
+
+def test_alerts_after_a_first_run_without_any(spark, tmp_path):
+    day1 = raw(spark, {"transaction_id": "a"}, {"transaction_id": "b"})
+    more = day1.unionByName(raw(spark, {"transaction_id": "c", "ingested_at": at(30), "event_time": at(20)}))
+    for name, second in (("same", day1), ("more", more)):
+        store = TableStore(spark, str(tmp_path / name))
+        nightly.run(store, day1, alerts_for(spark), at(60), None, BOUNDS)
+        nightly.run(store, second, alerts_for(spark, "a"), at(120), None, BOUNDS)
+        assert flags_of(store)[:2] == [("a", True, at(0)), ("b", False, None)], name
+
+
+def test_alerts_at_or_below_the_newest_one_seen(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    day1 = raw(spark, *({"transaction_id": i} for i in "abcd"))
+    came = lambda when, *ids: alerts_for(spark, *ids).withColumn("alerted_at", F.lit(at(when)))
+    first = came(50, "a")
+    nightly.run(store, day1, first, at(60), None, BOUNDS)
+    lagging = came(50, "b").unionByName(came(10, "c")).unionByName(came(20, "a"))  # of a, an earlier one
+    more = day1.unionByName(raw(spark, {"transaction_id": "e", "ingested_at": at(30), "event_time": at(20)}))
+    nightly.run(store, day1, first.unionByName(lagging), at(120), None, BOUNDS)
+    expected = [("a", True, at(20)), ("b", True, at(50)), ("c", True, at(10)), ("d", False, None)]
+    assert flags_of(store) == expected
+    # An alert of a new transaction counts whatever event time it carries; one without facts is taken once.
+    alerts = first.unionByName(lagging).unionByName(came(5, "e")).unionByName(came(5, "d").withColumn("risk_level", F.lit(None).cast("string")))
+    nightly.run(store, more, alerts, at(180), None, BOUNDS)
+    assert flags_of(store) == [*expected[:3], ("d", True, at(5)), ("e", True, at(5))]
+    number = store.load_number("fraud_flags")
+    nightly.run(store, more, alerts, at(180), None, BOUNDS)
+    assert store.load_number("fraud_flags") == number
+
+
 def test_incomplete_rows_wait_aside(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     bad = raw(spark, {"transaction_id": "a"}, {"transaction_id": None}, {"transaction_id": None}, {"transaction_id": "d", "amount": None})

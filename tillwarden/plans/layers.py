@@ -99,6 +99,17 @@ def cleaned_columns() -> list:
     return [value.alias(name) for name, value in named.items()]
 
 
+def outdated_flags(flags: DataFrame, alerts: DataFrame) -> DataFrame:
+    """transaction_id of the rows of ``flags`` that do not hold what the earliest alert of their
+    transaction gives them."""
+    first = keep_first(alerts.select("transaction_id", *ALERT_FACTS), ["transaction_id"], ["alerted_at"])
+    filled = with_defaults(first, {name: F.lit(value) for name, value in NO_ALERT.items()})
+    facts = filled.select("transaction_id", *(F.col(c).alias(f"alert_{c}") for c in ALERT_FACTS))
+    differs = reduce(or_, (~F.col(c).eqNullSafe(F.col(f"alert_{c}")) for c in ALERT_FACTS))
+    held = flags.select("transaction_id", "is_flagged", *ALERT_FACTS)
+    return held.join(facts, "transaction_id").where(~F.col("is_flagged") | differs).select("transaction_id")
+
+
 def silver_fraud_flags(
     clean: DataFrame,
     alerts: DataFrame,

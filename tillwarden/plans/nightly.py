@@ -79,33 +79,20 @@ def _silver(store, raw, alerts, as_of, rate_bounds, ingest_date):
 
 
 def _flags(store, alerts, as_of):
-    """Newly cleaned transactions, and older ones that an alert above the mark names.
-
-    A transaction's alert has its event time (or the alert's arrival), so only alerts from the
-    earliest event of the new transactions on can belong to these.
-    """
+    """Newly cleaned transactions, and older ones whose flags are not those of their earliest
+    alert: what the flags hold decides which alerts are news, whenever these arrived."""
     name = "fraud_flags"
     store.recover(name)
-    marks = store.marks(name)
-    taken, there = marks.get("clean_transactions", 0), store.load_number("clean_transactions")
-    newest = alerts.agg(F.max("alerted_at").cast("string")).first()[0]  # one value
-    seen = marks.get("alerted_at")
-    late = seen is not None and newest is not None and newest > seen
-    if there == taken and not late:
+    taken, there = store.marks(name).get("clean_transactions", 0), store.load_number("clean_transactions")
+    outdated = layers.outdated_flags(store.read(name), alerts) if store.exists(name) else None
+    if there == taken and (outdated is None or outdated.isEmpty()):
         return
-    drop = (LOAD_DATE, LOAD_NUMBER)
-    fresh = store.since("clean_transactions", taken)
-    first = fresh.agg(F.min("event_time").cast("string")).first()[0]  # one value
-    load, facts = fresh, alerts.where(F.col("event_time") >= F.lit(first).cast("timestamp_ntz"))
-    if late:
-        news = alerts.where(F.col("alerted_at") > F.lit(seen).cast("timestamp_ntz"))
-        named = news.select(*KEY).distinct()
-        older = store.read("clean_transactions").where(F.col(LOAD_NUMBER) <= taken).join(named, KEY, "left_semi")
-        load = fresh.unionByName(older)
-        # Of an older transaction all alerts count, the earliest of them first.
-        facts = alerts.join(load.select(*KEY), KEY, "left_semi")
-    rows = layers.silver_fraud_flags(load.drop(*drop), facts, as_of)
-    store.merge(name, rows, KEY, "fraud_flags_loaded_at", {"clean_transactions": there, "alerted_at": newest or seen})
+    load = store.since("clean_transactions", taken)
+    if outdated is not None:
+        older = store.read("clean_transactions").where(F.col(LOAD_NUMBER) <= taken)
+        load = load.unionByName(older.join(outdated, KEY, "left_semi"))
+    rows = layers.silver_fraud_flags(load.drop(LOAD_DATE, LOAD_NUMBER), alerts, as_of)
+    store.merge(name, rows, KEY, "fraud_flags_loaded_at", {"clean_transactions": there})
 
 
 def _gold(store, raw, alerts, as_of, rate_bounds, ingest_date):
