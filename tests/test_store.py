@@ -202,6 +202,19 @@ def test_alerts_at_or_below_the_newest_one_seen(spark, tmp_path):
     assert store.load_number("fraud_flags") == number
 
 
+def test_rows_of_a_later_batch_that_arrived_earlier(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    batch = lambda n, when, *ids: raw(spark, *({"transaction_id": i, "ingested_at": at(when)} for i in ids)).withColumn("batch_id", F.lit(n).cast("long"))
+    day1 = batch(0, 30, "a")
+    nightly.run(store, day1, alerts_for(spark), at(60), ["bronze"])
+    more = day1.unionByName(batch(1, 30, "b")).unionByName(batch(2, 10, "c", "c"))
+    nightly.run(store, more, alerts_for(spark), at(120), ["bronze"])
+    assert rows(store.read("raw_transactions"), "transaction_id") == [("a",), ("b",), ("c",)]
+    assert "batch_id" not in store.read("raw_transactions").columns
+    nightly.run(store, more, alerts_for(spark), at(180), ["bronze"])
+    assert store.load_number("raw_transactions") == 2
+
+
 def test_incomplete_rows_wait_aside(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     bad = raw(spark, {"transaction_id": "a"}, {"transaction_id": None}, {"transaction_id": None}, {"transaction_id": "d", "amount": None})

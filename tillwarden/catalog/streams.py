@@ -272,7 +272,7 @@ def stream_to_gold(spark, sf_dir):
     topic = topics.read_messages(spark, "parquet", {}, f"{folder}/topic")
     jobs.finish(jobs.start_alert_loader(topic, f"{folder}/alerts", f"{folder}/o2", trigger=None))
     jobs.finish(jobs.start_raw_loader(everything, f"{folder}/raw", f"{folder}/o3", trigger=None))
-    raw = jobs.loaded_rows(spark, f"{folder}/raw", TRANSACTIONS_RAW).drop("batch_id")
+    raw = jobs.loaded_rows(spark, f"{folder}/raw", TRANSACTIONS_RAW)
     alerts = jobs.loaded_rows(spark, f"{folder}/alerts", FRAUD_ALERTS).drop("batch_id", "load_day")
     store = TableStore(spark, f"{folder}/store")
     nightly.run(store, raw, alerts, I.AS_OF, ("bronze", "silver"), ingest_date="load_day")

@@ -17,6 +17,8 @@ from tillwarden.sources.tables import LOAD_DATE, LOAD_NUMBER, TableStore
 
 STEPS = ("freshness", "bronze", "silver", "gold", "checks", "profiles")
 KEY = ["transaction_id"]
+#: The raw loader's number of the batch that wrote a row.
+BATCH = "batch_id"
 
 
 def run(
@@ -31,7 +33,9 @@ def run(
     """Bring the store's tables up to ``as_of`` and return the steps done. Safe to repeat, also
     at the same ``as_of`` and after a failure: each step takes the loads of the step before
     that it has not taken yet, by number. ``ingest_date`` names a partition column of ``raw``
-    that holds the date of ``ingested_at``; older partitions are then not listed."""
+    that holds the date of ``ingested_at``; older partitions are then not listed. The raw loader's
+    ``batch_id``, where ``raw`` has it, is the load number of its rows; without it raw rows are
+    taken by ``ingested_at``, and rows that turn up at or below the highest one are not."""
     wanted = STEPS if layers_wanted is None else [s for s in STEPS if s in layers_wanted]
     for step in wanted:
         _RUN[step](store, raw, alerts, as_of, rate_bounds, ingest_date)
@@ -43,29 +47,35 @@ def _freshness(store, raw, alerts, as_of, rate_bounds, ingest_date):
 
 
 def _bronze(store, raw, alerts, as_of, rate_bounds, ingest_date):
-    """Rows above the highest ingest time taken. Rows without a required value wait in
-    ``rejected_transactions`` instead of the layers."""
+    """Rows of the loader's batches not taken yet, or (without batches) above the highest ingest
+    time taken. Rows without a required value wait in ``rejected_transactions`` instead of the layers."""
     name = "raw_transactions"
     store.recover(name)
-    mark = store.marks(name).get("ingested_at")
+    by = BATCH if BATCH in raw.columns else "ingested_at"
+    mark = store.marks(name).get(by)
     fresh = raw
-    if mark is not None:
+    if mark is not None and by == BATCH:
+        fresh = raw.where(F.col(BATCH) > mark)
+    elif mark is not None:
         moment = F.lit(mark).cast("timestamp_ntz")
         fresh = raw if ingest_date is None else raw.where(F.col(ingest_date) >= F.to_date(moment))
         fresh = fresh.where(F.col("ingested_at") > moment)
     fresh = fresh.drop(ingest_date) if ingest_date else fresh
-    newest = fresh.agg(F.max("ingested_at").cast("string")).first()[0]  # one value
+    newest = F.max(by) if by == BATCH else F.max(by).cast("string")
+    newest = fresh.agg(newest).first()[0]  # one value
     if newest is None:
         return
+    if by == BATCH:
+        fresh = fresh.where(F.col(BATCH) <= newest).drop(BATCH)  # later ones are the next run's
     complete, incomplete = layers.split_incomplete(fresh)
     if not incomplete.isEmpty():
         known = store.read("rejected_transactions") if store.exists("rejected_transactions") else None
         both = incomplete if known is None else sync_columns(known, incomplete).unionByName(incomplete)
         store.overwrite("rejected_transactions", both.distinct())  # a repeated run brings the same rows
-    if mark is not None:
+    if store.load_number(name):
         complete = keep_first(complete, KEY, ["ingested_at"])
     rows = layers.bronze_raw_transactions(complete, as_of)
-    store.merge(name, rows, KEY, "dbt_loaded_at", {"ingested_at": newest})
+    store.merge(name, rows, KEY, "dbt_loaded_at", {by: newest})
 
 
 def _silver(store, raw, alerts, as_of, rate_bounds, ingest_date):
