@@ -35,6 +35,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 @lru_cache(maxsize=4)
@@ -129,9 +131,15 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             row = stop
 
 
-def words(chunk: Chunk) -> Words:
+def lowered(chunk: Chunk) -> Chunk:
+    """The same texts with A-Z in lower case and all else as it is."""
+    return Chunk(chunk.batch, _LOWER[chunk.data], chunk.offsets)
+
+
+def words(chunk: Chunk, separator: np.ndarray = SEPARATOR) -> Words:
+    """``separator`` says for each byte whether it stands between words."""
     data, offsets = chunk.data, chunk.offsets
-    inside = ~SEPARATOR[data]
+    inside = ~separator[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
