@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwarden.llm import automata, decontaminate, host_rules, jaccard_join, language, piece_sampling, quality_fm, suffix_levels, token_files, token_lengths
-from tillwarden.llm.check_sql import HOST_RULES
+from tillwarden.llm import automata, collocations, decontaminate, hamming_index, host_rules, jaccard_join, language, piece_sampling, quality_fm, ranked_search, suffix_levels, token_files, token_lengths
+from tillwarden.llm.check_sql import COLLOCATIONS, HOST_RULES, RANKED_SEARCH
 from tillwarden.llm.text import learns, table
 from tillwarden.session import new_run_dir
 
@@ -75,6 +75,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of each language: lang, rank, phrase, a, l, r, n, score."""
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item: item_id, rank, doc_id, score."""
+    return ranked_search.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hamming_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100: query_id, rank, vec_id, score."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming_index.neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +104,9 @@ QUERIES = {
         op8_host_rules,
         op9_jaccard_join,
         op10_decontamination,
+        op11_collocations,
+        op12_ranked_search,
+        op13_hamming_index,
     )
 }
-SQL: dict[str, str] = {"op8_host_rules": HOST_RULES}
+SQL: dict[str, str] = {"op8_host_rules": HOST_RULES, "op11_collocations": COLLOCATIONS, "op12_ranked_search": RANKED_SEARCH}
