@@ -5,6 +5,7 @@ from helpers import at, frame, rows, visits
 
 from tillwarden.config import RuleConfig
 from tillwarden.operators import behaviour
+from tillwarden.plans import alert_views
 from tillwarden.schemas import CUSTOMER_RISK_PROFILES
 
 MINUTE = timedelta(minutes=1)
@@ -95,3 +96,57 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         assert behaviour.repeat_offences(df, df.where("merchant_country = 'RU'"), timedelta(minutes=10)).count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def _versions(spark, data, extra=()):
+    text = "customer_id STRING, valid_from TIMESTAMP_NTZ, risk_tier STRING, total_fraud_alerts BIGINT, last_alert_time TIMESTAMP_NTZ"
+    made = [(c, at(s), "HIGH", n, at(s)) for c, s, n in data]
+    return frame(spark, text, made + list(extra))
+
+
+def test_profiles_as_of_equal_brute_force(spark):
+    """A hot customer with many versions at one instant, rows before the first version and before
+    1970, customers without any, missing customers and times, cells of very different sizes."""
+    data = _random_visits(11)
+    dice = random.Random(5)
+    states = [(f"c{dice.randrange(9)}" if dice.random() < 0.6 else "hot", dice.choice([0, 37, dice.randrange(-9000, 9000), -1709294400]), n) for n in range(200)]
+    df = visits(spark, data).unionByName(
+        frame(
+            spark,
+            "transaction_id STRING, customer_id STRING, event_time TIMESTAMP_NTZ, merchant_country STRING",
+            [("x", None, at(0), "US"), ("y", "hot", None, "US"), ("z", None, None, None)],
+        )
+    )
+    versions = _versions(spark, states, [(None, at(0), "HIGH", 7, at(0)), ("hot", None, "HIGH", 8, None)])
+    for width in (timedelta(seconds=40), timedelta(days=1), timedelta(days=40_000)):
+        known = behaviour.as_of(df, versions, "customer_id", "event_time", "valid_from", ["total_fraud_alerts"], width)
+        got = dict(rows(known, "transaction_id", "total_fraud_alerts"))
+        assert len(got) == len(data) + 3 and got["x"] is got["y"] is got["z"] is None
+        for i, customer, second, _ in data:
+            before = [(s, n) for c, s, n in states if c == customer and s <= second]
+            assert got[str(i)] == (max(before)[1] if before else None)
+    told = behaviour.with_profile_as_of(df, versions)
+    assert rows(told.where("transaction_id = 'x'"), "risk_tier", "total_fraud_alerts", "repeat_offender") == [("UNKNOWN", 0, False)]
+
+
+def test_profile_versions_equal_brute_force(spark):
+    data = [(i, c, s, k) for i, c, s, k in _random_visits(21)]
+    alerts = visits(spark, data).selectExpr("customer_id", "event_time", "merchant_country", "CAST(transaction_id AS INT) % 90 AS fraud_score")
+    alerts = alerts.unionByName(alerts.limit(2).selectExpr("NULL AS customer_id", "event_time", "merchant_country", "fraud_score"))
+    alerts = alerts.unionByName(alerts.limit(2).selectExpr("customer_id", "NULL AS event_time", "merchant_country", "fraud_score"))
+    for width in (timedelta(seconds=50), timedelta(days=1)):
+        got = {(r["customer_id"], r["valid_from"]): r for r in alert_views.profile_versions(alerts, width).collect()}
+        assert set(got) == {(c, at(s)) for _, c, s, _ in data}
+        for (customer, moment), r in got.items():
+            upto = [v for v in data if v[1] == customer and at(v[2]) <= moment]
+            later = [at(v[2]) for v in data if v[1] == customer and at(v[2]) > moment]
+            countries = [v[3] for v in upto if v[3] is not None]
+            assert (r["total_fraud_alerts"], r["cumulative_fraud_score"]) == (len(upto), sum(v[0] % 90 for v in upto))
+            assert r["valid_to"] == min(later, default=None) and r["last_alert_time"] == moment
+            assert r["last_seen_country"] == max(countries, default=None)
+
+
+def test_no_versions_and_no_rows(spark):
+    df = visits(spark, [(1, "c", 0, "US")])
+    assert rows(behaviour.with_profile_as_of(df, _versions(spark, [])), "transaction_id", "risk_tier") == [("1", "UNKNOWN")]
+    assert behaviour.with_profile_as_of(df.limit(0), _versions(spark, [("c", 0, 1)])).count() == 0

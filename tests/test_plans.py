@@ -63,3 +63,13 @@ def test_first_pass_over_all_rows_is_a_hash_aggregation(spark, sf_dir):
     for model in (gold.customer_stats(flags), gold.merchant_risk_scores(flags, I.AS_OF)):
         kinds = re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(", plan(model))
         assert kinds[-2:] == ["HashAggregate", "HashAggregate"]
+
+
+def test_the_as_of_join_sorts_cells_and_forms_no_pairs(spark):
+    df = visits(spark, [(1, "c", 0, "US")])
+    text = "customer_id STRING, valid_from TIMESTAMP_NTZ, risk_tier STRING, total_fraud_alerts BIGINT, last_alert_time TIMESTAMP_NTZ"
+    known = plan(behaviour.with_profile_as_of(df, frame(spark, text, [])))
+    assert "NestedLoop" not in known and "Cartesian" not in known
+    # Only the windows over one row per cell go by customer alone.
+    by_customer = [line for line in known.splitlines() if re.search(r"\bWindow \[", line) and "cell" not in line.split("windowspecdefinition(")[1].split("ASC")[0]]
+    assert all("first" not in line and "at#" not in line.split("windowspecdefinition(")[1] for line in by_customer)

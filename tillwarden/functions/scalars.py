@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Upper bounds (exclusive) and names of the amount buckets and rate bands.
@@ -53,6 +53,16 @@ def utc_time(instant_: Column) -> Column:
     return plain_moment(F.unix_micros(instant_))
 
 
+def at_micros(df: DataFrame, time: str) -> Column:
+    """Microseconds since 1970, of instants or zone-less times."""
+    return F.unix_micros(time) if df.schema[time].dataType.typeName() == "timestamp" else plain_micros(F.col(time))
+
+
+def cell_of(at: Column, width: int) -> Column:
+    """Number of the time cell (floor division, also before 1970)."""
+    return F.floor((at - F.pmod(at, F.lit(width))) / width)
+
+
 def interval(span: timedelta) -> Column:
     return F.lit(span)
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwarden.config import DEFAULT_RULES, RuleConfig
-from tillwarden.functions.scalars import duration, micros, plain_micros, plain_moment
+from tillwarden.functions.scalars import at_micros, cell_of, duration, micros, plain_moment
+from tillwarden.operators.asof import as_of
 from tillwarden.operators.merge import with_defaults
 
 KEY, TIME, COUNTRY = "customer_id", "event_time", "merchant_country"
@@ -21,8 +22,7 @@ CELL_WINDOWS = 4  # a cell spans four look-back windows, so a quarter of the poi
 
 
 def _at(df: DataFrame, time: str = TIME) -> Column:
-    """Microseconds since 1970, of instants or zone-less times."""
-    return F.unix_micros(time) if df.schema[time].dataType.typeName() == "timestamp" else plain_micros(F.col(time))
+    return at_micros(df, time)
 
 
 def _moment(at: Column, like: DataFrame, time: str = TIME) -> Column:
@@ -30,14 +30,9 @@ def _moment(at: Column, like: DataFrame, time: str = TIME) -> Column:
     return F.timestamp_micros(at) if like.schema[time].dataType.typeName() == "timestamp" else plain_moment(at)
 
 
-def _cell(at: Column, width: int) -> Column:
-    """Number of the time cell (floor division, also before 1970)."""
-    return F.floor((at - F.pmod(at, F.lit(width))) / width)
-
-
 def _reach(at: Column, look_back: int, width: int) -> Column:
     """Cells from which the point is still inside the look-back."""
-    return F.explode(F.sequence(_cell(at, width), _cell(at + look_back, width)))
+    return F.explode(F.sequence(cell_of(at, width), cell_of(at + look_back, width)))
 
 
 def _edge(at: Column, delta: Column, asks: Column) -> Column:
@@ -70,7 +65,7 @@ def trailing_count(df: DataFrame, look_back: timedelta, name: str = "recent_tran
         "cell",
         F.inline(
             F.array(
-                _edge(at, F.col("n"), F.col("cell") == _cell(at, width)),
+                _edge(at, F.col("n"), F.col("cell") == cell_of(at, width)),
                 _edge(at + span + 1, -F.col("n"), F.lit(False)),
             )
         ),
@@ -98,7 +93,7 @@ def trailing_countries(df: DataFrame, look_back: timedelta, name: str = "recent_
             "cell",
             F.inline(
                 F.array(
-                    _edge(at, one, F.col("cell") == _cell(at, width)),
+                    _edge(at, one, F.col("cell") == cell_of(at, width)),
                     _edge(F.least(at + span + 1, F.col("next_at")), -one, F.lit(False)),
                 )
             ),
@@ -193,7 +188,7 @@ def repeat_offences(df: DataFrame, alerts: DataFrame, look_back: timedelta = tim
     at = _at(df)
     cells = (
         alerts.select(KEY, _at(alerts).alias("alert_at"))
-        .groupBy(KEY, _cell(F.col("alert_at"), span).alias("cell"))
+        .groupBy(KEY, cell_of(F.col("alert_at"), span).alias("cell"))
         .agg(F.min("alert_at").alias("first_at"), F.max("alert_at").alias("last_at"))
     )
     nothing = F.lit(None).cast("long")
@@ -210,7 +205,7 @@ def repeat_offences(df: DataFrame, alerts: DataFrame, look_back: timedelta = tim
         .groupBy(KEY, "cell")
         .agg(F.min("own_first").alias("own_first"), F.max("prior_last").alias("prior_last"))
     )
-    stamped = df.withColumns({"_at": at, "cell": _cell(at, span)})
+    stamped = df.withColumns({"_at": at, "cell": cell_of(at, span)})
     hit = (F.col("own_first") <= F.col("_at")) | (F.col("prior_last") >= F.col("_at") - span)
     return (
         stamped.alias("t")
@@ -223,10 +218,21 @@ def repeat_offences(df: DataFrame, alerts: DataFrame, look_back: timedelta = tim
     )
 
 
-def with_profile(df: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Transactions with their customer's risk profile; a customer without one is UNKNOWN."""
-    facts = profiles.select(KEY, "risk_tier", "total_fraud_alerts", "last_alert_time")
-    known = with_defaults(
-        df.join(facts, KEY, "left"), {"risk_tier": F.lit("UNKNOWN"), "total_fraud_alerts": F.lit(0).cast("long")}
-    )
+PROFILE = ("risk_tier", "total_fraud_alerts", "last_alert_time")
+
+
+def _known_or_not(df: DataFrame) -> DataFrame:
+    """A customer without a profile is UNKNOWN and has no alerts."""
+    known = with_defaults(df, {"risk_tier": F.lit("UNKNOWN"), "total_fraud_alerts": F.lit(0).cast("long")})
     return known.withColumn("repeat_offender", F.col("total_fraud_alerts") > 0)
+
+
+def with_profile(df: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Transactions with their customer's risk profile as it is in ``profiles``."""
+    return _known_or_not(df.join(profiles.select(KEY, *PROFILE), KEY, "left"))
+
+
+def with_profile_as_of(df: DataFrame, versions: DataFrame) -> DataFrame:
+    """Transactions with their customer's risk profile as it was at their event time.
+    ``versions`` (``alert_views.profile_versions``) says from when each version counts."""
+    return _known_or_not(as_of(df, versions, KEY, TIME, "valid_from", PROFILE))

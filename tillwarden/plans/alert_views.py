@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwarden.functions.scalars import dollars, how_many, instant, interval, ladder, money_total, ratio
+from tillwarden.functions.scalars import at_micros, cell_of, dollars, how_many, instant, interval, ladder, micros, money_total, ratio
+from tillwarden.operators.asof import DAY, totals_before
 from tillwarden.operators.ranking import global_row_number
 
 # Score bounds (reached) and alert-count bounds (up to) of the tiers; window of the profiles.
@@ -114,10 +115,25 @@ def profile_facts(alerts: DataFrame, as_of: datetime | str | None, last_country:
     """
     recent = alerts
     if as_of is not None:
-        recent = alerts.where(F.col("event_time").between(instant(as_of) - interval(PROFILE_WINDOW), instant(as_of)))
-    per_country = recent.groupBy("customer_id", "merchant_country").agg(
+        recent = alerts.where(in_window(as_of))
+    return profile_totals(alert_parts(recent), last_country)
+
+
+def in_window(as_of: datetime | str) -> Column:
+    """Event times that a refresh at ``as_of`` looks at."""
+    return F.col("event_time").between(instant(as_of) - interval(PROFILE_WINDOW), instant(as_of))
+
+
+def alert_parts(alerts: DataFrame, *by: Column) -> DataFrame:
+    """Counts, score sums and the latest time per customer and country (and ``by``). Parts of
+    different alerts can be put together by ``profile_totals``."""
+    return alerts.groupBy(*by, "customer_id", "merchant_country").agg(
         F.count(F.lit(1)).alias("n"), F.sum("fraud_score").alias("score"), F.max("event_time").alias("latest")
     )
+
+
+def profile_totals(per_country: DataFrame, last_country: str = "greatest") -> DataFrame:
+    """Facts per customer, from any number of parts."""
     country = F.col("merchant_country")
     pick = F.max(country) if last_country == "greatest" else F.max_by(country, F.struct("latest", country))
     totals = per_country.groupBy("customer_id").agg(
@@ -139,7 +155,11 @@ def refresh_customer_risk_profiles(
 ) -> DataFrame:
     """Profiles after the refresh: customers with recent alerts get the new facts, new
     customers are added with the table's defaults, all others stay as they are."""
-    facts = profile_facts(alerts, as_of, last_country).withColumn("updated_at", instant(as_of))
+    return refreshed_profiles(profiles, profile_facts(alerts, as_of, last_country), as_of)
+
+
+def refreshed_profiles(profiles: DataFrame, facts: DataFrame, as_of: datetime | str) -> DataFrame:
+    facts = facts.withColumn("updated_at", instant(as_of))
     fresh = facts.select("customer_id", F.struct(*PROFILE_FACTS, "updated_at").alias("new"))
     both = profiles.join(fresh, "customer_id", "full_outer")
     touched = F.col("new").isNotNull()
@@ -152,3 +172,46 @@ def refresh_customer_risk_profiles(
             for c in (*PROFILE_FACTS, "updated_at")
         ),
     )
+
+
+def profile_versions(alerts: DataFrame, width: timedelta = DAY) -> DataFrame:
+    """Every version of every customer's profile: the facts of all alerts up to ``valid_from``
+    (an instant with alerts), in force until ``valid_to`` (the next one; NULL: still in force).
+
+    Totals are summed within (customer, cell) and start from those of the cells before, so a
+    customer with very many alerts is spread over tasks. Alerts without customer or time give
+    no version.
+    """
+    span, key = micros(width), "customer_id"
+    timed = alerts.where(F.col(key).isNotNull() & F.col("event_time").isNotNull())
+    moments = timed.select(key, at_micros(alerts, "event_time").alias("at"), "event_time", "fraud_score", "merchant_country")
+    moments = moments.groupBy(key, "at").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("fraud_score").alias("score"),
+        F.max("merchant_country").alias("country"),
+        F.max("event_time").alias("valid_from"),
+    )
+    moments = moments.withColumn("cell", cell_of(F.col("at"), span))
+    cells = moments.groupBy(key, "cell").agg(
+        F.sum("n").alias("n"), F.sum("score").alias("score"), F.max("country").alias("country"), F.min("valid_from").alias("first")
+    )
+    totals = {"n_before": F.sum("n"), "score_before": F.sum("score"), "country_before": F.max("country")}
+    opening = totals_before(cells, key, totals).withColumn(
+        "next_cell", F.lead("first").over(Window.partitionBy(key).orderBy("cell"))
+    )
+    opening = opening.select(key, "cell", *totals, "next_cell")
+    inside = Window.partitionBy(key, "cell").orderBy("at")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    running = moments.join(opening, [key, "cell"]).withColumns(
+        {
+            "total_fraud_alerts": F.sum("n").over(upto) + F.coalesce("n_before", F.lit(0)),
+            "cumulative_fraud_score": (
+                F.coalesce(F.sum("score").over(upto), F.lit(0)) + F.coalesce("score_before", F.lit(0))
+            ).cast("long"),
+            "last_alert_time": F.col("valid_from"),
+            "last_seen_country": F.greatest(F.max("country").over(upto), "country_before"),
+            "valid_to": F.coalesce(F.lead("valid_from").over(inside), "next_cell"),
+        }
+    )
+    rated = running.withColumn("risk_tier", count_tier(F.col("total_fraud_alerts")))
+    return rated.select(key, "valid_from", "valid_to", *PROFILE_FACTS)
