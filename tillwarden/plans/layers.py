@@ -6,6 +6,7 @@ of this load; ``upsert`` or ``TableStore.merge`` puts them into the table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 from operator import or_
@@ -26,16 +27,16 @@ ALERT_FACTS = (
 )
 
 
-def raw_rows(transactions: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
-    """Decoded messages in the raw table's columns: renames, default currency, and
-    ``as_of`` as the ingest time of rows without one."""
+def raw_rows(transactions: DataFrame, as_of: datetime | str | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """Decoded messages in the raw table's columns (and ``more``): renames, default currency,
+    and ``as_of`` as the ingest time of rows without one."""
     renames = {"is_fraud": "is_fraud_label"}
     shaped = transactions.withColumnsRenamed({k: v for k, v in renames.items() if k in transactions.columns})
     defaults = {"currency": F.lit("USD")} | ({} if as_of is None else {"ingested_at": instant(as_of)})
     if shaped.schema["event_time"].dataType.typeName() == "timestamp":
         shaped = shaped.withColumn("event_time", utc_time(F.col("event_time")))
     filled = with_defaults(shaped, defaults)
-    return filled.select(*(c for c in TRANSACTIONS_RAW.names if c in filled.columns))
+    return filled.select(*(c for c in TRANSACTIONS_RAW.names if c in filled.columns), *more)
 
 
 def split_incomplete(df: DataFrame, required: tuple[str, ...] = REQUIRED_RAW_COLUMNS) -> tuple[DataFrame, DataFrame]:
@@ -99,15 +100,23 @@ def cleaned_columns() -> list:
     return [value.alias(name) for name, value in named.items()]
 
 
-def outdated_flags(flags: DataFrame, alerts: DataFrame) -> DataFrame:
-    """transaction_id of the rows of ``flags`` that do not hold what the earliest alert of their
-    transaction gives them."""
+#: The day on which the row behind an outdated flag was cleaned.
+CLEANED_ON = "cleaned_on"
+
+
+def outdated_flags(flags: DataFrame, alerts: DataFrame, all_alerts: bool = True) -> DataFrame:
+    """transaction_id and the day of cleaning of the rows of ``flags`` that do not hold what the
+    earliest alert of their transaction gives them. If ``alerts`` are new ones only, what a row
+    holds stands as long as it is earlier."""
     first = keep_first(alerts.select("transaction_id", *ALERT_FACTS), ["transaction_id"], ["alerted_at"])
     filled = with_defaults(first, {name: F.lit(value) for name, value in NO_ALERT.items()})
     facts = filled.select("transaction_id", *(F.col(c).alias(f"alert_{c}") for c in ALERT_FACTS))
     differs = reduce(or_, (~F.col(c).eqNullSafe(F.col(f"alert_{c}")) for c in ALERT_FACTS))
-    held = flags.select("transaction_id", "is_flagged", *ALERT_FACTS)
-    return held.join(facts, "transaction_id").where(~F.col("is_flagged") | differs).select("transaction_id")
+    if not all_alerts:
+        differs &= ~F.coalesce(F.col("alert_alerted_at") > F.col("alerted_at"), F.lit(False))
+    held = flags.select("transaction_id", "is_flagged", "silver_loaded_at", *ALERT_FACTS)
+    outdated = held.join(facts, "transaction_id").where(~F.col("is_flagged") | differs)
+    return outdated.select("transaction_id", F.to_date("silver_loaded_at").alias(CLEANED_ON))
 
 
 def silver_fraud_flags(

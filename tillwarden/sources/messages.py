@@ -15,6 +15,8 @@ from tillwarden.functions.scalars import utc_time
 from tillwarden.schemas import ALERT_MESSAGE, FILE_MESSAGES, TRANSACTION_MESSAGE
 
 MALFORMED = "_malformed"
+#: Messages with unknown fields, whole.
+EXTRA = "extra"
 
 
 def kafka_options(
@@ -48,7 +50,7 @@ def decode(
     Unreadable JSON gives a row of NULLs whose text stays in ``_malformed``; an
     unreadable time gives a NULL ``event_time``. ``keep`` names columns of the message to keep.
     """
-    arrived = messages.select("value", F.col("timestamp").alias("kafka_timestamp"))
+    arrived = messages.select("value", F.col("timestamp").alias("kafka_timestamp"), *(c for c in keep if c != "value"))
     timed = arrived.select(parse(schema), "kafka_timestamp", *keep).withColumn("event_time", F.try_to_timestamp("timestamp"))
     return timed if watermark is None else timed.withWatermark("event_time", watermark)
 
@@ -64,6 +66,33 @@ def parse(schema: StructType) -> Column:
     return F.inline(F.array(F.from_json(F.col("value").cast("string"), with_text, options)))
 
 
+def unknown_fields(schema: StructType = TRANSACTION_MESSAGE) -> Column:
+    """The whole message as VARIANT if it has fields that ``schema`` does not know, else NULL.
+    Kept beside the typed columns it loses nothing, whatever producers add."""
+    text = F.col("value").cast("string")
+    more = F.exists(F.json_object_keys(text), lambda k: ~k.isin(*schema.names))
+    return F.when(more, F.try_parse_json(text)).alias(EXTRA)
+
+
+def drift(rows: DataFrame, schema: StructType = TRANSACTION_MESSAGE) -> DataFrame:
+    """field, kind, messages: what the fields that ``schema`` does not know hold, and how many
+    messages have them. ``rows`` have the column EXTRA. ``kind`` is the schema that all values of
+    the field share."""
+    held = rows.select(EXTRA).where(F.col(EXTRA).isNotNull())
+    fields = held.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(EXTRA).outer()).alias("f")).select("f.key", "f.value")
+    unknown = fields.where(~F.col("key").isin(*schema.names))
+    return unknown.groupBy(F.col("key").alias("field")).agg(
+        F.schema_of_variant_agg("value").alias("kind"), F.count(F.lit(1)).alias("messages")
+    )
+
+
+def backfilled(rows: DataFrame, name: str, kind: str) -> DataFrame:
+    """``rows`` with a column that the schema has gained since some of them were loaded: where it
+    is missing or NULL, its value comes out of EXTRA (NULL if that can't be cast)."""
+    kept = F.try_variant_get(F.col(EXTRA), f"$['{name}']", kind)
+    return rows.withColumn(name, F.coalesce(F.col(name), kept) if name in rows.columns else kept)
+
+
 def split_malformed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable rows, texts that were no valid message)."""
     bad = F.col(MALFORMED).isNotNull()

@@ -9,10 +9,10 @@ replayed batch leaves no second copy.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import DateType, LongType, StructField, StructType
@@ -25,15 +25,16 @@ from tillwarden.config import (
     WATERMARK,
     RuleConfig,
 )
-from tillwarden.functions.scalars import utc_time
-from tillwarden.operators import behaviour
+from tillwarden.functions.scalars import cell_of, micros, plain_micros, utc_time
+from tillwarden.operators import behaviour, quality
 from tillwarden.operators.dedup import keep_first
 from tillwarden.operators.merge import assign_ids, next_id
 from tillwarden.operators.rules import apply_fraud_detection
 from tillwarden.plans.alert_views import PROFILE_FACTS, count_tier
 from tillwarden.plans.layers import raw_rows
-from tillwarden.schemas import ALERT_MESSAGE, REQUIRED_RAW_COLUMNS
+from tillwarden.schemas import ALERT_MESSAGE, FRAUD_ALERTS, REQUIRED_RAW_COLUMNS
 from tillwarden.sources import messages as topics
+from tillwarden.streaming.bursts import early_velocity_alerts
 
 # Columns of the monitoring output, rows per screen.
 CONSOLE_COLUMNS = (
@@ -82,6 +83,24 @@ def first_multi_country_alerts(stream: DataFrame, rules: RuleConfig = PIPELINE_R
     return behaviour.first_multi_country_alerts(stream, rules)
 
 
+def repeat_offences(stream: DataFrame, alerts: DataFrame, look_back: timedelta = LOOK_BACK) -> DataFrame:
+    """Stream rows whose customer had an alert in [event_time - look_back, event_time], two streams
+    against each other: no table is read. Both need a watermark on event_time.
+
+    Rows meet by customer and time cell, an alert being sent to the one or two cells it reaches, so
+    a row looks through one cell of its customer's alerts. The time bounds and the watermarks say
+    when a kept row can't meet anything any more; the state then lets it go.
+    """
+    span, time = micros(look_back), behaviour.TIME
+    at = F.unix_micros(time)
+    reached = F.explode(F.sequence(cell_of(at, span), cell_of(at + span, span)))
+    hits = alerts.select(F.col(behaviour.KEY).alias("_who"), F.col(time).alias("_alerted"), reached.alias("_reached"))
+    rows = stream.withColumn("_cell", cell_of(at, span))
+    recent = (F.col("_alerted") <= F.col(time)) & (F.col("_alerted") >= F.col(time) - F.expr(f"INTERVAL '{span / 1e6:.6f}' SECOND"))
+    same = (F.col(behaviour.KEY) == F.col("_who")) & (F.col("_cell") == F.col("_reached"))
+    return rows.join(hits, same & recent, "left_semi").drop("_cell")
+
+
 def running_profiles(alerts: DataFrame) -> DataFrame:
     """A customer's totals over all alerts so far: one state row per customer, and each
     batch emits only the customers it changed (update mode)."""
@@ -145,6 +164,28 @@ def to_numbered_batches(
     return _writer(df, checkpoint, trigger, mode).foreachBatch(write).start()
 
 
+def to_checked_batches(
+    df: DataFrame, path: str, checkpoint: str, checks: Callable[[], list[tuple[str, Column]]], trigger: str | None = LOADER_TRIGGER
+) -> StreamingQuery:
+    """Each batch into its own folder of ``path``/rows, and the violations of ``checks`` in it,
+    counted while it is written, into ``path``/checks. A replay changes nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        put = lambda rows: rows.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        counted = quality.counted_while(batch, [("rows", F.count(F.lit(1))), *checks()], put)
+        figures = batch.sparkSession.createDataFrame(list(counted.items()), "check_name string, violations long")
+        figures.coalesce(1).write.mode("overwrite").parquet(f"{path}/checks/batch_id={batch_id}")
+
+    return _writer(df, checkpoint, trigger).foreachBatch(write).start()
+
+
+def checked_report(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The report over all batches so far, from their counts alone."""
+    counts = spark.read.schema("check_name string, violations long").parquet(f"{path}/checks").where("check_name <> 'rows'")
+    totals = counts.groupBy("check_name").agg(F.sum("violations").alias("violations"))
+    return totals.select("check_name", F.lit(table).alias("table_name"), "violations", (F.col("violations") == 0).alias("passed"))
+
+
 def _folders(spark: SparkSession, path: str, prefix: str = "batch_id=") -> list[int]:
     """Numbers of the batch folders, ascending, by listing (no file is opened)."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -208,9 +249,47 @@ def _start_loader(
 
 
 def loaded_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A loader's rows, with their partition columns batch_id and load_day."""
+    """A loader's rows, with the number of their batch (batch_id) and their day (load_day)."""
     full = StructType([*schema.fields, StructField("batch_id", LongType()), StructField("load_day", DateType())])
-    return spark.read.schema(full).parquet(f"{path}/rows")
+    compacted = _compacted(spark, path)
+    if compacted is None:
+        return spark.read.schema(full).parquet(f"{path}/rows")
+    upto, folder = compacted
+    later = [f"{path}/rows/batch_id={n}" for n in _folders(spark, f"{path}/rows") if n > upto]
+    rows = spark.read.schema(full).parquet(folder)
+    return rows.unionByName(spark.read.schema(full).option("basePath", f"{path}/rows").parquet(*later)) if later else rows
+
+
+def _compacted(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """The newest complete compaction of a loader's batches: up to which one, and its folder."""
+    folder = f"{path}/compacted"
+    whole = [n for n in _folders(spark, folder, "upto=") if _complete(spark, f"{folder}/upto={n}")]
+    return (whole[-1], f"{folder}/upto={whole[-1]}") if whole else None
+
+
+def compact_loaded(spark: SparkSession, path: str, schema: StructType, upto: int | None = None) -> int | None:
+    """Put a loader's batches up to ``upto`` (all but the newest if that is less) into one folder
+    per day and delete theirs; returns the last one that was taken. Rows keep the number of their
+    batch, so readers that go by number see nothing twice. The loader can go on meanwhile, and a
+    compaction that stops half-way changes nothing."""
+    batches = _folders(spark, f"{path}/rows")
+    before = _compacted(spark, path)
+    taken = [n for n in batches[:-1] if (upto is None or n <= upto) and (before is None or n > before[0])]
+    if not taken:
+        return before[0] if before else None
+    last = taken[-1]
+    rows = loaded_rows(spark, path, schema).where(F.col("batch_id") <= last)
+    # A day's rows meet in as many tasks as their size asks for, each of which writes one file.
+    rows.hint("rebalance", "load_day").write.mode("overwrite").partitionBy("load_day").parquet(f"{path}/compacted/upto={last}")
+    old = [f"{path}/rows/batch_id={n}" for n in taken] + ([before[1]] if before else [])
+    for folder in old:
+        _delete(spark, folder)
+    return last
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def loaded_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -237,18 +316,21 @@ def start_alert_loader(messages, path, checkpoint, trigger=LOADER_TRIGGER):
     return _start_loader(messages, split, path, checkpoint, "alert_id", "alerted_at", trigger)
 
 
-def start_raw_loader(messages, path, checkpoint, as_of=None, trigger=LOADER_TRIGGER):
+def start_raw_loader(messages, path, checkpoint, as_of=None, trigger=LOADER_TRIGGER, keep_unknown=False):
     """Transaction messages into the raw table (``loaded_rows``); unreadable messages, those
     without a value and those without a required one into the rejects. ``ingested_at`` is the
-    broker's arrival time unless ``as_of`` sets it."""
+    broker's arrival time unless ``as_of`` sets it. ``keep_unknown`` adds the column ``extra``:
+    messages with fields that the schema lacks, whole (``topics.drift``, ``topics.backfilled``)."""
 
     def split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        decoded = topics.decode(batch, keep=("value",))
+        more = [topics.EXTRA] if keep_unknown else []
+        batch = batch.withColumn(topics.EXTRA, topics.unknown_fields()) if keep_unknown else batch
+        decoded = topics.decode(batch, keep=("value", *more))
         marked = _with_reason(decoded, REQUIRED_RAW_COLUMNS)
         rejects = marked.where(F.col("reason").isNotNull()).select(F.col("value").cast("string").alias("message"), "kafka_timestamp", "reason")
         good = marked.where(F.col("reason").isNull()).drop("reason", "value", topics.MALFORMED)
         arrived = good if as_of is not None else good.withColumn("ingested_at", utc_time(F.col("kafka_timestamp")))
-        return raw_rows(arrived, as_of), rejects
+        return raw_rows(arrived, as_of, more), rejects
 
     return _start_loader(messages, split, path, checkpoint, "id", "ingested_at", trigger)
 
@@ -262,10 +344,69 @@ def _start_lookup(stream, look_up: Callable[[DataFrame], DataFrame], path, check
 
 def start_repeat_offences(stream, read_alerts: Callable[[], DataFrame], path, checkpoint, look_back=LOOK_BACK, trigger=SCORING_TRIGGER):
     """Stream rows whose customer was flagged shortly before. ``read_alerts`` opens the alert
-    table anew for each batch, so alerts that came after the start are seen."""
+    table anew for each batch, so alerts that came after the start are seen. What it opens is read
+    whole: see ``start_loaded_offences`` and ``repeat_offences`` for large alert tables."""
     return _start_lookup(stream, lambda batch: behaviour.repeat_offences(batch, read_alerts(), look_back), path, checkpoint, trigger)
 
 
+def start_loaded_offences(stream, alerts_path, path, checkpoint, look_back=LOOK_BACK, trigger=SCORING_TRIGGER):
+    """The same by the alert loader's table, of which a batch opens only the days from its
+    earliest payment minus the look-back on."""
+
+    def look_up(batch: DataFrame) -> DataFrame:
+        first = batch.agg(F.min(behaviour.TIME).alias("first")).select(utc_time(F.col("first"))).first()[0]  # one value
+        moment = None if first is None else first - look_back
+        return behaviour.repeat_offences(batch, alerts_since(batch.sparkSession, alerts_path, moment), look_back)
+
+    return _start_lookup(stream, look_up, path, checkpoint, trigger)
+
+
+def alerts_since(spark: SparkSession, path: str, moment: datetime | None) -> DataFrame:
+    """The alert loader's rows of the days from ``moment`` on, with event times as instants. An
+    alert is written on the day it was raised, which is no earlier than the payment's."""
+    rows = loaded_rows(spark, path, FRAUD_ALERTS)
+    if moment is not None:
+        rows = rows.where(F.col("load_day") >= F.lit(moment.date()))
+    return rows.withColumn("event_time", F.timestamp_micros(plain_micros(F.col("event_time"))))
+
+
+def start_accounted(stream, path, checkpoint, late: Callable[[Column], Column] | None = None, trigger=SCORING_TRIGGER):
+    """Every row of a stream with a watermark into ``path``/kept or, if an operator with state would
+    drop it as late, into ``path``/late: together all rows that were sent.
+
+    ``late`` says of a row and a watermark (an instant) whether the operator would drop the row: by
+    default what ``event_time`` alone decides, ``window_closed`` for windows. The watermark is the
+    one that operators measure late rows by, that of the batch before, as the query's own offset
+    log has it; so a replayed batch is split as it was.
+    """
+    too_late = late or (lambda watermark: F.col(behaviour.TIME) <= watermark)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        mark = F.timestamp_millis(F.lit(_watermark(batch.sparkSession, checkpoint, batch_id - 1)))
+        dropped = F.coalesce(too_late(mark), F.lit(False))
+        batch.where(~dropped).write.mode("overwrite").parquet(f"{path}/kept/batch_id={batch_id}")
+        batch.where(dropped).withColumn("watermark", mark).write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+
+    return _writer(stream, checkpoint, trigger).foreachBatch(split).start()
+
+
+def window_closed(width: timedelta) -> Callable[[Column], Column]:
+    """Late for tumbling windows: the row's window has ended by the watermark."""
+    span = micros(width)
+    end = F.timestamp_micros((cell_of(F.unix_micros(behaviour.TIME), span) + 1) * span)
+    return lambda watermark: end <= watermark
+
+
+def _watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Milliseconds: the watermark of a batch, as the query noted it before it ran the batch; 0
+    before the first."""
+    if batch_id < 0:
+        return 0
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id}").where(F.col("value").startswith("{"))
+    marks = lines.select(F.get_json_object("value", "$.batchWatermarkMs").cast("long").alias("mark"))
+    return marks.where("mark IS NOT NULL").first()["mark"]
+
+
 def start_profile_lookup(stream, read_profiles: Callable[[], DataFrame], path, checkpoint, trigger=SCORING_TRIGGER):
     """Stream rows with their customer's profile as it is when the batch runs."""
     return _start_lookup(stream, lambda batch: behaviour.with_profile(batch, read_profiles()), path, checkpoint, trigger)
@@ -281,6 +422,12 @@ def start_real_time(messages, folder, rules: RuleConfig = PIPELINE_RULES, trigge
     ]
 
 
+def start_early_velocity(stream, path, checkpoint, rules: RuleConfig = PIPELINE_RULES, trigger=SCORING_TRIGGER):
+    """An alert as soon as a payment is one too many within the trailing window."""
+    large_state(stream.sparkSession)
+    return to_files(early_velocity_alerts(stream, rules), path, checkpoint, trigger)
+
+
 def start_profiles(alerts, path, checkpoint, trigger=LOADER_TRIGGER):
     """Customers' running profiles, with their state on disk; ``current_profiles`` reads the
     state of now, ``compact_profiles`` keeps its reading short."""
@@ -325,6 +472,19 @@ def current_profiles(spark: SparkSession, path: str) -> DataFrame:
     return keep_first(rows, ["customer_id"], ["_newest"]).drop("_newest")
 
 
+def profiles_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Each customer's profile from the state of the writing query itself, as of its last finished
+    batch: nothing it has written is read, and nothing needs compacting."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # The state's values stand in the order of the aggregates and are named after their functions.
+    names = ("total_fraud_alerts", "cumulative_fraud_score", "last_alert_time", "last_seen_country")
+    held = state.schema["value"].dataType.fields
+    named = StructType([StructField(name, field.dataType) for name, field in zip(names, held, strict=True)])
+    facts = state.select("key.customer_id", F.col("value").cast(named).alias("facts")).select("customer_id", "facts.*")
+    facts = facts.withColumn("cumulative_fraud_score", F.col("cumulative_fraud_score").cast("long"))
+    return facts.withColumn("risk_tier", count_tier(F.col("total_fraud_alerts")))
+
+
 def compact_profiles(spark: SparkSession, path: str) -> None:
     """Write the current state as one folder and delete what it was made from. The writing
     query can go on: a batch that ends meanwhile is newer than the compacted state."""
@@ -332,10 +492,8 @@ def compact_profiles(spark: SparkSession, path: str) -> None:
     if len(parts) < 2:
         return
     current_profiles(spark, path).write.mode("overwrite").parquet(f"{path}/upto={upto}")
-    hadoop = spark._jvm.org.apache.hadoop.fs
     for folder, _ in parts:
-        old = hadoop.Path(folder)
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        _delete(spark, folder)
 
 
 def finish(query: StreamingQuery) -> None:
