@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillwarden.config import RISK_LEVELS
@@ -60,6 +60,30 @@ def column_checks(df: DataFrame, table: str, checks: Sequence[tuple[str, Column]
     )
 
 
+def counted_while(df: DataFrame, checks: Sequence[tuple[str, Column]], write: Callable[[DataFrame], object]) -> dict[str, int]:
+    """Hand ``df`` to ``write`` and return the violations of the checks, counted in the same pass:
+    what is written is not read again."""
+    observation = Observation()
+    write(df.observe(observation, *(violations.alias(name) for name, violations in checks)))
+    return observation.get
+
+
+def report(spark: SparkSession, table: str, violations: Mapping[str, int]) -> DataFrame:
+    """Counted violations in the form that every check has."""
+    made = [(name, table, int(n), n == 0) for name, n in violations.items()]
+    return spark.createDataFrame(made, "check_name string, table_name string, violations long, passed boolean")
+
+
+def flag_checks() -> list[tuple[str, Column]]:
+    """The checks of a flagged table that add up over parts of it."""
+    return [not_null("transaction_id"), not_null("customer_id"), accepted_values("risk_level", RISK_LEVELS)]
+
+
+def rate_violations(flagged: int, rows: int, low_pct: float, high_pct: float) -> int:
+    """``rate_between`` from counts."""
+    return int(rows > 0 and not low_pct <= flagged / rows * 100 <= high_pct)
+
+
 def unique(df: DataFrame, table: str, key: str) -> DataFrame:
     """Counts the keys that occur more than once (NULL keys are left to ``not_null``)."""
     repeated = repeated_keys(df.where(F.col(key).isNotNull()), [key]).agg(F.count(F.lit(1)).alias("violations"))
@@ -77,12 +101,7 @@ def model_checks(flags: DataFrame, rate_bounds: tuple[float, float] = RATE_BOUND
     in_one_pass = column_checks(
         flags,
         name,
-        [
-            not_null("transaction_id"),
-            not_null("customer_id"),
-            accepted_values("risk_level", RISK_LEVELS),
-            rate_between("is_flagged", *rate_bounds),
-        ],
+        [*flag_checks(), rate_between("is_flagged", *rate_bounds)],
     )
     return in_one_pass.unionByName(unique(flags, name, "transaction_id"))
 

@@ -43,10 +43,11 @@ def rate_tier(rate_pct: Column, also: dict[str, Column] | None = None) -> Column
     return ladder([(more[tier] | test if tier in more else test, tier) for test, tier in by_rate], "LOW")
 
 
-def fraud_summary_daily(flags: DataFrame, as_of: datetime | str) -> DataFrame:
+def day_totals(flags: DataFrame, *more: Column) -> DataFrame:
+    """One row of counts and sums per day: all that a day's summary is made of (and ``more``)."""
     flagged, level = F.col("is_flagged"), F.col("risk_level")
     amount = F.col("amount")
-    days = flags.groupBy("transaction_date").agg(
+    return flags.groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         how_many(flagged).alias("flagged_transactions"),
         how_many(F.col("is_fraud_label")).alias("confirmed_fraud"),
@@ -58,7 +59,16 @@ def fraud_summary_daily(flags: DataFrame, as_of: datetime | str) -> DataFrame:
         how_many(F.col("amount_flag")).alias("amount_rule_hits"),
         how_many(F.col("merchant_flag")).alias("merchant_rule_hits"),
         how_many(F.col("geo_flag")).alias("geo_rule_hits"),
+        *more,
     )
+
+
+def fraud_summary_daily(flags: DataFrame, as_of: datetime | str) -> DataFrame:
+    return shown_days(day_totals(flags), as_of)
+
+
+def shown_days(days: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The daily summary from ``day_totals``."""
     total = F.col("total_transactions")
     shown = days.withColumns(
         {
@@ -73,11 +83,20 @@ def fraud_summary_daily(flags: DataFrame, as_of: datetime | str) -> DataFrame:
     return shown.select(*DAILY_COLUMNS).orderBy(F.desc("transaction_date"))
 
 
+WHO = ("customer_id", "customer_name")
+CUSTOMER_SUMS = ("n", "flags", "criticals", "spend", "flagged_spend", "score_sum")
+CUSTOMER_MAXIMA = ("top_score", "seen", "flagged_at")
+
+
 def customer_stats(flags: DataFrame) -> DataFrame:
     """One row per customer, in two passes: per country, then per customer."""
+    return customer_totals(customer_parts(flags))
+
+
+def customer_parts(flags: DataFrame, *by: str) -> DataFrame:
+    """Counts, sums and maxima per customer and country (and ``by``)."""
     flagged, amount = F.col("is_flagged"), F.col("amount")
-    who = ("customer_id", "customer_name")
-    per_country = flags.groupBy(*who, "merchant_country").agg(
+    return flags.groupBy(*by, *WHO, "merchant_country").agg(
         F.count(F.lit(1)).alias("n"),
         how_many(flagged).alias("flags"),
         how_many(F.col("risk_level") == "CRITICAL").alias("criticals"),
@@ -88,9 +107,19 @@ def customer_stats(flags: DataFrame) -> DataFrame:
         F.max("event_time").alias("seen"),
         F.max(F.when(flagged, F.col("event_time"))).alias("flagged_at"),
     )
+
+
+def merged_customer_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several days as one per customer and country."""
+    sums = [F.sum(c).alias(c) for c in CUSTOMER_SUMS]
+    return parts.groupBy(*WHO, "merchant_country").agg(*sums, *(F.max(c).alias(c) for c in CUSTOMER_MAXIMA))
+
+
+def customer_totals(per_country: DataFrame) -> DataFrame:
+    """One row per customer, from one part per customer and country."""
     country = F.col("merchant_country")
     commonest = F.when(country.isNotNull(), F.struct(-F.col("n"), country))
-    return per_country.groupBy(*who).agg(
+    return per_country.groupBy(*WHO).agg(
         F.sum("n").alias("total_transactions"),
         F.sum("flags").alias("total_flags"),
         F.sum("criticals").alias("critical_flags"),
@@ -111,9 +140,14 @@ def high_risk_customers(flags: DataFrame, as_of: datetime | str) -> DataFrame:
     The average goes unrounded into the rank; among equal flag counts it orders as the
     score sum does, so the rank compares whole numbers.
     """
+    return ranked_customers(customer_stats(flags), as_of)
+
+
+def ranked_customers(stats: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The customer table from ``customer_totals``."""
     flags_count, rate = F.col("total_flags"), F.col("fraud_rate_pct")
     ranked = global_rank(
-        customer_stats(flags).where(flags_count > 0),
+        stats.where(flags_count > 0),
         {"total_flags": F.desc("total_flags"), "flag_score_sum": F.desc("flag_score_sum")},
         "fraud_rank",
     )
@@ -139,14 +173,7 @@ def high_risk_customers(flags: DataFrame, as_of: datetime | str) -> DataFrame:
 
 def merchant_risk_scores(flags: DataFrame, as_of: datetime | str) -> DataFrame:
     """Counts, rates and volumes per merchant category."""
-    flagged, amount = F.col("is_flagged"), F.col("amount")
-    per_pair = flags.groupBy("merchant_category", "customer_id", "merchant_country").agg(
-        F.count(F.lit(1)).alias("n"),
-        how_many(flagged).alias("flags"),
-        F.sum(F.when(flagged, F.col("fraud_score"))).alias("score_sum"),
-        money_total(amount).alias("volume"),
-        money_total(amount, flagged).alias("flagged_volume"),
-    )
+    per_pair = merchant_parts(flags, "customer_id", "merchant_country")
     totals = per_pair.groupBy("merchant_category").agg(
         F.sum("n").alias("total_transactions"),
         F.sum("flags").alias("total_flags"),
@@ -156,6 +183,26 @@ def merchant_risk_scores(flags: DataFrame, as_of: datetime | str) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("merchant_country").alias("countries_seen"),
     )
+    return rated_merchants(totals, as_of)
+
+
+MERCHANT_SUMS = ("n", "flags", "score_sum", "volume", "flagged_volume")
+
+
+def merchant_parts(flags: DataFrame, *by: str) -> DataFrame:
+    """Counts and sums per merchant category and ``by``."""
+    flagged, amount = F.col("is_flagged"), F.col("amount")
+    return flags.groupBy("merchant_category", *by).agg(
+        F.count(F.lit(1)).alias("n"),
+        how_many(flagged).alias("flags"),
+        F.sum(F.when(flagged, F.col("fraud_score"))).alias("score_sum"),
+        money_total(amount).alias("volume"),
+        money_total(amount, flagged).alias("flagged_volume"),
+    )
+
+
+def rated_merchants(totals: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The merchant table from one row of totals per category."""
     shown = totals.withColumns(
         {
             "fraud_rate_pct": percent(F.col("total_flags"), F.col("total_transactions"), 2),

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwarden.operators import quality
 from tillwarden.operators.dedup import keep_first
-from tillwarden.operators.merge import sync_columns
-from tillwarden.plans import alert_views, gold, layers
+from tillwarden.plans import alert_views, layers
+from tillwarden.plans.daily_states import AlertDays, GoldStates, loaded_since
 from tillwarden.schemas import CUSTOMER_RISK_PROFILES
+from tillwarden.session import one_run
 from tillwarden.sources.tables import LOAD_DATE, LOAD_NUMBER, TableStore
 
 STEPS = ("freshness", "bronze", "silver", "gold", "checks", "profiles")
 KEY = ["transaction_id"]
+#: Columns by which single rows of the flags are looked up.
+FIND = ("transaction_id", "customer_id")
 #: The raw loader's number of the batch that wrote a row.
 BATCH = "batch_id"
 
@@ -35,10 +38,13 @@ def run(
     that it has not taken yet, by number. ``ingest_date`` names a partition column of ``raw``
     that holds the date of ``ingested_at``; older partitions are then not listed. The raw loader's
     ``batch_id``, where ``raw`` has it, is the load number of its rows; without it raw rows are
-    taken by ``ingested_at``, and rows that turn up at or below the highest one are not."""
+    taken by ``ingested_at``, and rows that turn up at or below the highest one are not. Alerts with
+    ``batch_id`` (and ``load_day``, the day of their loading) are taken by number too; without it
+    all of them are looked through at every run."""
     wanted = STEPS if layers_wanted is None else [s for s in STEPS if s in layers_wanted]
-    for step in wanted:
-        _RUN[step](store, raw, alerts, as_of, rate_bounds, ingest_date)
+    with one_run(store.spark):
+        for step in wanted:
+            _RUN[step](store, raw, alerts, as_of, rate_bounds, ingest_date)
     return list(wanted)
 
 
@@ -69,9 +75,8 @@ def _bronze(store, raw, alerts, as_of, rate_bounds, ingest_date):
         fresh = fresh.where(F.col(BATCH) <= newest).drop(BATCH)  # later ones are the next run's
     complete, incomplete = layers.split_incomplete(fresh)
     if not incomplete.isEmpty():
-        known = store.read("rejected_transactions") if store.exists("rejected_transactions") else None
-        both = incomplete if known is None else sync_columns(known, incomplete).unionByName(incomplete)
-        store.overwrite("rejected_transactions", both.distinct())  # a repeated run brings the same rows
+        # By the number that the load is about to get, so a repeated run replaces what it brought.
+        store.append("rejected_transactions", incomplete, store.load_number(name) + 1)
     if store.load_number(name):
         complete = keep_first(complete, KEY, ["ingested_at"])
     rows = layers.bronze_raw_transactions(complete, as_of)
@@ -90,36 +95,62 @@ def _silver(store, raw, alerts, as_of, rate_bounds, ingest_date):
 
 def _flags(store, alerts, as_of):
     """Newly cleaned transactions, and older ones whose flags are not those of their earliest
-    alert: what the flags hold decides which alerts are news, whenever these arrived."""
-    name = "fraud_flags"
+    alert: what the flags hold decides which alerts are news, whenever these arrived. Alerts with
+    the loader's ``batch_id`` are asked by number, so only new ones are compared with the flags.
+    The outdated ids are written once, with the days on which their rows were cleaned, and of the
+    cleaned rows only those days are read."""
+    name, outdated_name = "fraud_flags", "outdated_flags"
     store.recover(name)
-    taken, there = store.marks(name).get("clean_transactions", 0), store.load_number("clean_transactions")
-    outdated = layers.outdated_flags(store.read(name), alerts) if store.exists(name) else None
-    if there == taken and (outdated is None or outdated.isEmpty()):
+    marks, there = store.marks(name), store.load_number("clean_transactions")
+    taken, batch = marks.get("clean_transactions", 0), marks.get("alerts")
+    newest = alerts.agg(F.max(BATCH)).first()[0] if BATCH in alerts.columns else None  # one value
+    if newest is not None:
+        alerts = alerts.where(F.col(BATCH) <= newest)  # later ones are the next run's
+    news = alerts if batch is None else alerts.where(F.col(BATCH) > batch)
+    load, days = store.since("clean_transactions", taken), []
+    if store.exists(name) and (batch is None or newest != batch):
+        outdated = layers.outdated_flags(store.read(name), news, all_alerts=batch is None)
+        outdated = store.overwrite(outdated_name, outdated)
+        days = [r[0] for r in outdated.select(layers.CLEANED_ON).distinct().collect()]  # dates
+        older = store.read("clean_transactions").where(F.col(LOAD_DATE).isin(days) & (F.col(LOAD_NUMBER) <= taken))
+        load = load.unionByName(older.join(outdated.select(*KEY), KEY, "left_semi")) if days else load
+    if there == taken and not days:
         return
-    load = store.since("clean_transactions", taken)
-    if outdated is not None:
-        older = store.read("clean_transactions").where(F.col(LOAD_NUMBER) <= taken)
-        load = load.unionByName(older.join(outdated, KEY, "left_semi"))
-    rows = layers.silver_fraud_flags(load.drop(LOAD_DATE, LOAD_NUMBER), alerts, as_of)
-    store.merge(name, rows, KEY, "fraud_flags_loaded_at", {"clean_transactions": there})
+    first = load.agg(F.min("transaction_date")).first()[0]  # one value
+    # A day more, for clocks that disagree: alerts of these rows are not loaded before.
+    facts = alerts if first is None else loaded_since(alerts, str(first - timedelta(days=1)))
+    rows = layers.silver_fraud_flags(load.drop(LOAD_DATE, LOAD_NUMBER), facts, as_of)
+    done = {"clean_transactions": there} | ({} if newest is None else {"alerts": newest})
+    store.merge(name, rows, KEY, "fraud_flags_loaded_at", done, changed="transaction_date", unique=True, find=FIND)
 
 
 def _gold(store, raw, alerts, as_of, rate_bounds, ingest_date):
-    flags = store.read("fraud_flags").drop(LOAD_NUMBER)
-    store.overwrite("fraud_summary_daily", gold.fraud_summary_daily(flags, as_of))
-    store.overwrite("high_risk_customers", gold.high_risk_customers(flags, as_of), lookup_by="customer_id")
-    store.overwrite("merchant_risk_scores", gold.merchant_risk_scores(flags, as_of))
+    """From states by day, of which only those of changed days are made anew."""
+    states = GoldStates(store, "fraud_flags")
+    states.refresh()
+    store.overwrite("fraud_summary_daily", states.fraud_summary_daily(as_of))
+    store.overwrite("high_risk_customers", states.high_risk_customers(as_of), lookup_by="customer_id")
+    store.overwrite("merchant_risk_scores", states.merchant_risk_scores(as_of))
 
 
 def _checks(store, raw, alerts, as_of, rate_bounds, ingest_date):
-    quality.require(quality.model_checks(store.read("fraud_flags"), rate_bounds))
+    """By the counts that the gold step has made; without that step, over the table."""
+    states = GoldStates(store, "fraud_flags")
+    report = states.checks(rate_bounds) if states.current() else quality.model_checks(store.read("fraud_flags"), rate_bounds)
+    quality.require(report)
 
 
 def _profiles(store, raw, alerts, as_of, rate_bounds, ingest_date):
+    """Alerts with the loader's ``batch_id`` are counted by day once; the refresh reads 30 days of counts."""
     name = "customer_risk_profiles"
     known = store.read(name) if store.exists(name) else store.spark.createDataFrame([], CUSTOMER_RISK_PROFILES)
-    store.overwrite(name, alert_views.refresh_customer_risk_profiles(known, alerts, as_of), lookup_by="customer_id")
+    if BATCH in alerts.columns:
+        days = AlertDays(store, alerts)
+        days.refresh(BATCH)
+        facts = days.profile_facts(as_of)
+    else:
+        facts = alert_views.profile_facts(alerts, as_of)
+    store.overwrite(name, alert_views.refreshed_profiles(known, facts, as_of), lookup_by="customer_id")
 
 
 _RUN = {

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +31,29 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or sc.getCheckpointDir()).rstrip("/")
 
 
+#: Folders of the runs that are under way, innermost last.
+_RUNS: list[list[str]] = []
+
+
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, for one run's tables and offsets."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _RUNS:
+        _RUNS[-1].append(path)
+    return path
+
+
+@contextmanager
+def one_run(spark: SparkSession) -> Iterator[None]:
+    """Folders that are made inside are deleted at the end, also of a run that fails: what is to
+    stay must have been written elsewhere by then."""
+    _RUNS.append([])
+    try:
+        yield
+    finally:
+        for path in _RUNS.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

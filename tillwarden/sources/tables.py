@@ -26,7 +26,23 @@ from tillwarden.operators.merge import assert_unique, upsert
 LOAD_DATE, LOAD_NUMBER = "load_date", "load_number"
 #: Partition column: the merge that wrote a row's file (a row keeps its load number).
 WRITTEN = "merge"
+#: Folder prefix of appended loads.
+APPENDED = "added"
 KEPT_VERSIONS = 2
+#: Loads whose changed dates are kept with the pointer.
+KEPT_CHANGES = 64
+
+
+def findable(columns: Sequence[str], row_group_bytes: int | None = None) -> dict[str, str]:
+    """Options of a Parquet writer: a Bloom filter for each of the columns in every row group,
+    as large as its values need. Smaller row groups make a lookup read less."""
+    options = {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+    options |= {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return options if row_group_bytes is None else options | {"parquet.block.size": str(row_group_bytes)}
+
+
+class MergeConflict(Exception):
+    """Two merges of one table at once: the second gives up, before it has written anything."""
 
 
 class TableStore:
@@ -64,13 +80,14 @@ class TableStore:
     def _folder(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
 
-    def overwrite(self, name: str, df: DataFrame, lookup_by: str | None = None) -> DataFrame:
+    def overwrite(self, name: str, df: DataFrame, lookup_by: str | None = None, find: Sequence[str] = ()) -> DataFrame:
         """``lookup_by`` orders the files by that column, so that a lookup of one value
-        reads the few row groups whose minimum and maximum enclose it. The version before
-        stays for its readers, older ones are deleted."""
+        reads the few row groups whose minimum and maximum enclose it; columns in ``find`` get
+        Bloom filters, so that a lookup by them skips row groups without the value. The version
+        before stays for its readers, older ones are deleted."""
         version = self._version(name) + 1
         ordered = df if lookup_by is None else df.repartitionByRange(lookup_by).sortWithinPartitions(lookup_by)
-        ordered.write.mode("overwrite").parquet(self._folder(name, version))
+        ordered.write.options(**findable(find)).mode("overwrite").parquet(self._folder(name, version))
         for old in self._numbered(f"{self.root}/{name}", "v="):
             if old <= version - KEPT_VERSIONS:
                 self._delete(self._folder(name, old))
@@ -96,13 +113,20 @@ class TableStore:
         finally:
             lines.close()
 
-    def _publish(self, name: str, pointer: dict) -> None:
-        out = self._fs.create(self._path(f"{self.root}/{name}/pointer-{pointer['number']}"), True)
+    def _create(self, location: str, content: str) -> None:
+        """A new file; fails where there is one."""
         try:
-            out.write(bytearray(json.dumps(pointer).encode()))
+            out = self._fs.create(self._path(location), False)
+        except Exception as error:
+            raise MergeConflict(f"{location} is there: another merge is at work, or one has failed and waits for recover()") from error
+        try:
+            out.write(bytearray(content.encode()))
         finally:
             out.close()
 
+    def _publish(self, name: str, pointer: dict) -> None:
+        self._create(f"{self.root}/{name}/pointer-{pointer['number']}", json.dumps(pointer))
+
     def _parts(self, name: str, pointer: dict, dates: Sequence[str] | None = None) -> list[str]:
         wanted = pointer["parts"] if dates is None else {d: pointer["parts"][d] for d in dates}
         return [f"{self.root}/{name}/{WRITTEN}={n}/{LOAD_DATE}={d}" for d, n in sorted(wanted.items())]
@@ -117,43 +141,68 @@ class TableStore:
         return self.spark.read.schema(full).option("basePath", f"{self.root}/{name}").parquet(*parts)
 
     def merge(
-        self, name: str, rows: DataFrame, keys: Sequence[str], loaded: str, marks: dict[str, object] | None = None
+        self,
+        name: str,
+        rows: DataFrame,
+        keys: Sequence[str],
+        loaded: str,
+        marks: dict[str, object] | None = None,
+        changed: str | None = None,
+        unique: bool = False,
+        find: Sequence[str] = (),
     ) -> int:
         """Put ``rows`` into the table and return the load's number; ``loaded`` is their load
         time column. Whole rows replace those of the same key. The first load of a table may
-        hold copies of a key, later ones may not. ``marks`` is kept with the load.
+        hold copies of a key (unless ``unique``), later ones may not. ``marks`` is kept with the load, and so are the
+        values of the date column ``changed`` in the rows that came or went (see ``changed_days``).
+        Columns in ``find`` get Bloom filters.
 
         Three jobs read data: one writes the load, one looks up its keys and finds the
         partitions that hold a replaced row, one writes the partitions that change.
+        A merge first takes its number; where another one has it, it fails.
         """
         pointer = self._pointer(name) or {"number": 0, "parts": {}, "columns": None, "marks": {}}
         number = pointer["number"] + 1
+        target = f"{self.root}/{name}/{WRITTEN}={number}"
+        self._create(f"{target}/_taken", "")
         staged = f"{self.root}/{name}/load-{number}"
         stamped = rows.withColumns({LOAD_NUMBER: F.lit(number).cast("long"), LOAD_DATE: F.to_date(loaded)})
         stamped.write.mode("overwrite").parquet(staged)
         load = self.spark.read.schema(stamped.schema).parquet(staged)
         columns = StructType([f for f in stamped.schema.fields if f.name != LOAD_DATE])
         new_dates = {str(r[0]) for r in load.select(LOAD_DATE).distinct().collect()}  # one value per load day
+        days = {r[0] for r in load.select(changed).distinct().collect()} if changed else set()  # dates
         hit: set[str] = set()
         result = load
-        if pointer["number"] and new_dates:
+        if new_dates and (pointer["number"] or unique):
             assert_unique(load, keys)
+        if pointer["number"] and new_dates:
             table = self._read_parts(name, pointer)
-            found = table.select(LOAD_DATE, *keys).join(load.select(*keys), list(keys), "left_semi").select(LOAD_DATE)
-            hit = {str(r[0]) for r in found.distinct().collect()}
+            went = [changed] if changed and changed in table.columns else []
+            found = table.select(LOAD_DATE, *went, *keys).join(load.select(*keys), list(keys), "left_semi")
+            found = found.select(LOAD_DATE, *went).distinct().collect()  # dates
+            hit = {str(r[0]) for r in found}
+            days |= {r[1] for r in found} if went else set()
             touched = sorted(hit | (new_dates & set(pointer["parts"])))
             if touched:
                 kept = self._read_parts(name, pointer, touched).drop(WRITTEN)
                 result = upsert(kept, load, keys)
-        target = f"{self.root}/{name}/{WRITTEN}={number}"
-        result.write.partitionBy(LOAD_DATE).mode("overwrite").parquet(target)
+        result.write.options(**findable(find)).partitionBy(LOAD_DATE).mode("append").parquet(target)
         prefix = f"{LOAD_DATE}="
         written = {c[len(prefix):]: number for c in self._children(target) if c.startswith(prefix)}
         parts = {d: n for d, n in pointer["parts"].items() if d not in hit | new_dates} | written
         before = dict(pointer["marks"])
+        log = {n: d for n, d in pointer.get("changed", {}).items() if int(n) > number - KEPT_CHANGES}
+        log |= {str(number): sorted(str(d) for d in days if d is not None)} if changed else {}
         self._publish(
             name,
-            {"number": number, "parts": parts, "columns": columns.jsonValue(), "marks": before | (marks or {})},
+            {
+                "number": number,
+                "parts": parts,
+                "columns": columns.jsonValue(),
+                "marks": before | (marks or {}),
+                "changed": log,
+            },
         )
         self._delete(staged)
         self.clean(name)
@@ -178,10 +227,14 @@ class TableStore:
             self._delete(f"{folder}/pointer-{number}")
 
     def recover(self, name: str, keys: Sequence[str] = ()) -> None:
-        """Delete what an interrupted merge has left. The table itself needs no repair."""
+        """Delete what an interrupted merge has left. The table itself needs no repair. Not to be
+        called while another merge is at work."""
         pointer = self._pointer(name)
         done = pointer["number"] if pointer else 0
         folder = f"{self.root}/{name}"
+        for number in self._numbered(folder, "pointer-"):
+            if number > done:
+                self._delete(f"{folder}/pointer-{number}")
         for number in self._numbered(folder, "load-"):
             self._delete(f"{folder}/load-{number}")
         for number in self._numbered(folder, f"{WRITTEN}="):
@@ -198,6 +251,20 @@ class TableStore:
         pointer = self._pointer(name)
         return pointer["number"] if pointer else 0
 
+    def changed_days(self, name: str, number: int) -> list[str] | None:
+        """Dates of the rows that came or went in the loads after ``number``, of the column that
+        ``merge`` was told; None when that is not known any more."""
+        pointer = self._pointer(name)
+        if pointer is None:
+            return None
+        loads = [pointer["changed"].get(str(n)) for n in range(number + 1, pointer["number"] + 1)]
+        return None if None in loads else sorted({day for load in loads for day in load})
+
+    def append(self, name: str, rows: DataFrame, number: int) -> None:
+        """Rows of one more load, by its number: the same load done again replaces itself, and no
+        other load is read."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/{APPENDED}={number}")
+
     def since(self, name: str, number: int) -> DataFrame:
         """Rows brought by loads after ``number``. They were written by merges after it, so
         only those folders are read."""
@@ -208,7 +275,8 @@ class TableStore:
     # Both kinds
 
     def exists(self, name: str) -> bool:
-        return bool(self._numbered(f"{self.root}/{name}", "pointer-") or self._version(name))
+        folder = f"{self.root}/{name}"
+        return bool(self._numbered(folder, "pointer-") or self._numbered(folder, f"{APPENDED}=") or self._version(name))
 
     def read(self, name: str) -> DataFrame:
         """The table as it is now. A merged table has the columns of its latest load: a
@@ -216,6 +284,10 @@ class TableStore:
         pointer = self._pointer(name)
         if pointer:
             return self._read_parts(name, pointer).drop(WRITTEN)
+        appended = self._numbered(f"{self.root}/{name}", f"{APPENDED}=")
+        if appended:
+            folders = (f"{self.root}/{name}/{APPENDED}={n}" for n in appended)
+            return self.spark.read.option("mergeSchema", "true").parquet(*folders)
         return self.spark.read.parquet(self._folder(name, self._version(name)))
 
     def newest_load(self, name: str) -> DataFrame | None:
@@ -228,4 +300,4 @@ class TableStore:
         df.createOrReplaceTempView(name)
 
 
-__all__ = ["LOAD_DATE", "LOAD_NUMBER", "TableStore"]
+__all__ = ["LOAD_DATE", "LOAD_NUMBER", "MergeConflict", "TableStore", "findable"]
