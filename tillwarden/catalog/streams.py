@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, VariantType
 
 from tillwarden.catalog import check_sql as C
 from tillwarden.catalog import inputs as I
 from tillwarden.catalog.batch import _FACTS, _before, _from, SLIDING
 from tillwarden.catalog.registry import query
 from tillwarden.functions.scalars import utc_time
-from tillwarden.operators import merge
+from tillwarden.operators import merge, quality
 from tillwarden.plans import alert_views, nightly, serving
 from tillwarden.schemas import ALERT_MESSAGE, FRAUD_ALERTS, TRANSACTIONS_RAW
 from tillwarden.session import materialise, new_run_dir
@@ -115,6 +116,48 @@ def stream_raw_loader(spark, sf_dir):
     )
 
 
+def _loaded_with_more(spark, sf_dir):
+    """The raw loader over messages of which some have fields that the schema doesn't know."""
+    folder = new_run_dir(spark, "more")
+    messages = _message_stream(spark, sf_dir)
+    n = F.get_json_object("value", "$.transaction_id").cast("long")
+    text = F.col("value")
+    channel = F.when(n % 2 == 0, F.regexp_replace(text, r"\}$", ',"channel":"app"}'))
+    points = F.when(n % 3 == 0, F.regexp_replace(text, r"\}$", F.concat(F.lit(',"points":'), (n % 7).cast("string"), F.lit("}"))))
+    jobs.finish(
+        jobs.start_raw_loader(
+            messages.withColumn("value", F.coalesce(channel, points, text)),
+            f"{folder}/table", f"{folder}/offsets", trigger=None, keep_unknown=True,
+        )
+    )
+    return jobs.loaded_rows(spark, f"{folder}/table", StructType([*TRANSACTIONS_RAW.fields, StructField(topics.EXTRA, VariantType())]))
+
+
+@query(
+    C.sql(
+        C.PAYMENTS,
+        """SELECT 'channel' AS field, 'STRING' AS kind, count(*) AS messages FROM payments WHERE id % 2 = 0
+           UNION ALL SELECT 'points', 'BIGINT', count(*) FROM payments WHERE id % 2 = 1 AND id % 3 = 0""",
+    )
+)
+def schema_drift(spark, sf_dir):
+    """Fields that messages have beyond the schema, and what they hold."""
+    return topics.drift(_loaded_with_more(spark, sf_dir))
+
+
+@query(
+    C.sql(
+        C.PAYMENTS,
+        """SELECT transaction_id, amount, CASE WHEN id % 2 = 0 THEN 'app' END AS channel,
+           CAST(CASE WHEN id % 2 = 1 AND id % 3 = 0 THEN id % 7 ELSE -1 END AS INTEGER) AS points FROM payments""",
+    )
+)
+def added_columns(spark, sf_dir):
+    """Columns that the schema gained after the rows were loaded, filled from what was kept."""
+    rows = topics.backfilled(topics.backfilled(_loaded_with_more(spark, sf_dir), "channel", "string"), "points", "int")
+    return rows.select("transaction_id", "amount", "channel", F.coalesce("points", F.lit(-1)).alias("points"))
+
+
 # The watermark ends 30 seconds before the latest event; only windows before it are final.
 _CLOSED = "(SELECT max(event_time) - INTERVAL 30 SECOND FROM payments)"
 
@@ -184,18 +227,83 @@ def stream_dedup(spark, sf_dir):
     )
 )
 def stream_repeat_offences(spark, sf_dir):
-    """The stream against the alert table, which every batch opens anew."""
+    """The stream against the alert table, which every batch opens anew, from the days on that
+    matter to it; the alerts of each half of the month are loaded just before its payments come."""
     folder = new_run_dir(spark, "repeat")
-    stream = jobs.transactions(_message_stream(spark, sf_dir)).select("transaction_id", "customer_id", "event_time")
-    alerts = I.payment_alerts(spark, sf_dir).withColumn("event_time", F.to_timestamp(F.date_format("event_time", _WITH_ZONE)))
-    jobs.finish(
-        jobs.start_repeat_offences(
-            stream, lambda: alerts, f"{folder}/hits", f"{folder}/offsets", timedelta(days=1), trigger=None
+    schema = I.payments(spark, sf_dir).schema
+    for part in _halves(I.payments(spark, sf_dir)):
+        part.write.mode("append").parquet(f"{folder}/payments")
+        messages = topics.transaction_messages(spark.readStream.schema(schema).parquet(f"{folder}/payments"))
+        scoring = jobs.start_alerts(messages, f"{folder}/topic", f"{folder}/scored", I.PAYMENT_RULES, trigger=None)
+        jobs.finish(scoring)
+        topic = topics.read_messages(spark, "parquet", {}, f"{folder}/topic")
+        jobs.finish(jobs.start_alert_loader(topic, f"{folder}/alerts", f"{folder}/loaded", trigger=None))
+        stream = jobs.transactions(messages).select("transaction_id", "customer_id", "event_time")
+        look_up = jobs.start_loaded_offences(
+            stream, f"{folder}/alerts", f"{folder}/hits", f"{folder}/offsets", timedelta(days=1), trigger=None
         )
-    )
+        jobs.finish(look_up)
     return spark.read.parquet(f"{folder}/hits").select("transaction_id", "customer_id")
 
 
+def _halves(rows):
+    return _before(rows, "2024-01-16"), _from(rows, "2024-01-16")
+
+
+@query(
+    C.sql(
+        C.ALERTS,
+        """SELECT transaction_id, customer_id FROM payments p WHERE EXISTS (SELECT 1 FROM alerts a
+           WHERE a.customer_id = p.customer_id AND a.event_time BETWEEN p.event_time - INTERVAL 1 DAY AND p.event_time)""",
+    )
+)
+def stream_repeat_join(spark, sf_dir):
+    """The same question by two streams: payments against alerts, no table."""
+    payments = jobs.transactions(_message_stream(spark, sf_dir)).select("transaction_id", "customer_id", "event_time")
+    alerts = jobs.scored(_message_stream(spark, sf_dir), I.PAYMENT_RULES).where(F.col("fraud_score") > 0)
+    hits = jobs.repeat_offences(payments, alerts, timedelta(days=1))
+    return _run_to_table(spark, hits.select("transaction_id", "customer_id"), "repeat-join")
+
+
+@query(
+    C.sql(
+        C.PAYMENTS,
+        """SELECT DISTINCT customer_id, event_time, 'VELOCITY' AS rule, 'CRITICAL' AS risk_level FROM (
+             SELECT *, count(*) OVER (PARTITION BY customer_id ORDER BY event_time
+                       RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS recent FROM payments)
+           WHERE recent > 5""",
+    )
+)
+def stream_early_velocity(spark, sf_dir):
+    """Every payment that is one too many, told in the batch that brings it."""
+    folder = new_run_dir(spark, "bursts")
+    stream = jobs.transactions(_message_stream(spark, sf_dir))
+    jobs.finish(jobs.start_early_velocity(stream, f"{folder}/alerts", f"{folder}/offsets", I.PAYMENT_RULES, trigger=None))
+    return _plain_times(spark.read.parquet(f"{folder}/alerts").drop("recent_transactions"))
+
+
+@query(
+    C.sql(
+        C.PAYMENTS,
+        """SELECT transaction_id, event_time, CASE WHEN event_time < TIMESTAMP '2024-01-16'
+             AND event_time <= (SELECT max(event_time) - INTERVAL 30 SECOND FROM payments WHERE event_time >= TIMESTAMP '2024-01-16')
+             THEN 'late' ELSE 'kept' END AS place FROM payments""",
+    )
+)
+def stream_late_account(spark, sf_dir):
+    """The second half of the month comes first, in two batches, so that the first half is behind
+    the watermark: every row is found again, among the kept or among the late ones."""
+    folder = new_run_dir(spark, "account")
+    schema = I.payments(spark, sf_dir).schema
+    early, later = _halves(I.payments(spark, sf_dir))
+    for part in (_from(later, "2024-01-21"), _before(later, "2024-01-21"), early):
+        part.write.mode("append").parquet(f"{folder}/payments")
+        messages = topics.transaction_messages(spark.readStream.schema(schema).parquet(f"{folder}/payments"))
+        jobs.finish(jobs.start_accounted(jobs.transactions(messages), folder, f"{folder}/offsets", trigger=None))
+    kept, late = (spark.read.parquet(f"{folder}/{p}").select("transaction_id", "event_time", F.lit(p).alias("place")) for p in ("kept", "late"))
+    return _plain_times(kept.unionByName(late))
+
+
 @query(
     C.sql(
         C.ALERTS,
@@ -222,6 +330,36 @@ def stream_profiles(spark, sf_dir):
     return _plain_times(jobs.current_profiles(spark, f"{folder}/changes"))
 
 
+@query(C.sql(C.ALERTS, f"SELECT customer_id, {_FACTS} FROM alerts GROUP BY customer_id"))
+def stream_profile_state(spark, sf_dir):
+    """The same profiles out of the query's state."""
+    folder = new_run_dir(spark, "state")
+    alerts = jobs.scored(_message_stream(spark, sf_dir), I.PAYMENT_RULES).where(F.col("fraud_score") > 0)
+    jobs.finish(jobs.start_profiles(alerts, f"{folder}/changes", f"{folder}/offsets", trigger=None))
+    return _plain_times(jobs.profiles_in_state(spark, f"{folder}/offsets"))
+
+
+@query(
+    C.sql(
+        C.SCORED,
+        """SELECT check_name, 'scored' AS table_name, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM (
+             SELECT 'not_null_transaction_id' AS check_name, count(*) FILTER (transaction_id IS NULL) AS violations FROM scored
+             UNION ALL SELECT 'not_null_merchant_country', count(*) FILTER (merchant_country IS NULL) FROM scored
+             UNION ALL SELECT 'accepted_values_risk_level', count(*) FILTER (risk_level NOT IN ('LOW', 'MEDIUM')) FROM scored)""",
+    )
+)
+def stream_quality(spark, sf_dir):
+    """Checks counted while the scored stream is written; HIGH and CRITICAL are not accepted here,
+    so that there is something to find."""
+    folder = new_run_dir(spark, "checked")
+    scored = jobs.scored(_message_stream(spark, sf_dir), I.PAYMENT_RULES)
+    wanted = lambda: [
+        quality.not_null("transaction_id"), quality.not_null("merchant_country"), quality.accepted_values("risk_level", ("LOW", "MEDIUM")),
+    ]
+    jobs.finish(jobs.to_checked_batches(scored, folder, f"{folder}/offsets", wanted, trigger=None))
+    return jobs.checked_report(spark, folder, "scored")
+
+
 @query(
     C.sql(
         C.PAYMENTS,
