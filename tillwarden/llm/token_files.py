@@ -8,11 +8,15 @@ asks for some ids opens few pages, and one that asks for lengths reads no token.
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillwarden.llm.text import chunks
 from tillwarden.llm.word_encoder import WordEncoder
 
 END_ID = 2
@@ -26,16 +30,16 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
 
     def encode(batches):
         encoder = WordEncoder(tokenizer)
-        tail = end_id.to_bytes(4, "little")
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                ids = [encoder(t) + tail for t in batch.column("text").to_pylist()]
-                lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
-                offsets = pa.array([0, *lengths.to_numpy().cumsum()], pa.int32())
-                values = pa.Array.from_buffers(pa.int32(), sum(lengths.to_pylist()), [None, pa.py_buffer(b"".join(ids))])
-                lists = pa.ListArray.from_arrays(offsets, values)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lengths, lists], ["doc_id", "n_tokens", "ids"])
+        for chunk in chunks(batches):
+            ids, first = encoder(chunk)
+            n = np.diff(first)
+            end = first[1:] + np.arange(len(n))
+            values = np.empty(len(ids) + len(n), np.int32)
+            own = np.ones(len(values), bool)
+            own[end] = False
+            values[own], values[end] = ids, end_id
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, end + 1).astype(np.int32)), pa.array(values))
+            yield pa.RecordBatch.from_arrays([chunk.batch.column("doc_id"), pa.array(n + 1), lists], ["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, STORED)
 
@@ -89,15 +93,12 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
     ids as little-endian unsigned 32-bit integers, all from the files.
 
     Token lists end in the first task; what moves on is a few longs per document. A file is a
-    range of ids, so its base is the total of the files before it: one row per file goes through
-    a single task. Equal ids stand in the order in which they were written.
+    range of ids (a task that has been told to end files early writes several, in order), so its
+    base is the total of the files before it: one row per file goes through a single task. Equal
+    ids stand in the order in which they were written.
     """
 
     def crc(batches):
-        import zlib
-
-        import numpy as np
-
         for batch in batches:
             lists = batch.column("ids")
             values, offsets = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
@@ -106,7 +107,8 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
             kept = ["_file", "_row", "doc_id", "n_tokens"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(sums)], [*kept, "ids_crc32"])
 
-    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    number = lambda pattern: F.regexp_extract("_metadata.file_name", pattern, 1).cast("long")
+    part = number(r"part-(\d+)") * 1_000_000 + F.coalesce(number(r"-c(\d+)\."), F.lit(0))
     stored = spark.read.schema(STORED).parquet(path).select(part.alias("_file"), F.col("_metadata.row_index").alias("_row"), "*")
     rows = stored.mapInArrow(crc, "_file long, _row long, doc_id long, n_tokens long, ids_crc32 long")
     lengths = spark.read.schema(STORED).parquet(path).groupBy(part.alias("_file")).agg(F.sum("n_tokens").alias("_total"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillwarden.llm.text import chunks
 from tillwarden.llm.word_encoder import WordEncoder
 from tillwarden.session import materialise
 
@@ -24,9 +25,8 @@ def document_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def count(batches):
         encoder = WordEncoder(tokenizer)
-        for batch in batches:
-            sizes = [len(encoder(t)) // 4 for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64())], ["doc_id", "n_tokens"])
+        for chunk in chunks(batches):
+            yield pa.RecordBatch.from_arrays([chunk.batch.column("doc_id"), pa.array(encoder.lengths(chunk))], ["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "doc_id long, n_tokens long")
 
