@@ -17,11 +17,11 @@ loses one.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +33,12 @@ BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 GAP = BREAK | SEPARATOR
 NO_LANGUAGE = "und"
-#: Keys that a task sorts at once (32 MB), and phrases whose counts it keeps before it sends them.
-BATCH_KEYS = 1 << 22
+#: Keys that a task sorts at once (16 MB), and phrases whose counts it keeps before it sends them.
+BATCH_KEYS = 1 << 21
 BATCH_PHRASES = 200_000
 BITMAP_BITS = 27
+#: Parts into which the phrases of a language are dealt.
+PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -140,6 +142,13 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[head], np.add.reduceat(counts, head)
 
 
+def tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each is there. Sorts in place."""
+    keys.sort()
+    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[head], np.diff(np.append(head, len(keys)))
+
+
 class Bitmap:
     """Keys that may be in a set, in 2**BITMAP_BITS bits: two bits per key, both in its region's slice."""
 
@@ -196,7 +205,7 @@ def _survivors(docs: DataFrame, sizes: range, mass: int, settings: Collocations,
     sent = None if known is None else spark.sparkContext.broadcast((known.region_bits, known.bits))
 
     def pack(keys: np.ndarray) -> pa.RecordBatch:
-        keys, counts = summed(keys, np.ones(len(keys), np.int64))
+        keys, counts = tallied(keys)
         counts = counts.astype(np.uint32)
         regions = (keys >> U64(64 - bits)).astype(np.int64)
         cuts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1]]))
@@ -251,13 +260,54 @@ def _survivors(docs: DataFrame, sizes: range, mass: int, settings: Collocations,
     return found
 
 
-_PARTIAL = "lang string, size int, phrase string, n long"
+_COUNTED = "lang string, size int, phrase string, n long"
+_COUNT_COLUMNS = ("lang", "size", "phrase", "n")
+#: Regions of phrases, by hash; the phrases of a region are sent and counted together.
+PHRASE_REGIONS = 1024
 
 
-def _partials(held: dict[int, list]) -> pa.RecordBatch:
-    rows = list(held.values())
+def _sent_phrases(held: dict[int, list]) -> pa.RecordBatch:
+    """The counts so far, one row of lists per region."""
+    keys = np.fromiter(held, U64, len(held))
+    regions = (keys >> U64(32)).astype(np.int64) % PHRASE_REGIONS
+    order = np.argsort(regions, kind="stable")
+    values, regions = list(held.values()), regions[order]
+    cuts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1]]))
+    offsets = pa.array(np.append(cuts, len(order)).astype(np.int32))
     types = (pa.string(), pa.int32(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["lang", "size", "phrase", "n"])
+    lists = [pa.ListArray.from_arrays(offsets, pa.array([values[i][k] for i in order.tolist()], t)) for k, t in enumerate(types)]
+    return pa.RecordBatch.from_arrays([pa.array(regions[cuts], pa.int32()), *lists], ["region", *_COUNT_COLUMNS])
+
+
+def _phrases_of_regions(least: int):
+    """Sums of the counts of each region (rows come sorted by region), those of ``least`` and more."""
+
+    def total(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(list(_COUNT_COLUMNS[:3])).aggregate([("n", "sum")]).rename_columns(_COUNT_COLUMNS)
+
+    def count(batches):
+        at, held = None, []
+
+        def ended():
+            whole = total(held)
+            kept = pc.or_(pc.greater_equal(whole["n"], least), pc.equal(whole["size"], 0))
+            return whole.filter(kept).combine_chunks().to_batches()
+
+        for batch in batches:
+            regions = batch.column("region").to_numpy()
+            for a in range(batch.num_rows):
+                if regions[a] != at:
+                    if held:
+                        yield from ended()
+                    at, held = regions[a], []
+                row = batch.slice(a, 1)
+                held.append(pa.table([row.column(c).flatten() for c in _COUNT_COLUMNS], list(_COUNT_COLUMNS)))
+                if len(held) >= 64:
+                    held = [total(held)]
+        if held:
+            yield from ended()
+
+    return count
 
 
 def _exact(docs: DataFrame, pairs: Bitmap, longer: Bitmap, settings: Collocations) -> DataFrame:
@@ -265,10 +315,10 @@ def _exact(docs: DataFrame, pairs: Bitmap, longer: Bitmap, settings: Collocation
     phrase of size 0."""
     sent = docs.sparkSession.sparkContext.broadcast([(m.region_bits, m.bits) for m in (pairs, longer)])
 
-    def count(batches) -> Iterator[pa.RecordBatch]:
+    def count(batches):
         short, long = (Bitmap(*x) for x in sent.value)
         held: dict[int, list] = {}
-        for chunk in chunks(batches, "_text", 4 << 20):
+        for chunk in chunks(batches, "_text", 2 << 20):
             phrases = Phrases(chunk)
             in_all = np.bincount(phrases.language, minlength=len(phrases.languages))
             for name, salt, n in zip(phrases.languages, phrases.salt.tolist(), in_all.tolist(), strict=True):
@@ -291,13 +341,15 @@ def _exact(docs: DataFrame, pairs: Bitmap, longer: Bitmap, settings: Collocation
                     else:
                         entry[3] += times
             if len(held) > BATCH_PHRASES:
-                yield _partials(held)
+                yield _sent_phrases(held)
                 held = {}
         if held:
-            yield _partials(held)
+            yield _sent_phrases(held)
 
-    rows = docs.mapInArrow(count, _PARTIAL).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return rows.where((F.col("n") >= settings.least_count) | (F.col("size") == 0))
+    sent_as = "region int, lang array<string>, size array<int>, phrase array<string>, n array<long>"
+    tasks = min(PHRASE_REGIONS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = docs.mapInArrow(count, sent_as).repartition(tasks, "region").sortWithinPartitions("region")
+    return dealt.mapInArrow(_phrases_of_regions(settings.least_count), _COUNTED)
 
 
 def counts(docs: DataFrame, settings: Collocations | None = None) -> DataFrame:
@@ -327,7 +379,10 @@ def mined(docs: DataFrame, settings: Collocations | None = None) -> DataFrame:
     """
     settings = settings or Collocations()
     exact = materialise(counts(docs, settings))
-    whole = exact.where("size = 0").select("lang", F.col("n").alias("all_words"))
+    # A language may hold most phrases, so they meet its total in parts.
+    part_of = F.pmod(F.xxhash64("phrase"), F.lit(PARTS)).cast("int").alias("_part")
+    totals = exact.where("size = 0").select("lang", F.col("n").alias("all_words"))
+    whole = totals.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     parts = exact.where("size > 0").select("lang", "phrase", "n")
     candidates = exact.where("size > 1").select("lang", "phrase", F.col("n").alias("a"), "size", F.split("phrase", " ").alias("words"))
 
@@ -335,7 +390,8 @@ def mined(docs: DataFrame, settings: Collocations | None = None) -> DataFrame:
     cuts = cuts.withColumns({"first": _part(1, F.col("k")), "rest": _part(F.col("k") + 1, F.col("size") - F.col("k"))})
     left = parts.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
     right = parts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
-    scored = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(whole, "lang")
+    scored = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"])
+    scored = scored.withColumn("_part", part_of).join(whole, ["lang", "_part"])
     product = F.expr("CAST(1000 AS DECIMAL(4,0)) * (CAST(a AS DECIMAL(16,0)) * CAST(all_words AS DECIMAL(16,0)))")
     score = F.expr("product div (CAST(l AS DECIMAL(18,0)) * CAST(r AS DECIMAL(18,0)))")
     weakest = (
@@ -357,9 +413,9 @@ def mined(docs: DataFrame, settings: Collocations | None = None) -> DataFrame:
     )
 
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    # A language may hold most phrases: each of 64 parts is cut to the top before they meet.
+    # And each part is cut to the top before they meet.
     part = Window.partitionBy("lang", "_part").orderBy(*order)
-    best = kept.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(64))).withColumn("rank", F.row_number().over(part))
+    best = kept.withColumn("_part", part_of).withColumn("rank", F.row_number().over(part))
     best = best.where(F.col("rank") <= settings.top).drop("_part")
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     ranked = ranked.where(F.col("rank") <= settings.top)
