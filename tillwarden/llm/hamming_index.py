@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwarden.session import materialise
@@ -222,10 +222,20 @@ def without_spare_copies(ids: np.ndarray, vectors: np.ndarray, kept: int) -> tup
     return ids[place < kept], vectors[place < kept]
 
 
+def _least(rows: DataFrame, place: Column, settings: HammingSettings) -> pa.Table:
+    return rows.orderBy(F.pmod(place, F.lit(1 << 32)), "vec_id").limit(settings.sample).toArrow()
+
+
 def fitted(vectors: DataFrame, settings: HammingSettings) -> Coder | None:
     """A coder from the rows with the least hashes of their ids; None if no row can be searched.
     Vectors of another length than most of the sample's are left out here and later."""
-    rows = _usable(vectors).orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.sample).toArrow()
+    usable, place = _usable(vectors), F.xxhash64("vec_id")
+    share = 2 * settings.sample / max(1, usable.count())
+    # Of a large table only rows that may be among the least are sent to be ordered.
+    near = usable if share >= 1 else usable.where(F.pmod(place, F.lit(1 << 32)) < int(share * (1 << 32)))
+    rows = _least(near, place, settings)
+    if not rows.num_rows:  # few ids, with very many rows each
+        rows = _least(usable, place, settings)
     if not rows.num_rows:
         return None
     batch = rows.combine_chunks().to_batches()[0]
