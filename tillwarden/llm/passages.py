@@ -4,15 +4,17 @@ Work grows with the corpus, not with pairs, and no window is skipped:
 
 1. Of all runs of ``gram`` tokens in a window, the one with the least hash is its anchor. Equal
    windows have equal anchors, and neighbouring windows mostly share one; the windows of one
-   anchor form a segment. Only segments (two hashes and a place) are shuffled, packed by
-   batch, to the bucket of their anchor.
+   anchor form a segment.
 2. Equal segments are settled by their hash. This happens first inside a batch of chunks, so of
-   the many copies of a frequent passage only one per batch is shuffled.
-3. Where different segments share an anchor, windows may still be equal in part (the edges of
+   the many copies of a frequent passage only one per batch is shuffled; then in the bucket of the
+   segment's hash, so that an anchor with very many different segments is spread over all tasks.
+3. The different segments of each anchor are counted. An anchor with one has nothing to compare.
+   Which anchors have more goes to the tasks as a bitmap of fixed size.
+4. Where different segments share an anchor, windows may still be equal in part (the edges of
    a repeated passage, an edited copy). Their texts are fetched and compared exactly by an
    index that the caller gives.
-4. An anchor with more than ``most_segments`` segments to compare is not compared in one task:
-   its windows are dealt out by their own hashes and settled like equal segments.
+5. An anchor with more than ``most_segments`` segments to compare (a second bitmap) never meets in
+   one task: its windows are dealt out by their own hashes and settled like equal segments.
 
 Two rules say what counts: ``elsewhere`` (a window that starts at any other place) and
 ``earlier`` (a window that also starts in a document with a smaller id).
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwarden.llm.bitmaps import Bitmap, region_of
 from tillwarden.llm.text import U64, Chunk, Prefix, byte_values, chunks, grams, inner, keyed, mix, unioned, words
 from tillwarden.session import materialise
 
@@ -168,6 +171,12 @@ def _sent(rows: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
 _FOUND = "_id long, _copy long, start int, n int, kind int, anchor long"
 #: Kinds of found entries: settled; to compare; only to compare with; the last two with too many segments for one task.
 COVERED, OPEN, KNOWN, OPEN_HOT, KNOWN_HOT = range(5)
+#: Two more kinds of rows that tasks write: packed entries not settled yet, packed counts of anchors.
+UNDECIDED, COUNTED = 5, 6
+#: An anchor, its different segments, and its entries to compare (one document can hold a segment very often).
+COUNT = np.dtype([("anchor", "<u8"), ("different", "<u4"), ("opened", "<u4")])
+#: Anchors whose counts a worker keeps before it sends them (16 MB).
+BATCH_ANCHORS = 1 << 20
 
 
 def _found(entries: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
@@ -175,33 +184,121 @@ def _found(entries: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_id", "_copy", "start", "n", "kind", "anchor"])
 
 
+_JUDGED = f"{_FOUND}, region int, packed binary"
+
+
+def _plain(found: pa.RecordBatch) -> pa.RecordBatch:
+    n = found.num_rows
+    return pa.RecordBatch.from_arrays([*found.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], [*found.schema.names, "region", "packed"])
+
+
+def _blobs(kind: int, regions: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+    n = len(blobs)
+    none = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+    columns = [*none, pa.array([kind] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(regions, pa.int32()), pa.array(blobs, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _JUDGED.split(", ")])
+
+
 def judged_bucket(scheme: Scheme, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Found entries of one bucket of anchors, and their kinds."""
+    """(settled entries, undecided ones) of one bucket of segments. An undecided entry has
+    weight 1 if it is to be compared, 2 if it is only compared with."""
     entries, covered, head = settle(scheme.rule, entries)
     if not len(entries):
-        return entries, np.zeros(0, np.int64)
-    anchor = entries["anchor"]
-    turn = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-    group = np.cumsum(turn) - 1
-    different = np.bincount(group[head], minlength=group[-1] + 1)
-    known_before = entries["weight"] > 1  # its verdict has been given in its batch
-    is_head = np.zeros(len(entries), bool)
-    is_head[head] = True
-    kind = np.full(len(entries), -1)
-    kind[covered & ~known_before] = COVERED
-    kind[(different[group] > 1) & ~covered] = OPEN
-    # One document can hold one segment very often, so open entries count as well.
-    opened = np.bincount(group[kind == OPEN], minlength=len(different))
-    hot = np.maximum(different, opened)[group] > scheme.most_segments
-    keep = kind >= 0
-    out, kinds = entries[keep], np.where((kind == OPEN) & hot, OPEN_HOT, kind)[keep]
-    if scheme.rule == "elsewhere":
-        asked = np.zeros(len(different), bool)
-        asked[group[kind == OPEN]] = True
-        known = is_head & covered & asked[group]
-        out = np.concatenate([out, entries[known]])
-        kinds = np.concatenate([kinds, np.where(hot[known], KNOWN_HOT, KNOWN)])
-    return out, kinds
+        return entries, entries
+    settled = entries[covered & (entries["weight"] == 1)]  # of others the verdict was given in their batch
+    opened = entries[~covered]
+    opened["weight"] = 1
+    if scheme.rule == "earlier":
+        return settled, opened
+    known = entries[head[covered[head]]]
+    known["weight"] = 2
+    return settled, np.concatenate([opened, known])
+
+
+def counted_anchors(undecided: np.ndarray) -> np.ndarray:
+    """Counts of each anchor, in order. Entries of one segment are all here."""
+    out = np.zeros(0, COUNT)
+    if len(undecided):
+        pairs = undecided[np.lexsort((undecided["seg"], undecided["anchor"]))]
+        turn = np.concatenate([[True], pairs["anchor"][1:] != pairs["anchor"][:-1]])
+        fresh = turn.copy()
+        fresh[1:] |= pairs["seg"][1:] != pairs["seg"][:-1]
+        head = np.flatnonzero(turn)
+        out = np.zeros(len(head), COUNT)
+        out["anchor"] = pairs["anchor"][head]
+        out["different"] = np.add.reduceat(fresh.astype(np.uint32), head)
+        out["opened"] = np.add.reduceat((pairs["weight"] == 1).astype(np.uint32), head)
+    return out
+
+
+def summed_anchors(parts: list[np.ndarray]) -> np.ndarray:
+    """Counts of several parts of the corpus, one per anchor."""
+    counts = np.concatenate(parts)
+    counts = counts[np.argsort(counts["anchor"], kind="stable")]
+    head = np.flatnonzero(np.concatenate([[True], counts["anchor"][1:] != counts["anchor"][:-1]]))
+    out = counts[head]
+    for field in ("different", "opened"):
+        sums = np.add.reduceat(counts[field].astype(np.int64), head)
+        out[field] = np.minimum(sums, np.iinfo(np.uint32).max)
+    return out
+
+
+def _count_rows(parts: list[np.ndarray], region_bits: int) -> pa.RecordBatch:
+    """Counts of anchors, one row per region of anchors."""
+    counts = summed_anchors(parts)
+    regions = region_of(counts["anchor"], region_bits)
+    cuts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1]]))
+    blobs = [counts[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(counts)), strict=True)]
+    return _blobs(COUNTED, regions[cuts].tolist(), blobs)
+
+
+_SLICES = "region int, shared binary, hot binary"
+
+
+def _anchor_slices(scheme: Scheme, region_bits: int) -> Callable:
+    """The slices of both bitmaps, of one region of anchors after another."""
+    empty = Bitmap(region_bits, np.zeros(0, np.uint8))
+
+    def sliced(region: int, held: list[np.ndarray]) -> pa.RecordBatch:
+        counts = summed_anchors(held)
+        shared = counts[(counts["different"] > 1) & (counts["opened"] > 0)]
+        hot = shared[np.maximum(shared["different"], shared["opened"]) > scheme.most_segments]
+        slices = [empty.slice(region, np.ascontiguousarray(x["anchor"])) for x in (shared, hot)]
+        return pa.RecordBatch.from_arrays([pa.array([region], pa.int32()), *(pa.array([x], pa.binary()) for x in slices)], ["region", "shared", "hot"])
+
+    def reduce(batches):
+        at, held = None, []
+        for batch in batches:
+            for region, blob in zip(batch.column("region").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if region != at:
+                    if held:
+                        yield sliced(at, held)
+                    at, held = region, []
+                held.append(np.frombuffer(blob, COUNT))
+                if len(held) >= 64:
+                    held = [summed_anchors(held)]
+        if held:
+            yield sliced(at, held)
+
+    return reduce
+
+
+def _decided(scheme: Scheme, sent) -> Callable:
+    """Undecided entries whose anchors have different segments, as found entries."""
+
+    def decide(batches):
+        region_bits, shared_bits, hot_bits = sent.value
+        shared, hot = Bitmap(region_bits, shared_bits), Bitmap(region_bits, hot_bits)
+        for batch in batches:
+            for blob in batch.column("packed").to_pylist():
+                entries = unpacked(blob)
+                entries = entries[shared.has(np.ascontiguousarray(entries["anchor"]))]
+                if len(entries):
+                    kind = np.where(entries["weight"] == 1, OPEN, KNOWN)
+                    many = hot.has(np.ascontiguousarray(entries["anchor"]))
+                    yield _found(entries, np.where(many, kind + OPEN_HOT - OPEN, kind))
+
+    return decide
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
@@ -228,6 +325,7 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
     record batches of covered ranges (see ``ranges``)."""
     tasks = _partitions(docs)
     buckets = tasks * scheme.buckets_per_task
+    region_bits = min(16, max(8, buckets.bit_length()))
 
     def gather(batches):
         held: list[np.ndarray] = []
@@ -241,26 +339,47 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
 
     def _dealt_batch(entries):
         covered, sent = _settled_in_batch(scheme.rule, entries)
-        # What is settled only passes through, so it is dealt evenly, not by its frequent anchors.
+        # What is settled only passes through, so it is dealt evenly.
         passing = mix(covered["id"].astype(U64))
-        return _sent([*_dealt(sent, sent["anchor"], buckets, 0), *_dealt(covered, passing, buckets, 1)])
+        return _sent([*_dealt(sent, sent["seg"], buckets, 0), *_dealt(covered, passing, buckets, 1)])
 
     def judge(batches):
+        counts: list[np.ndarray] = []
         for _, plain, passed in _by_bucket(batches):
             for blob in passed:
                 entries = unpacked(blob)
-                yield _found(entries, np.zeros(len(entries), np.int64))
+                yield _plain(_found(entries, np.zeros(len(entries), np.int64)))
             if plain:
-                yield _found(*judged_bucket(scheme, np.concatenate([unpacked(b) for b in plain])))
+                settled, undecided = judged_bucket(scheme, np.concatenate([unpacked(b) for b in plain]))
+                yield _plain(_found(settled, np.zeros(len(settled), np.int64)))
+                if len(undecided):
+                    counts.append(counted_anchors(undecided))
+                    undecided["seg"] = 0  # not needed any more
+                    yield _blobs(UNDECIDED, [0], [packed(undecided)])
+                if sum(map(len, counts)) >= BATCH_ANCHORS:
+                    yield _count_rows(counts, region_bits)
+                    counts = []
+        if counts:
+            yield _count_rows(counts, region_bits)
 
     dealt = docs.mapInArrow(gather, _SENT).repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    found = materialise(dealt.mapInArrow(judge, _FOUND))
-    covered = found.filter(F.col("kind") == COVERED).select("_id", "_copy", "start", "n")
-
+    judged = materialise(dealt.mapInArrow(judge, _JUDGED))
+    anchors = judged.filter(F.col("kind") == COUNTED).select("region", "packed")
+    anchors = anchors.repartition(min(tasks, 1 << region_bits), "region").sortWithinPartitions("region")
+    shared, hot = Bitmap.empty(region_bits), Bitmap.empty(region_bits)
+    # One row of two slices per region: 32 MB in all, whatever the corpus.
+    for row in anchors.mapInArrow(_anchor_slices(scheme, region_bits), _SLICES).collect():
+        shared.put(row["region"], row["shared"])
+        hot.put(row["region"], row["hot"])
+    sent = docs.sparkSession.sparkContext.broadcast((region_bits, shared.bits, hot.bits))
+    undecided = judged.filter(F.col("kind") == UNDECIDED).select("packed")
+    found = undecided.mapInArrow(_decided(scheme, sent), _FOUND)
+    covered = judged.filter(F.col("kind") == COVERED).select("_id", "_copy", "start", "n")
+
+    # Rows that share id and text bring the same entries each, of which one will do.
     requests = (
-        found.filter(F.col("kind") != COVERED)
-        .groupBy("_id", "_copy")
-        .agg(F.collect_list(F.struct("start", "n", "kind", "anchor")).alias("asked"))
+        found.groupBy("_id", "_copy")
+        .agg(F.collect_set(F.struct("start", "n", "kind", "anchor")).alias("asked"))
     )
     texts = docs.join(requests, ["_id", "_copy"])
     # What is compared is written once: two branches read it.
@@ -348,7 +467,8 @@ class Request:
 
 def request_runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[Request]]:
     """Requests of whole anchors, about ``size`` bytes or one anchor at once. An anchor has at
-    most ``most_segments`` segments to compare here and as many to compare with, so runs are bounded."""
+    most ``most_segments`` segments to compare here and as many to compare with, so runs are bounded
+    (an anchor that the bitmap takes for shared or frequent is compared or dealt out for nothing)."""
     names = ("anchor", "_id", "_copy", "start", "n", "known", "content")
     run, held = [], 0
     for batch in batches:
@@ -373,8 +493,9 @@ def ranges(requests: list[Request], owner: np.ndarray, start: np.ndarray, n: np.
 
 
 def with_ranges(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs and, for each, ``_starts`` and ``_counts`` of its covered ranges (missing if none)."""
-    by_doc = found.groupBy("_id", "_copy").agg(F.collect_list(F.struct("start", "n")).alias("_r"))
+    """docs and, for each, ``_starts`` and ``_counts`` of its covered ranges (missing if none).
+    Rows that share id and text have found the same ranges; each of them gets them once."""
+    by_doc = found.groupBy("_id", "_copy").agg(F.collect_set(F.struct("start", "n")).alias("_r"))
     by_doc = by_doc.select("_id", "_copy", F.col("_r.start").alias("_starts"), F.col("_r.n").alias("_counts"))
     return docs.join(by_doc, ["_id", "_copy"], "left")
 
