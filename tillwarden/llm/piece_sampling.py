@@ -6,9 +6,11 @@ in proportion to the weight that arrives through it, so whole segmentations are
 probability. Random numbers are a hash of the row's key and the position, so a document's
 segmentation does not depend on partitions, order or reruns.
 
-No piece has a space after another character, and some characters are in no piece at all. Texts
-fall into units there, which the lattice need not cross. Equal units of a chunk share one
-lattice; the walks of all their occurrences run side by side in numpy.
+No piece has a space after another character, some characters are in no piece at all, and most
+pairs of characters stand in none (nearly all of them in writing without spaces). Texts fall into
+units there, which the lattice need not cross. Equal units of a chunk share one lattice; the walks
+of all their occurrences run side by side in numpy. What is left of a very long unit (a run of
+letters without a space) is filtered and walked one by one, at about the same cost a byte.
 
 Spaces of the text are the model's word mark; the mark itself, and every character without a
 piece, is spelled in byte pieces, so decoding gives back every text exactly.
@@ -16,6 +18,8 @@ piece, is spelled in byte pieces, so decoding gives back every text exactly.
 
 from __future__ import annotations
 
+import itertools
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +31,9 @@ from tillwarden.llm.text import U64, Prefix, byte_values, chunks, mix
 
 CHUNK = 1 << 20
 MARK = "▁"
+#: Bytes of a unit that are filtered side by side with others, and walks that go one by one.
+LEVELS = 256
+FEW_WALKS = 8
 
 
 class Pieces:
@@ -59,6 +66,8 @@ class Pieces:
             raise ValueError(f"{path} has no byte pieces, so some texts have no spelling")
         self.single = {s.decode() for i in regular if len((s := self.spelled[i]).decode()) == 1}
         held = {b for i in regular for b in self.spelled[i]}
+        pairs = {(a, b) for i in regular for a, b in itertools.pairwise(self.spelled[i].decode())}
+        self.pairs = np.sort(np.array([ord(a) << 21 | ord(b) for a, b in pairs], np.int64))
         self.alone = np.array([b < 0x80 and b not in held for b in range(256)])
         if any(b" " in self.spelled[i].lstrip(b" ") for i in regular):
             raise ValueError(f"{path} has pieces with an inner space")
@@ -86,6 +95,21 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.targets[at], -1)
 
+    def separate(self, data: np.ndarray) -> np.ndarray:
+        """Which characters begin where no piece can reach over from the one before."""
+        first = np.flatnonzero((data & 0xC0) != 0x80)
+        lead = data[first].astype(np.int64)
+        width = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+        point = np.where(width == 1, lead, lead & (0x7F >> width))
+        for k in range(1, 4):
+            more = width > k
+            point[more] = point[more] << 6 | data[first[more] + k] & 0x3F
+        pair = point[:-1] << 21 | point[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        out = np.zeros(len(data), bool)
+        out[first[1:][self.pairs[at] != pair]] = True
+        return out
+
     def unknown_bytes(self, data: np.ndarray) -> np.ndarray:
         """Bytes of characters that are no piece."""
         out = np.zeros(len(data), bool)
@@ -159,7 +183,7 @@ class Lattice:
         self.first, self.count = np.zeros(total, np.int64), np.zeros(total, np.int64)
         chance = np.zeros(len(order))
         top = int(level[-1]) if len(level) else 0
-        cuts = np.searchsorted(level, np.arange(1, top + 2))
+        cuts = np.searchsorted(level, np.arange(1, min(top, LEVELS) + 2))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if a == b:
                 continue
@@ -178,14 +202,38 @@ class Lattice:
                 chance[a:b] = (running - before) / np.repeat(sums, count)
             self.first[entered[head]], self.count[entered[head]] = a + head, count
         self.chance, self.reach = chance, reach
+        if top > LEVELS:
+            self._rest(int(cuts[-1]), target, weight)
+
+    def _rest(self, a: int, target: np.ndarray, weight: np.ndarray) -> None:
+        """The levels beyond LEVELS, arc by arc."""
+        reached: dict[int, float] = {}
+        arcs = zip(target[a:].tolist(), self.source[a:].tolist(), weight[a:].tolist(), strict=True)
+        for node, group in itertools.groupby(arcs, key=lambda x: x[0]):
+            values = []
+            for _, source, own in group:
+                before = reached.get(source)
+                values.append((float(self.reach[source]) if before is None else before) + own)
+            most = max(values)
+            most = most if math.isfinite(most) else 0.0
+            scaled = [math.exp(v - most) for v in values]
+            total = sum(scaled)
+            if total > 0:
+                self.chance[a : a + len(values)] = [x / total for x in itertools.accumulate(scaled)]
+                reached[node] = math.log(total) + most
+            else:
+                reached[node] = -math.inf
+            self.first[node], self.count[node] = a, len(values)
+            a += len(values)
 
 
 def _units(p: Pieces, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where units begin: at documents, at the first of some spaces, around bytes in no piece."""
+    """Where units begin: at documents, at the first of some spaces, around bytes in no piece, and
+    between characters that no piece holds side by side."""
     space, alone = data == 0x20, p.alone[data]
     begins = space.copy()
     begins[1:] &= ~space[:-1]
-    begins |= alone
+    begins |= alone | p.separate(data) & ~space
     begins[1:] |= alone[:-1]
     begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     return np.flatnonzero(begins)
@@ -212,7 +260,7 @@ def sampled(p: Pieces, chunk, seeds: np.ndarray, alpha: float) -> tuple[np.ndarr
     walk = np.arange(len(start))
     node, root, at = lattice.node[which] + (end - start), lattice.node[which], end - offsets[document]
     steps, taken = [], []
-    while len(walk):
+    while len(walk) > FEW_WALKS or len(walk) and len(steps) < LEVELS:
         u = (mix(base[walk] ^ mix(at[walk].astype(U64))) >> U64(11)).astype(np.float64) * 2.0**-53
         arc, left = lattice.first[node[walk]].copy(), lattice.count[node[walk]] - 1
         open_ = np.flatnonzero((lattice.chance[arc] <= u) & (left > 0))
@@ -225,14 +273,44 @@ def sampled(p: Pieces, chunk, seeds: np.ndarray, alpha: float) -> tuple[np.ndarr
         node[walk] = lattice.source[arc]
         at[walk] -= lattice.width[arc]
         walk = walk[node[walk] > root[walk]]
+    alone = {w: _walked(lattice, int(base[w]), int(node[w]), int(root[w]), int(at[w])) for w in walk.tolist()}
     counts = np.bincount(np.concatenate(steps), minlength=len(start))
+    for w, found in alone.items():
+        counts[w] += len(found)
     stop = np.cumsum(counts)
     ids = np.zeros(int(stop[-1]), np.int64)
+    for w, found in alone.items():
+        ids[stop[w] - counts[w] : stop[w] - counts[w] + len(found)] = found[::-1]
     for k, (who, piece) in enumerate(zip(steps, taken, strict=True)):
         ids[stop[who] - 1 - k] = piece
     return ids, np.concatenate([[0], stop])[np.searchsorted(start, offsets)]
 
 
+_ALL = (1 << 64) - 1
+
+
+def _mixed(x: int) -> int:
+    """``mix`` of one number."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _ALL
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _ALL
+    return x ^ x >> 31
+
+
+def _walked(lattice: Lattice, base: int, node: int, root: int, at: int) -> list[int]:
+    """The pieces that one walk takes from ``node`` down to ``root``, last piece first."""
+    taken = []
+    while node > root:
+        u = (_mixed(base ^ _mixed(at)) >> 11) * 2.0**-53
+        arc, left = int(lattice.first[node]), int(lattice.count[node]) - 1
+        while left > 0 and lattice.chance[arc] <= u:
+            arc += 1
+            left -= 1
+        taken.append(int(lattice.piece[arc]))
+        node = int(lattice.source[arc])
+        at -= int(lattice.width[arc])
+    return taken
+
+
 def decoded(p: Pieces, ids: list[int]) -> bytes:
     """The text's bytes: all pieces joined, without the space put before every text."""
     return b"".join([p.spelled[i] for i in ids])[1:]
