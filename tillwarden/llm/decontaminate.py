@@ -140,26 +140,41 @@ class ItemIndex:
         """(document, item index, first word in the document, words, similarity), best window only."""
         best: dict[tuple[int, int], tuple[float, int, int]] = {}  # similarity, minus the place, words
         for width, shingles, owner, start, n, size in self.windows(hashes, first):
-            used = np.unique(owner)
-            spans = [(int(first[d]), int(first[d + 1]) - width + 1) for d in used]
-            local = np.concatenate([np.arange(a, b) for a, b in spans])
-            sums = np.zeros((len(local) + 1, 64), np.int32)
-            np.cumsum(_signs(shingles[local]), axis=0, out=sums[1:])
-            shift = dict(zip(used.tolist(), np.cumsum([0] + [b - a for a, b in spans])[:-1] - [a for a, _ in spans], strict=True))
-            row = start + np.array([shift[d] for d in owner.tolist()], np.int64)
-            prints = _fingerprints(sums[row + n - width + 1] - sums[row])
-            for d, s, m, whole, value in zip(owner.tolist(), start.tolist(), n.tolist(), size.tolist(), prints.tolist(), strict=True):
-                near = self.candidates(whole, value)
-                if not near:
-                    continue
-                bag = Counter(shingles[s : s + m - width + 1].tolist())
-                for i in near:
-                    both = (bag & self.bags[i]).total()
-                    similarity = both / (bag.total() + self.bags[i].total() - both)
-                    if similarity >= self.settings.least_similarity:
-                        best[d, i] = max(best.get((d, i), (-1.0, 0, 0)), (similarity, int(first[d]) - s, m))
+            order = np.argsort(start, kind="stable")
+            for part in _stretches(start[order]):
+                own = order[part]
+                self._matched(best, shingles, width, first, owner[own], start[own], n[own], size[own])
         return [(d, i, -place, m, similarity) for (d, i), (similarity, place, m) in sorted(best.items())]
 
+    def _matched(self, best, shingles, width, first, owner, start, n, size) -> None:
+        """Put the windows of one stretch that match into ``best``."""
+        begin = int(start[0])
+        stretch = shingles[begin : int((start + n).max()) - width + 1]
+        sums = np.zeros((len(stretch) + 1, 64), np.int32)
+        np.cumsum(_signs(stretch), axis=0, out=sums[1:])
+        row = start - begin
+        prints = _fingerprints(sums[row + n - width + 1] - sums[row])
+        for d, s, m, whole, value in zip(owner.tolist(), start.tolist(), n.tolist(), size.tolist(), prints.tolist(), strict=True):
+            near = self.candidates(whole, value)
+            if not near:
+                continue
+            bag = Counter(shingles[s : s + m - width + 1].tolist())
+            for i in near:
+                both = (bag & self.bags[i]).total()
+                similarity = both / (bag.total() + self.bags[i].total() - both)
+                if similarity >= self.settings.least_similarity:
+                    best[d, i] = max(best.get((d, i), (-1.0, 0, 0)), (similarity, int(first[d]) - s, m))
+
+
+def _stretches(start: np.ndarray, most: int = 1 << 15) -> Iterator[slice]:
+    """Windows by rising start, cut into parts that span about ``most`` shingles each (a single
+    window may be longer, as long as its item), so that a text of any length takes bounded memory."""
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(start, start[a] + most, "left")))
+        yield slice(a, b)
+        a = b
+
 
 def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Items in blocks of at most ``block_words`` words (or one item). Items without an id or a
