@@ -206,6 +206,27 @@ def test_one_document_that_holds_one_segment_very_often(spark, module, name, mon
         assert counted(module.digest(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(removed_words(table, 13))
 
 
+@pytest.mark.parametrize("module, name", [(suffix_levels, "byte"), (automata, "word")])
+def test_equal_rows_under_one_id_get_each_range_once(spark, module, name):
+    """The list of a row's ranges doesn't grow with the number of its copies."""
+    from tillwarden.llm import passages
+
+    rng = random.Random(8)
+    prose = lambda n: " ".join(str(rng.randint(0, 999)) for _ in range(n))
+    shared = prose(40)
+    table = [(None, f"{prose(30)} {shared}")] * 2000 + [(1, f"{shared} {prose(30)}"), (2, prose(60))]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(7)
+    length, keyed = (60 if name == "byte" else 13), passages.keyed(docs)
+    found = passages.with_ranges(keyed, passages.find(keyed, module.scheme(length), module._compare(length)))
+    sizes = [len(r["_starts"] or []) for r in found.collect()]
+    assert len(sizes) == len(table) and max(sizes) < 40
+    if name == "byte":
+        few = [table[0]] * 2 + table[-2:]
+        expected = dict(((r[0], r[1]), r) for r in removed_bytes(few, 60))
+        got = counted(module.digest(docs, 60), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert sum(got.values()) == len(table) and set(got) == set(expected.values())
+
+
 def test_suffix_family_merges_levels_and_finds_old_and_new():
     import numpy as np
 
@@ -544,3 +565,60 @@ def test_language_model_and_rejection(spark, docs, rows, empty):
     assert Counter((r["doc_id"], r["lang_pred"] != "und") for r in found) == letters
     assert all(r["rejected"] for r in found if r["lang_pred"] == "und")
     assert language.predicted(empty, language.fit(empty, language.LanguageSettings(bits=10))).count() == 0
+
+
+def test_very_long_texts_without_spaces_are_encoded_as_well():
+    """Writing without spaces falls into units, a run of one letter goes arc by arc; ids do not
+    depend on what else is in the chunk."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tillwarden.llm.text import chunk_of
+
+    rng = random.Random(3)
+    p = piece_sampling.pieces(PIECES)
+    texts = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(20_000)), "a" * 3000, "ab" * 900, "x" * 300, "so it goes", "ﷺ日本" * 50]
+
+    def sampled(some):
+        batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in some], pa.string())], ["text"])
+        ids, cuts = piece_sampling.sampled(p, chunk_of(batch), np.array([k for k, _ in some], np.uint64), 1.0)
+        return [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    together = sampled(list(enumerate(texts)))
+    for k, (text, ids) in enumerate(zip(texts, together, strict=True)):
+        assert piece_sampling.decoded(p, ids).decode() == text
+        assert sampled([(k, text)]) == [ids]
+
+
+def test_the_rest_of_a_long_unit_is_drawn_as_the_rest_would_be(monkeypatch):
+    """Arc by arc or side by side: the same ids."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tillwarden.llm.text import chunk_of
+
+    p = piece_sampling.pieces(PIECES)
+    batch = pa.RecordBatch.from_arrays([pa.array(["abcabcaba" * 60, "the" * 100, "a b c"], pa.string())], ["text"])
+    got = []
+    for levels, few in ((256, 8), (100_000, 0), (3, 100)):
+        monkeypatch.setattr(piece_sampling, "LEVELS", levels)
+        monkeypatch.setattr(piece_sampling, "FEW_WALKS", few)
+        ids, cuts = piece_sampling.sampled(p, chunk_of(batch), np.array([1, 2, 3], np.uint64), 0.7)
+        got.append((ids.tolist(), cuts.tolist()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_windows_of_one_long_text_are_looked_up_in_stretches(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    items = [(k, rng.integers(0, 2**63, 60 + k, dtype=np.uint64)) for k in range(12)]
+    text = rng.integers(0, 2**63, 30_000, dtype=np.uint64)
+    for k, (_, item) in enumerate(items):
+        text[2000 * k + 77 : 2000 * k + 77 + len(item)] = item
+    index = decontaminate.ItemIndex(items, decontaminate.Decontamination())
+    whole = index.matches(text, np.array([0, len(text)]))
+    plain = decontaminate._stretches
+    monkeypatch.setattr(decontaminate, "_stretches", lambda start: plain(start, 40))
+    assert index.matches(text, np.array([0, len(text)])) == whole
+    assert [(i, place) for _, i, place, _, s in whole if s == 1.0] == [(k, 2000 * k + 77) for k in range(12)]

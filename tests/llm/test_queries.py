@@ -138,10 +138,11 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, sf_dir, tables):
     first, _ = near_groups(rows)
     rows = [r for k, r in enumerate(rows) if first[k] == k]
     texts = [(r[1] or "").encode() for r in rows]
-    seen = Counter(t[k : k + 400] for t in texts for k in range(len(t) - 399))
+    size = corpus_pipeline.PASSAGE_BYTES
+    seen = Counter(t[k : k + size] for t in texts for k in range(len(t) - size + 1))
     kept = {}
     for r, t in zip(rows, texts, strict=True):
-        gone = {k + j for k in range(len(t) - 399) if seen[t[k : k + 400]] > 1 for j in range(400)}
+        gone = {k + j for k in range(len(t) - size + 1) if seen[t[k : k + size]] > 1 for j in range(size)}
         kept[r[0]] = bytes(b for k, b in enumerate(t) if k not in gone).decode("utf-8", "ignore")
     expected = {i: t for i, t in kept.items() if not items_in(t, tables["benchmark"])}
     got = corpus_pipeline.run(spark, sf_dir).collect()
@@ -150,6 +151,21 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, sf_dir, tables):
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
 
 
+def test_passages_over_fifty_words_do_not_stay_in_the_pipeline(spark):
+    """Repeated prose of more than 50 words, of two to five letters each, goes in the third stage;
+    documents without any stay as they are."""
+    import random
+
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(n))
+    shared = [prose(51) for _ in range(20)]
+    table = [(k, f"{prose(80)} {shared[k % 20]} {prose(80)}") for k in range(60)] + [(100 + k, prose(200)) for k in range(60)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_strings(spark, docs, "").collect()}
+    assert not any(shared[k % 20] in left[k] or len(left[k]) > len(t) - len(shared[k % 20]) + 8 for k, t in table[:60])
+    assert all(left[k] == t for k, t in table[60:])
+
+
 def test_pipeline_over_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
