@@ -64,6 +64,15 @@ def test_only_the_load_is_shuffled(store, spark):
     assert rows(table.read().groupBy("tier").count()) == [("x", 490), ("y", 20)]
 
 
+def test_rows_of_few_and_of_many_keys(store, spark):
+    KeyedTable(store, "p", "customer_id", 16).upsert(people(spark, *((f"c{k}", k, "x") for k in range(2000))))
+    table = KeyedTable(store, "p", "customer_id")
+    asked = frame(spark, "customer_id STRING", [("c7",), ("c7",), (None,), ("z",), ("c1999",)])
+    few, many = table.rows_of(asked), table.rows_of(asked, few=1)
+    assert rows(few) == rows(many) == [("c1999", 1999, "x"), ("c7", 7, "x")]
+    assert 0 < scanned(few) <= 2000 / 4 and "Exchange" in plan(many) and "Bucketed: true" in plan(many)
+
+
 def test_an_unfinished_version_of_a_keyed_table_is_not_read(store, spark, tmp_path):
     table = KeyedTable(store, "p", "customer_id", 2)
     table.upsert(people(spark, ("a", 1, "x")))

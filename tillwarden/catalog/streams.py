@@ -17,6 +17,7 @@ from tillwarden.plans import alert_views, nightly, serving
 from tillwarden.schemas import ALERT_MESSAGE, FRAUD_ALERTS, TRANSACTIONS_RAW
 from tillwarden.session import materialise, new_run_dir
 from tillwarden.sources import messages as topics
+from tillwarden.sources.keyed import KeyedTable
 from tillwarden.sources.tables import TableStore
 from tillwarden.streaming import jobs
 
@@ -322,6 +323,25 @@ def stream_profile_lookup(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rows").select("transaction_id", "customer_id", "total_fraud_alerts", "risk_tier")
 
 
+@query(
+    C.sql(
+        C.ALERTS,
+        f"""SELECT p.transaction_id, p.customer_id, coalesce(f.total_fraud_alerts, 0) AS total_fraud_alerts,
+            coalesce(f.risk_tier, 'UNKNOWN') AS risk_tier
+            FROM payments p LEFT JOIN (SELECT customer_id, {_FACTS} FROM alerts GROUP BY customer_id) f
+            ON p.customer_id = f.customer_id""",
+    )
+)
+def stream_keyed_lookup(spark, sf_dir):
+    """The stream with its customers' profiles out of a table laid out by customer."""
+    folder = new_run_dir(spark, "keyed-lookup")
+    profiles = KeyedTable(TableStore(spark, f"{folder}/store"), "profiles", "customer_id", buckets=8)
+    profiles.upsert(alert_views.profile_facts(I.payment_alerts(spark, sf_dir), None))
+    stream = jobs.transactions(_message_stream(spark, sf_dir)).select("transaction_id", "customer_id")
+    jobs.finish(jobs.start_keyed_lookup(stream, profiles, f"{folder}/rows", f"{folder}/offsets", trigger=None))
+    return spark.read.parquet(f"{folder}/rows").select("transaction_id", "customer_id", "total_fraud_alerts", "risk_tier")
+
+
 @query(C.sql(C.ALERTS, f"SELECT customer_id, {_FACTS} FROM alerts GROUP BY customer_id"))
 def stream_profiles(spark, sf_dir):
     folder = new_run_dir(spark, "profiles")

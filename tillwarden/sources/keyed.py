@@ -91,6 +91,16 @@ class KeyedTable:
         else:
             self._write(load.repartition(self.buckets, self.key), 1)
 
+    def rows_of(self, asked: DataFrame, few: int = 1000) -> DataFrame:
+        """The rows of the keys in ``asked``. Up to ``few`` different keys (that many come to the
+        driver) are asked for by value, which opens their buckets only; more are joined with the
+        table's buckets where they stand."""
+        keys = asked.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+        some = [r[0] for r in keys.limit(few + 1).collect()]
+        if len(some) <= few:
+            return self.read().where(F.col(self.key).isin(some))
+        return self.read().join(keys.repartition(self.buckets, self.key), self.key, "left_semi")
+
     def lookup(self, value: object) -> DataFrame:
         """The row of one key; one bucket is opened."""
         return self.read().where(F.col(self.key) == F.lit(value))

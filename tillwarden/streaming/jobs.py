@@ -34,6 +34,7 @@ from tillwarden.plans.alert_views import PROFILE_FACTS, count_tier
 from tillwarden.plans.layers import raw_rows
 from tillwarden.schemas import ALERT_MESSAGE, FRAUD_ALERTS, REQUIRED_RAW_COLUMNS
 from tillwarden.sources import messages as topics
+from tillwarden.sources.keyed import KeyedTable
 from tillwarden.streaming.bursts import early_velocity_alerts
 
 # Columns of the monitoring output, rows per screen.
@@ -412,6 +413,11 @@ def start_profile_lookup(stream, read_profiles: Callable[[], DataFrame], path, c
     return _start_lookup(stream, lambda batch: behaviour.with_profile(batch, read_profiles()), path, checkpoint, trigger)
 
 
+def start_keyed_lookup(stream, profiles: KeyedTable, path, checkpoint, trigger=SCORING_TRIGGER):
+    """The same by a table laid out by customer, of which a batch opens its own customers' buckets."""
+    return _start_lookup(stream, lambda batch: behaviour.with_profile(batch, profiles.rows_of(batch)), path, checkpoint, trigger)
+
+
 def start_real_time(messages, folder, rules: RuleConfig = PIPELINE_RULES, trigger=SCORING_TRIGGER) -> list[StreamingQuery]:
     """The scoring path: alerts on the console and all transactions to their topics below
     ``folder``/topics. Pass the queries' session to ``run_until_stopped``."""
