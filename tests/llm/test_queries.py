@@ -1,5 +1,6 @@
 """The named queries and the pipeline over whole tables of the smallest scale, against brute force or SQL."""
 
+import hashlib
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ from test_operators import counted, encode, measures, removed_bytes, removed_wor
 
 import corpus_pipeline
 import __spark_entry__ as entry
-from tillwarden.llm import check_sql, piece_sampling, queries
+from tillwarden.llm import check_sql, piece_sampling, queries, suffix_levels
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +40,7 @@ def near_groups(rows):
 
 
 def items_in(text, benchmark):
-    lower = lambda t: [w.lower() if w.isascii() else w.translate({c: c + 32 for c in range(65, 91)}) for w in split(t)]
+    lower = lambda t: split((t or "").casefold())
     bag = lambda w: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
     w, found = lower(text), []
     runs = set(bag(w))
@@ -62,7 +63,7 @@ def run(spark, sf_dir, name):
 
 def test_all_are_registered(spark):
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
@@ -88,6 +89,30 @@ def test_repeated_strings(spark, sf_dir, tables):
     assert got == Counter(removed_bytes(tables["documents"], 400))
 
 
+@pytest.mark.parametrize("length", [400, corpus_pipeline.PASSAGE_BYTES])
+def test_repeated_strings_over_many_partitions(spark, length):
+    """A larger table, dealt over 24 tasks, against a count of every string."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(24)
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+    seen = Counter(hash(t[k : k + length]) for _, t in texts for k in range(len(t) - length + 1))
+    expected = Counter()
+    for i, t in texts:
+        gone = bytearray(len(t))
+        for k in range(len(t) - length + 1):
+            if seen[hash(t[k : k + length])] > 1:
+                gone[k : k + length] = b"x" * length
+        kept = bytes(b for b, g in zip(t, gone, strict=True) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        expected[i, len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()] += 1
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = counted(suffix_levels.digest(docs, length), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == expected and sum(r[2] > 0 for r in expected) > 100
+
+
 def test_token_counts(spark, sf_dir, tables):
     lengths = [len(encode(r[1])) for r in tables["documents"]]
     got = {r["n_tokens"]: r["kept_tokens"] for r in run(spark, sf_dir, "op4_token_counts").collect()}
