@@ -622,3 +622,91 @@ def test_windows_of_one_long_text_are_looked_up_in_stretches(monkeypatch):
     monkeypatch.setattr(decontaminate, "_stretches", lambda start: plain(start, 40))
     assert index.matches(text, np.array([0, len(text)])) == whole
     assert [(i, place) for _, i, place, _, s in whole if s == 1.0] == [(k, 2000 * k + 77) for k in range(12)]
+
+
+def plain_subwords(text, bits):
+    """Buckets of the runs of 2 to 4 bytes, one by one."""
+    data = bytearray(b" " + re.sub(rb"[\x20\x09-\x0D]", b" ", (text or "").encode()).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")) + b" ")
+    for k in range(1, len(data)):
+        if data[k - 1] == 0xC3 and 0x80 <= data[k] <= 0x9E:
+            data[k] += 0x20
+    for size in (2, 3, 4):
+        for k in range(len(data) - size + 1):
+            run = data[k : k + size]
+            if run[:2] == b"  " or 0x20 in run[1:-1]:
+                continue
+            mixed = 0x165667B1 * size % 2**32
+            for b, factor in zip(run, (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F), strict=False):
+                mixed = (mixed + (b + 1) * factor) % 2**32
+                mixed ^= mixed >> 15
+            yield mixed * 0x9E3779B1 % 2**32 >> 32 - bits
+
+
+def test_language_scores_by_plain_loops(spark, docs, rows):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    model = language.LanguageModel(6, ("aa", "bb", "cc"), rng.normal(size=(64, 3)).astype(np.float32), rng.normal(size=3).astype(np.float32), 0.7, 0.5)
+    expected = Counter()
+    for r in rows:
+        found = list(plain_subwords(r[1], 6))
+        z = [sum(float(model.table[b][c]) for b in found) / max(1, len(found)) + float(model.offset[c]) for c in range(3)]
+        odds = [np.exp(x / 0.7) for x in z]
+        best = max(range(3), key=lambda c: odds[c])
+        known = any(c.isalpha() for c in r[1] or "")
+        score = round(odds[best] / sum(odds), 9) if known else 0.0
+        expected[r[0], model.languages[best] if known else "und", score, not known or score < 0.5] += 1
+    got = Counter((r["doc_id"], r["lang_pred"], round(r["score"], 9), r["rejected"]) for r in language.predicted(docs, model).collect())
+    assert got == expected
+
+
+def test_quality_scores_by_plain_loops(spark, docs, rows):
+    """Statistics, word shares and all pairs of features, text by text."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    bits, width = 5, 32 + len(quality_fm.STATISTICS)
+    center, scale = rng.normal(size=13), rng.uniform(0.5, 2, 13)
+    model = quality_fm.FmModel(bits, 0.2, rng.normal(size=width), rng.normal(0, 0.3, size=(width, 2)), center, scale)
+    expected = Counter()
+    for r in rows:
+        text = r[1] or ""
+        w = split(text)
+        n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = measures(r[1])
+        chars, lines = max(1, len(text)), text.count("\n") + 1
+        given = r[4] if len(r) > 4 and r[4] is not None else chars
+        count = lambda test: sum(map(test, text))  # noqa: E731, B023
+        per_word, per_char = 1 / max(n_words, 1), 1 / max(word_chars, 1)
+        stats = [
+            np.log1p(n_words), word_chars * per_word, n_symbols * per_char, n_repeat_words * per_word, n_dup_lines / lines,
+            count(lambda c: "A" <= c <= "Z") * per_char, count(lambda c: "0" <= c <= "9") * per_char,
+            count(lambda c: "!" <= c <= "~" and not c.isalnum()) * per_char, np.log1p(n_words / lines), None,
+            sum(b >= 0x80 for b in text.encode()) * per_char, np.log1p(given), np.log1p(abs(given - (chars if chars > 1 else given))),
+        ]
+        x = np.zeros(width)
+        hashes = {}
+        for word in w:
+            batch = pa_chunk(word)
+            hashes[word] = int(words_of(batch)[0]) >> 64 - bits
+        for word in w:
+            x[hashes[word]] += 1 / len(w)
+        stats[9] = len(set(hashes.values())) / np.sqrt(max(n_words, 1))
+        x[32:] = ((np.array(stats) - center) / scale).clip(-4, 4)
+        z = model.bias + x @ model.linear + sum(x[i] * x[j] * (model.factors[i] @ model.factors[j]) for i in range(width) for j in range(i))
+        expected[r[0], round(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))), 6)] += 1
+    scored = quality_fm.scored(docs, model).collect()
+    assert Counter((r["doc_id"], round(r["score"], 6)) for r in scored) == expected
+
+
+def pa_chunk(text):
+    import pyarrow as pa
+
+    from tillwarden.llm.text import chunk_of
+
+    return chunk_of(pa.RecordBatch.from_arrays([pa.array([text])], ["text"]))
+
+
+def words_of(chunk):
+    from tillwarden.llm.text import words
+
+    return words(chunk).hashes
