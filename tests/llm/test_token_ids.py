@@ -38,12 +38,24 @@ def same(library, texts):
 
 @pytest.mark.parametrize("part", range(4))
 def test_every_code_point_before_and_after_every_mark(library, part):
-    points = [chr(c) for c in range(part * 0x5000, (part + 1) * 0x5000) if not 0xD800 <= c < 0xE000]
+    # Of the two large blocks of letters that are all alike, every seventh.
+    alike = lambda c: (0x4E00 <= c < 0xA000 or 0xAC00 <= c < 0xD7A4) and c % 7
+    points = [chr(c) for c in range(part * 0x5000, (part + 1) * 0x5000) if not 0xD800 <= c < 0xE000 and not alike(c)]
     if part == 3:
         points += [chr(c) for c in [*range(0x14000, 0x20000, 5), *range(0x20000, 0x30000, 41), *range(0xE0000, 0xE0200)]]
     same(library, [" ".join(w for m in MARKS for w in (c + m, m + c, "a" + c + m)) for c in points])
 
 
+def test_words_of_latin_letters(library):
+    """All letters that are taken as such, alone and side by side, and long words of them."""
+    dice = random.Random(2)
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250)]]
+    words = letters + [a + b for a in letters for b in dice.sample(letters, 40)]
+    words += ["".join(dice.choices(letters, k=dice.randrange(3, 25))) for _ in range(20_000)]
+    words += ["".join(dice.choices("aeinrst", k=dice.randrange(2, 60))) for _ in range(20_000)]
+    same(library, [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)])
+
+
 def test_random_strings(library):
     dice = random.Random(1)
     alphabets = ["abcXYZ019.,;:!?'", "İıſßΣςÅÀé́̇क़ְ.;!", "日本한国あ。、.,", "<|endoftext|>startof ", "‍ \u0085 　\x1c﻿.a"]
