@@ -227,6 +227,32 @@ def test_equal_rows_under_one_id_get_each_range_once(spark, module, name):
         assert sum(got.values()) == len(table) and set(got) == set(expected.values())
 
 
+@pytest.mark.parametrize("module, name", [(suffix_levels, "byte"), (automata, "word")])
+def test_long_texts_come_in_parts(spark, module, name, monkeypatch):
+    """Every window of a text longer than a part is in one segment, whatever the cuts."""
+    from tillwarden.llm import passages
+
+    monkeypatch.setattr(passages, "LONG", passages.LONG)
+    rng = random.Random(10)
+    prose = lambda n: " ".join(str(rng.randint(0, 99)) for _ in range(n))
+    shared = prose(60)
+    table = [(2, f"{prose(300)} {shared} {prose(190)} {shared} {prose(40)}"), (1, f"{prose(5)} {shared}"), (3, shared[20:] + prose(400)), (4, prose(900)), (5, "so " * 600)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    scheme = module.scheme(60 if name == "byte" else 13)
+    from tillwarden.llm.text import chunk_of, keyed
+
+    batch = keyed(docs).toArrow().combine_chunks().to_batches()[0]
+    whole = {(int(e["id"]), int(s)) for e in _entries(passages, scheme, batch, chunk_of, 1 << 21) for s in range(int(e["start"]), int(e["start"] + e["n"]))}
+    parts = [(int(e["id"]), int(s)) for e in _entries(passages, scheme, batch, chunk_of, 130) for s in range(int(e["start"]), int(e["start"] + e["n"]))]
+    assert len(parts) == len(set(parts)) and set(parts) == whole
+
+
+def _entries(passages, scheme, batch, chunk_of, long):
+    passages.LONG = long
+    for k in range(batch.num_rows):
+        yield from passages.entries_of(scheme, chunk_of(batch.slice(k, 1), "_text"))
+
+
 def test_suffix_family_merges_levels_and_finds_old_and_new():
     import numpy as np
 

@@ -41,6 +41,8 @@ ENTRY = np.dtype(
 _PLACE = U64((1 << 28) - 1)
 #: Bytes of text whose hashes a worker holds at once.
 CHUNK = 1 << 19
+#: Tokens of a longer text whose hashes it holds at once.
+LONG = 1 << 21
 #: Entries (of many chunks) that are settled together before they are sent: 8 MB, about 25 MB of text.
 BATCH = 180_000
 
@@ -110,12 +112,29 @@ def segments(scheme: Scheme, values: np.ndarray, first: np.ndarray) -> tuple[np.
 
 
 def entries_of(scheme: Scheme, chunk: Chunk) -> np.ndarray:
-    document, start, n, seg, anchor = segments(scheme, *scheme.tokens(chunk))
-    out = np.zeros(len(document), ENTRY)
-    out["id"] = chunk.column("_id")[document]
-    out["copy"] = chunk.column("_copy")[document]
-    out["start"], out["n"], out["seg"], out["anchor"], out["weight"] = start, n, seg, anchor, 1
-    return out
+    parts = _parts_of(scheme, chunk)
+    out = [np.zeros(0, ENTRY)]
+    for shift, values, first in parts:
+        document, start, n, seg, anchor = segments(scheme, values, first)
+        found = np.zeros(len(document), ENTRY)
+        found["id"] = chunk.column("_id")[document]
+        found["copy"] = chunk.column("_copy")[document]
+        found["start"], found["n"], found["seg"], found["anchor"], found["weight"] = start + shift, n, seg, anchor, 1
+        out.append(found)
+    return np.concatenate(out)
+
+
+def _parts_of(scheme: Scheme, chunk: Chunk) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first token, values, each document's first) of parts that hold all windows of a chunk. A
+    text that is far longer than a chunk is one on its own and comes in parts, so its hashes take
+    bounded memory; a segment that is cut there is two segments of one anchor, which are compared."""
+    if chunk.batch.num_rows > 1 or len(chunk.data) <= LONG:
+        yield 0, *scheme.tokens(chunk)
+        return
+    tokens = chunk.data if scheme.unit == "byte" else words(chunk).hashes
+    for a in range(0, len(tokens), LONG):
+        part = tokens[a : a + LONG + scheme.window - 1]
+        yield a, byte_values(part) if scheme.unit == "byte" else part, np.array([0, len(part)])
 
 
 def settle(rule: str, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
