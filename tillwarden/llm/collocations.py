@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwarden.llm.bitmaps import Bitmap, region_of
 from tillwarden.llm.text import SEPARATOR, U64, Chunk, chunks, grams, lowered, mix, words
 from tillwarden.session import materialise
 
@@ -36,7 +37,6 @@ NO_LANGUAGE = "und"
 #: Keys that a task sorts at once (16 MB), and phrases whose counts it keeps before it sends them.
 BATCH_KEYS = 1 << 21
 BATCH_PHRASES = 200_000
-BITMAP_BITS = 27
 #: Parts into which the phrases of a language are dealt.
 PARTS = 64
 
@@ -149,41 +149,6 @@ def tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[head], np.diff(np.append(head, len(keys)))
 
 
-class Bitmap:
-    """Keys that may be in a set, in 2**BITMAP_BITS bits: two bits per key, both in its region's slice."""
-
-    def __init__(self, region_bits: int, bits: np.ndarray):
-        self.region_bits, self.bits = region_bits, bits
-
-    @classmethod
-    def empty(cls, region_bits: int) -> Bitmap:
-        return cls(region_bits, np.zeros(1 << BITMAP_BITS - 3, np.uint8))
-
-    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inside = BITMAP_BITS - self.region_bits
-        first = keys >> U64(64 - BITMAP_BITS)
-        other = (first >> U64(inside) << U64(inside)) | mix(keys) & U64((1 << inside) - 1)
-        return first, other
-
-    def slice(self, region: int, keys: np.ndarray) -> bytes:
-        """The slice of ``region`` with these keys of it."""
-        size = 1 << BITMAP_BITS - self.region_bits
-        marks = np.zeros(size, bool)
-        for place in self.places(keys):
-            marks[place.astype(np.int64) - region * size] = True
-        return np.packbits(marks, bitorder="little").tobytes()
-
-    def put(self, region: int, content: bytes) -> None:
-        size = 1 << BITMAP_BITS - self.region_bits - 3
-        self.bits[region * size : (region + 1) * size] = np.frombuffer(content, np.uint8)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for place in self.places(keys):
-            found &= (self.bits[place >> U64(3)] >> (place & U64(7)).astype(np.uint8) & 1).astype(bool)
-        return found
-
-
 def _joined_pairs(phrases: Phrases, size: int, pairs: np.ndarray) -> np.ndarray:
     """Runs of ``size`` words all of whose word pairs are marked in ``pairs``."""
     n = max(0, len(phrases.piece) - size + 1)
@@ -207,7 +172,7 @@ def _survivors(docs: DataFrame, sizes: range, mass: int, settings: Collocations,
     def pack(keys: np.ndarray) -> pa.RecordBatch:
         keys, counts = tallied(keys)
         counts = counts.astype(np.uint32)
-        regions = (keys >> U64(64 - bits)).astype(np.int64)
+        regions = region_of(keys, bits)
         cuts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1]]))
         blobs = [
             keys[a:b].tobytes() + counts[a:b].tobytes()
