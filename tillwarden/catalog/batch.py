@@ -764,13 +764,20 @@ def customer_lookup(spark, sf_dir):
     return serving.customer_lookup(gold.high_risk_customers(I.flagged_payments(spark, sf_dir), I.AS_OF), "cust_00007")
 
 
-@query(
-    C.sql(
-        C.ALERTS,
-        """SELECT transaction_id, event_time, amount, merchant_name, merchant_country, risk_level, fraud_reason
-           FROM alerts WHERE customer_id = upper('cust_00007') ORDER BY event_time DESC, transaction_id DESC LIMIT 20""",
-    )
-)
+_RECENT = """SELECT transaction_id, event_time, amount, merchant_name, merchant_country, risk_level, fraud_reason
+           FROM alerts WHERE customer_id = upper('cust_00007') ORDER BY event_time DESC, transaction_id DESC LIMIT 20"""
+
+
+@query(C.sql(C.ALERTS, _RECENT))
+def alerts_by_filter(spark, sf_dir):
+    """The same out of a merged table whose row groups have filters on the ids that are looked up."""
+    store = TableStore(spark, new_run_dir(spark, "found"))
+    alerts = I.payment_alerts(spark, sf_dir)
+    store.merge("alerts", alerts, ["transaction_id"], "alerted_at", find=("transaction_id", "customer_id"))
+    return serving.recent_alerts(store.read("alerts"), "cust_00007")
+
+
+@query(C.sql(C.ALERTS, _RECENT))
 def recent_alerts(spark, sf_dir):
     return serving.recent_alerts(I.payment_alerts(spark, sf_dir), "cust_00007")
 
@@ -909,6 +916,21 @@ def profiles_by_day_states(spark, sf_dir):
     return days.profile_facts("2024-02-10 06:00:00")
 
 
+@query(C.sql(C.MERCHANTS, "SELECT * FROM merchant_scores"))
+def nightly_by_batches(spark, sf_dir):
+    """The daily run twice over rows and alerts that carry their loader's batch number: of the
+    alerts of the first half a third comes with the second batch only."""
+    store = TableStore(spark, new_run_dir(spark, "batches"))
+    later, n = (F.col("event_time") >= F.lit("2024-01-16").cast("timestamp_ntz")), F.col("transaction_id").cast("long")
+    raw = materialise(I.payments(spark, sf_dir).withColumn("batch_id", later.cast("long")))
+    alerts = I.payment_alerts(spark, sf_dir).withColumn("batch_id", (later | (n % 3 == 0)).cast("long"))
+    alerts = materialise(alerts.withColumn("load_day", F.to_date("alerted_at")))
+    for batch, as_of in ((0, "2024-01-16 00:00:00"), (1, I.AS_OF)):
+        some = (rows.where(F.col("batch_id") <= batch) for rows in (raw, alerts))
+        nightly.run(store, *some, as_of, None, (0.0, 100.0))
+    return store.read("merchant_risk_scores")
+
+
 @query(C.sql(C.MERCHANTS, "SELECT * FROM merchant_scores"))
 def nightly_two_loads(spark, sf_dir):
     """The daily run at mid-month and at its end; the second takes only what is new, and

@@ -117,6 +117,27 @@ def stream_raw_loader(spark, sf_dir):
     )
 
 
+@query(
+    C.sql(
+        C.PAYMENTS,
+        """SELECT transaction_id, customer_id, amount, CAST(CASE WHEN event_time < TIMESTAMP '2024-01-11' THEN 0
+             WHEN event_time < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS BIGINT) AS batch_id FROM payments""",
+    )
+)
+def stream_compacted_loader(spark, sf_dir):
+    """The raw loader's batches, compacted while it goes on: nothing is lost, and rows keep the
+    number of their batch."""
+    folder = new_run_dir(spark, "compacted")
+    rows = I.payments(spark, sf_dir)
+    middle = _before(_from(rows, "2024-01-11"), "2024-01-21")
+    for part in (_before(rows, "2024-01-11"), middle, _from(rows, "2024-01-21")):
+        part.write.mode("append").parquet(f"{folder}/payments")
+        messages = topics.transaction_messages(spark.readStream.schema(rows.schema).parquet(f"{folder}/payments"))
+        jobs.finish(jobs.start_raw_loader(messages, f"{folder}/table", f"{folder}/offsets", trigger=None))
+        jobs.compact_loaded(spark, f"{folder}/table", TRANSACTIONS_RAW)
+    return jobs.loaded_rows(spark, f"{folder}/table", TRANSACTIONS_RAW).select("transaction_id", "customer_id", "amount", "batch_id")
+
+
 def _loaded_with_more(spark, sf_dir):
     """The raw loader over messages of which some have fields that the schema doesn't know."""
     folder = new_run_dir(spark, "more")
