@@ -358,7 +358,8 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
 
     def _dealt_batch(entries):
         covered, sent = _settled_in_batch(scheme.rule, entries)
-        # What is settled only passes through, so it is dealt evenly.
+        # What is settled only passes through, so it is dealt evenly, and its hashes have done their work.
+        covered["seg"] = covered["anchor"] = 0
         passing = mix(covered["id"].astype(U64))
         return _sent([*_dealt(sent, sent["seg"], buckets, 0), *_dealt(covered, passing, buckets, 1)])
 
@@ -370,6 +371,7 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
                 yield _plain(_found(entries, np.zeros(len(entries), np.int64)))
             if plain:
                 settled, undecided = judged_bucket(scheme, np.concatenate([unpacked(b) for b in plain]))
+                settled["anchor"] = 0
                 yield _plain(_found(settled, np.zeros(len(settled), np.int64)))
                 if len(undecided):
                     counts.append(counted_anchors(undecided))
@@ -456,6 +458,7 @@ def _fetch(scheme: Scheme, buckets: int) -> Callable:
             entries["n"], entries["weight"] = 1, np.where(known[pick], 2, 1)
             # Windows have no anchor of their own here; equal ones share a segment hash.
             covered, sent = _settled_in_batch(scheme.rule, entries)
+            covered["seg"] = 0
             passing = mix(covered["id"].astype(U64))
             for bucket, settled, blob in (*_dealt(sent, sent["seg"], buckets, 0), *_dealt(covered, passing, buckets, 1)):
                 yield 1, bucket, 0, 0, 0, 0, bool(settled), blob
