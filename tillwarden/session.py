@@ -56,10 +56,10 @@ def one_run(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Compute once and keep as files in the shared folder: several passes over the result
     read only the columns they need, Spark knows its size, and a lost executor costs no
     recomputation."""
     path = new_run_dir(df.sparkSession, "table")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
