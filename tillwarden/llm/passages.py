@@ -384,7 +384,7 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
             yield _count_rows(counts, region_bits)
 
     dealt = docs.mapInArrow(gather, _SENT).repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    judged = materialise(dealt.mapInArrow(judge, _JUDGED))
+    judged = materialise(dealt.mapInArrow(judge, _JUDGED), "zstd")
     anchors = judged.filter(F.col("kind") == COUNTED).select("region", "packed")
     anchors = anchors.repartition(min(tasks, 1 << region_bits), "region").sortWithinPartitions("region")
     shared, hot = Bitmap.empty(region_bits), Bitmap.empty(region_bits)
@@ -404,7 +404,7 @@ def find(docs: DataFrame, scheme: Scheme, compare: Callable) -> DataFrame:
     )
     texts = docs.join(requests, ["_id", "_copy"])
     # What is compared is written once: two branches read it.
-    fetched = materialise(texts.mapInArrow(_fetch(scheme, buckets), _FETCHED))
+    fetched = materialise(texts.mapInArrow(_fetch(scheme, buckets), _FETCHED), "zstd")
 
     near = fetched.filter("hot = 0").repartition(tasks, "anchor").sortWithinPartitions("anchor")
     near = near.mapInArrow(compare, "_id long, _copy long, start int, n int")
